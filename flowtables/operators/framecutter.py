@@ -6,71 +6,70 @@ import struct
 
 import pyarrow as pa
 
+LENGTHS = struct.Struct(">iq")
+
 
 class FrameCutter:
     """Cuts the bytes of one connection into frame pieces as they come.
 
     It keeps only the unfinished fixed prefix of a frame and counters, never content. Pieces are
-    ``(frame_no, part, piece_no, header_len, payload_len, bytes)`` with part ``F`` (a frame begins),
-    ``H`` (header bytes), ``P`` (payload bytes) or ``X`` (a negative length: nothing more is read). A connection
-    starts with an ``F`` piece without lengths, so that even an empty one leaves a trace.
+    ``(frame_no, part, at, header_len, payload_len, bytes)``. Part ``F`` announces a frame, ``D`` holds bytes of its
+    header and payload from place ``at`` on (the header's first byte is at 0), ``X`` a negative length, after which
+    nothing more is read. A connection starts with an ``F`` piece without lengths, so that even an empty one leaves
+    a trace.
     """
 
-    FIELDS = ("frame_no", "part", "piece_no", "header_len", "payload_len", "bytes")
+    FIELDS = ("frame_no", "part", "at", "header_len", "payload_len", "bytes")
     ARROW_TYPES = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    SCHEMA = "frame_no long, part string, at long, header_len long, payload_len long, bytes binary"
+    STATE_SCHEMA = "frame_no long, header_len long, payload_len long, left long, pending binary, phase string"
 
     def __init__(self, prefix: int, state: tuple | None = None):
         self.prefix = prefix
-        self.frame_no, self.piece_no, self.header_len, self.payload_len, self.left, self.pending, self.phase = state or (
-            0, 0, 0, 0, 0, b"", "new",
+        self.frame_no, self.header_len, self.payload_len, self.left, self.pending, self.phase = state or (
+            0, 0, 0, 0, b"", "new",
         )
 
     def state(self) -> tuple:
-        return (self.frame_no, self.piece_no, self.header_len, self.payload_len, self.left, self.pending, self.phase)
+        return (self.frame_no, self.header_len, self.payload_len, self.left, self.pending, self.phase)
 
     def feed(self, data: bytes) -> list[tuple]:
         out: list[tuple] = []
         if self.phase == "new":
             out.append((0, "F", 0, None, None, None))
             self.phase = "prefix"
-        at = 0
+        used = 0
         while self.phase != "dead":
             if self.phase == "prefix":
-                take = min(self.prefix - len(self.pending), len(data) - at)
-                self.pending += data[at : at + take]
-                at += take
+                take = min(self.prefix - len(self.pending), len(data) - used)
+                self.pending += data[used : used + take]
+                used += take
                 if len(self.pending) < self.prefix:
                     break
                 self._begin(out)
             else:
-                take = min(self.left, len(data) - at)
+                take = min(self.left, len(data) - used)
                 if take:
-                    out.append(self._piece("H" if self.phase == "header" else "P", data[at : at + take]))
-                    at += take
+                    at = self.header_len + self.payload_len - self.left
+                    out.append((self.frame_no, "D", at, self.header_len, self.payload_len, data[used : used + take]))
+                    used += take
                     self.left -= take
                 if self.left:
                     break
-                self._next_phase()
+                self.frame_no, self.phase = self.frame_no + 1, "prefix"
         return out
 
     def _begin(self, out: list[tuple]) -> None:
-        self.header_len, self.payload_len = struct.unpack(">iq", self.pending[-12:])
+        self.header_len, self.payload_len = LENGTHS.unpack(self.pending[-LENGTHS.size :])
         self.pending = b""
-        if self.header_len < 0 or self.payload_len < 0:
-            out.append(self._piece("X", None))
-            self.phase = "dead"
-            return
-        out.append(self._piece("F", None))
-        self.phase, self.left = "header", self.header_len
-        if not self.left:
-            self._next_phase()
+        bad = self.header_len < 0 or self.payload_len < 0
+        part = "X" if bad else "F"
+        out.append((self.frame_no, part, 0, self.header_len, self.payload_len, None))
+        self.phase, self.left = ("dead", 0) if bad else ("body", self.header_len + self.payload_len)
 
-    def _next_phase(self) -> None:
-        if self.phase == "header":
-            self.phase, self.left = "payload", self.payload_len
-        if not self.left:
-            self.frame_no, self.piece_no, self.phase = self.frame_no + 1, 0, "prefix"
 
-    def _piece(self, part: str, data: bytes | None) -> tuple:
-        self.piece_no += 1
-        return (self.frame_no, part, self.piece_no, self.header_len, self.payload_len, data)
+def piece_batch(names: list, rows: list[tuple], conn: str, conn_type: pa.DataType) -> pa.RecordBatch:
+    """Pieces of the named connections as one Arrow batch."""
+    columns = list(zip(*rows)) if rows else [()] * len(FrameCutter.FIELDS)
+    arrays = [pa.array(names, conn_type)] + [pa.array(c, t) for c, t in zip(columns, FrameCutter.ARROW_TYPES)]
+    return pa.RecordBatch.from_arrays(arrays, names=[conn, *FrameCutter.FIELDS])

@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 
 from flowtables.functions import binary, headers
 from flowtables.operators.attributes import encode_attributes
-from flowtables.operators.framecutter import FrameCutter
+from flowtables.operators.framecutter import FrameCutter, piece_batch
+from flowtables.operators.hot_connections import MAX_HEADER_BYTES, cut_blocks
 from flowtables.operators.ordered import counter_block, running
 from flowtables.schema import ERROR, FRAME_VERSIONS, MAX_BLOB_BYTES, SUCCESS, frame_prefix_bytes
 
-PIECES_SCHEMA = "frame_no long, part string, piece_no long, header_len long, payload_len long, bytes binary"
+
+# A connection longer than this is not read by one task alone.
+HOT_BYTES = 1 << 30
+HOT_BLOCK_BYTES = 4 << 20
 
 
 def _no_bytes() -> Column:
@@ -78,8 +82,35 @@ def flows_to_segments(
 # --- framed streams ----------------------------------------------------------------------------
 
 
-def cut_frames(segments: DataFrame, conn: str = "conn_id", seq: str = "seq", profile: str = "v2") -> DataFrame:
-    """The header and payload pieces of every frame, in one pass over each connection with flat memory."""
+def cut_frames(
+    segments: DataFrame,
+    conn: str = "conn_id",
+    seq: str = "seq",
+    profile: str = "v2",
+    hot_bytes: int = HOT_BYTES,
+    block_bytes: int = HOT_BLOCK_BYTES,
+    max_blob_bytes: int | None = None,
+) -> DataFrame:
+    """The pieces of every frame (see :class:`FrameCutter`).
+
+    Most connections are read front to back in one task each, with flat memory. Those of more than ``hot_bytes``
+    are cut into blocks that are read side by side; see ``hot_connections``.
+    """
+    if "offset" in segments.columns:  # no other column is read for this
+        hot = segments.filter(F.col("offset") >= hot_bytes).select(conn).distinct()
+    else:
+        sizes = segments.groupBy(conn).agg(F.sum(F.octet_length("bytes").cast("bigint")).alias("size"))
+        hot = sizes.filter(F.col("size") > hot_bytes).select(conn)
+    # At most one connection per hot_bytes of input: the list is short whatever the input.
+    blocks = byte_blocks(
+        segments.join(hot, conn, "left_semi"), conn, seq, block_bytes, after=frame_prefix_bytes(profile) - 1
+    )
+    side_by_side, unresolved = cut_blocks(blocks, conn, frame_prefix_bytes(profile), block_bytes, max_blob_bytes)
+    in_turn = segments.join(hot, conn, "left_anti").unionByName(segments.join(unresolved, conn, "left_semi"))
+    return _cut_in_turn(in_turn, conn, seq, profile).unionByName(side_by_side)
+
+
+def _cut_in_turn(segments: DataFrame, conn: str, seq: str, profile: str) -> DataFrame:
     prefix = frame_prefix_bytes(profile)
     conn_type = segments.schema[conn].dataType.simpleString()
 
@@ -93,16 +124,10 @@ def cut_frames(segments: DataFrame, conn: str = "conn_id", seq: str = "seq", pro
                 pieces = cutter.feed(data or b"")
                 names += [name] * len(pieces)
                 rows += pieces
-            if rows:
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, batch.schema.field(0).type)]
-                    + [pa.array(c, t) for c, t in zip(columns, FrameCutter.ARROW_TYPES)],
-                    names=[conn, *FrameCutter.FIELDS],
-                )
+            yield piece_batch(names, rows, conn, batch.schema.field(0).type)
 
     ordered = segments.select(conn, "bytes", seq).repartition(conn).sortWithinPartitions(conn, seq)
-    return ordered.select(conn, "bytes").mapInArrow(cut, f"`{conn}` {conn_type}, {PIECES_SCHEMA}")
+    return ordered.select(conn, "bytes").mapInArrow(cut, f"`{conn}` {conn_type}, {FrameCutter.SCHEMA}")
 
 
 def assemble_frames(
@@ -118,52 +143,65 @@ def assemble_frames(
     if output not in ("blob", "chunks"):
         raise ValueError(f"output must be 'blob' or 'chunks', got {output!r}")
     key = [conn, "frame_no"]
-    length = F.octet_length("bytes").cast("bigint")
-    is_header, is_payload = F.col("part") == "H", F.col("part") == "P"
-    fits = F.coalesce(F.col("payload_len") <= max_blob_bytes, F.lit(True))
-    measures = [
-        F.max("header_len").alias("header_len"),
-        F.max("payload_len").alias("payload_len"),
-        F.max((F.col("part") == "X").cast("int")).alias("bad"),
-        F.coalesce(F.sum(F.when(is_header, length)), F.lit(0)).alias("got_header"),
-        F.coalesce(F.sum(F.when(is_payload, length)), F.lit(0)).alias("got"),
-        F.expr("listagg(case when part = 'H' then bytes end) within group (order by piece_no)").alias("header"),
-    ]
-    if output == "blob":
-        pieces = pieces.withColumn("body", F.when(is_payload & fits, F.col("bytes")))
-        measures.append(F.expr("listagg(body) within group (order by piece_no)").alias("body"))
-    frames = pieces.groupBy(*key).agg(*measures)
-    whole = F.coalesce(
-        (F.col("got_header") == F.col("header_len")) & (F.col("got") == F.col("payload_len")), F.lit(False)
+    header_len, payload_len = F.col("header_len"), F.col("payload_len")
+    fits = F.coalesce(payload_len <= max_blob_bytes, F.lit(True)) if output == "blob" else F.lit(False)
+    # Frames that stay in pieces are judged by their header; a piece that does not know its length is kept if unsure.
+    in_header = F.col("at") < F.coalesce(header_len, F.lit(MAX_HEADER_BYTES))
+    announced = F.col("part") != "D"
+    frames = pieces.withColumn("body", F.when(fits | in_header, F.col("bytes"))).groupBy(*key).agg(
+        F.max(F.when(announced, header_len)).alias("header_len"),
+        F.max(F.when(announced, payload_len)).alias("payload_len"),
+        F.max(F.col("part") == "X").alias("bad"),
+        F.coalesce(F.sum(F.octet_length("bytes").cast("bigint")), F.lit(0)).alias("got"),
+        F.expr("listagg(body) within group (order by at)").alias("body"),
     )
-    frames = frames.withColumn("whole", whole & (F.col("bad") == 0)).withColumn(
-        "decoded", headers.header_attributes(F.decode("header", "UTF-8"))
+    body, header_bytes = F.coalesce("body", _no_bytes()), F.coalesce(header_len, F.lit(0))
+    frames = frames.withColumns(
+        {
+            "whole": F.coalesce((F.col("got") == header_len + payload_len) & ~F.col("bad"), F.lit(False)),
+            "size": F.greatest(F.col("got") - header_bytes, F.lit(0)),
+        }
     )
     # What a closing connection leaves open: the first frame always, a later one once payload has come.
-    frames = frames.filter(F.col("whole") | (F.col("bad") == 1) | (F.col("frame_no") == 0) | (F.col("got") > 0))
-    truncated = ~F.col("whole") & (F.col("bad") == 0)
-    reason = F.when(F.col("bad") == 1, "bad_length").when(
-        F.col("whole") & (F.col("header_len") > 0) & F.col("decoded").isNull(), "bad_header"
+    frames = frames.filter(F.col("whole") | F.col("bad") | (F.col("frame_no") == 0) | (F.col("size") > 0))
+    header = F.decode(binary.slice_bytes(body, F.lit(0), header_bytes), "UTF-8")
+    has_header = F.col("whole") & (header_len > 0)
+    frames = frames.withColumns(
+        {
+            "truncated": ~F.col("whole") & ~F.col("bad"),
+            "decoded": F.when(has_header, headers.header_attributes(header)),
+        }
     )
+    reason = F.when(F.col("bad"), "bad_length").when(has_header & F.col("decoded").isNull(), "bad_header")
     if output == "blob":
-        reason = reason.when(F.col("got") > F.coalesce(F.octet_length("body"), F.lit(0)), "oversize")
+        reason = reason.when(payload_len > max_blob_bytes, "oversize")
     if on_truncated == ERROR:
-        reason = reason.when(truncated, "truncated")
-    status = frames.withColumn("truncated", truncated).withColumn("reason", reason)
-    outcome = F.when(F.col("reason").isNull(), SUCCESS).otherwise(ERROR)
-    good = F.col("outcome") == SUCCESS
-    status = status.withColumn("outcome", outcome).withColumn("attributes", F.when(F.col("whole") & good, F.col("decoded")))
-    if output == "chunks":
-        verdict = status.select(*key, "attributes", "outcome", "reason", "truncated", F.col("got").alias("size"))
-        return pieces.filter(is_payload).select(*key, "piece_no", "bytes").join(verdict, key)
-    return status.select(
-        *key,
-        "attributes",
-        F.when(good, F.coalesce("body", _no_bytes())).alias("content"),
-        F.when(good, F.col("got")).alias("size"),
-        "outcome",
-        "reason",
-        "truncated",
+        reason = reason.when(F.col("truncated"), "truncated")
+    frames = frames.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    verdict = [F.when(good, SUCCESS).otherwise(ERROR).alias("outcome"), F.col("reason"), F.col("truncated")]
+    attributes = F.when(good, F.col("decoded")).alias("attributes")
+    if output == "blob":
+        content = binary.slice_bytes(body, header_bytes, F.col("size"))
+        return frames.select(
+            *key, attributes, F.when(good, content).alias("content"), F.when(good, F.col("size")).alias("size"), *verdict
+        )
+    judged = frames.select(*key, attributes, header_bytes.alias("_header"), *verdict)
+    skipped = F.greatest(F.col("_header") - F.col("at"), F.lit(0))
+    return (
+        pieces.filter(F.col("part") == "D")
+        .select(*key, "at", "bytes")
+        .join(judged, key)
+        .filter(F.octet_length("bytes") > skipped)
+        .select(
+            *key,
+            (F.col("at") + skipped - F.col("_header")).alias("offset"),
+            binary.slice_bytes(F.col("bytes"), skipped, F.octet_length("bytes") - skipped).alias("bytes"),
+            "attributes",
+            "outcome",
+            "reason",
+            "truncated",
+        )
     )
 
 
@@ -175,14 +213,18 @@ def segments_to_flows(
     on_truncated: str = SUCCESS,
     output: str = "blob",
     max_blob_bytes: int = MAX_BLOB_BYTES,
+    hot_bytes: int = HOT_BYTES,
+    block_bytes: int = HOT_BLOCK_BYTES,
 ) -> DataFrame:
     """O3. Recover every flow of every framed connection.
 
     A connection that closes inside a flow leaves a ``truncated`` flow without attributes, which counts as
     success or error by ``on_truncated``. A header that is no JSON object makes an error row; a negative length
-    makes one too and ends its connection. ``output="chunks"`` gives payload pieces instead of whole contents.
+    makes one too and ends its connection. A payload beyond ``max_blob_bytes`` is reported as ``oversize``;
+    ``output="chunks"`` gives the pieces of payloads of any size instead, by their ``offset`` in the payload.
     """
-    pieces = cut_frames(segments, conn, seq, profile)
+    blob = max_blob_bytes if output == "blob" else None
+    pieces = cut_frames(segments, conn, seq, profile, hot_bytes, block_bytes, blob)
     return assemble_frames(pieces, conn, on_truncated, output, max_blob_bytes)
 
 

@@ -13,6 +13,7 @@ from flowtables.operators import framed, network, outcomes
 from flowtables.operators.timeouts import classify_timeouts
 from flowtables.plans import views
 from flowtables.plans.views_sql import ARRIVALS, DATAGRAMS, EVENT_IP, FLOWS, FRAMES, with_views
+from flowtables.sources.capture import read_capture, write_capture
 from flowtables.sources.flows import synth_flows, write_outcomes
 from flowtables.sources.workdir import work_dir
 
@@ -160,7 +161,7 @@ FRAMES_SQL = with_views(
 
 @query(FRAMES_SQL)
 def framed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame_report(framed.segments_to_flows(views.framed_segments(spark, sf_dir)))
+    return frame_report(framed.segments_to_flows(views.landed(spark, views.framed_segments(spark, sf_dir), "segments")))
 
 
 @query(
@@ -177,7 +178,7 @@ def framed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def framed_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame_report(framed.segments_to_flows(views.truncated_segments(spark, sf_dir)))
+    return frame_report(framed.segments_to_flows(views.landed(spark, views.truncated_segments(spark, sf_dir), "segments")))
 
 
 @query(
@@ -524,3 +525,13 @@ def outcomes_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 def synth_fixed_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = views.table(spark, sf_dir, "documents").select("doc_id")
     return synth_flows(numbers, fpm=60, bandwidth=1).select("name", "size", "created_s")
+
+
+@query(with_views(FLOWS, "SELECT 'doc_' || flow_id || '.txt' AS filename, size, md5(text) AS content_md5, 'success' AS outcome FROM flows"))
+def flowcapture_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "capture")
+    write_capture(views.flows(spark, sf_dir), path)
+    flows = read_capture(spark, path)
+    return flows.select(
+        F.col("attributes.filename").alias("filename"), "size", F.md5("content").alias("content_md5"), "outcome"
+    )

@@ -9,6 +9,7 @@ from flowtables.operators.datagrams import packetize
 from flowtables.operators.framed import flows_to_segments
 from flowtables.schema import SUCCESS
 from flowtables.sources.flows import flows_from_table
+from flowtables.sources.workdir import work_dir
 
 DATAGRAM_SIZE = 512
 SEGMENT_BYTES = 1000
@@ -77,6 +78,13 @@ def framed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows_to_segments(connected_flows(spark, sf_dir), segment_bytes=SEGMENT_BYTES)
 
 
+def landed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stored table, as a receiver would find it."""
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def truncated_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth connection closes after nine tenths of its bytes."""
     segments = framed_segments(spark, sf_dir)

@@ -9,12 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
 
 from flowtables.operators.framecutter import FrameCutter
-from flowtables.operators.framed import PIECES_SCHEMA
 from flowtables.schema import frame_prefix_bytes
 
-_STATE = (
-    "next long, frame_no long, piece_no long, header_len long, payload_len long, left long, pending binary, phase string"
-)
+_STATE = f"next long, {FrameCutter.STATE_SCHEMA}"
 
 
 class ConnectionCutter(StatefulProcessor):
@@ -30,7 +27,7 @@ class ConnectionCutter(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         known = self.place.get() if self.place.exists() else None
         expected = known[0] if known else 0
-        cutter = FrameCutter(self.prefix, (*known[1:6], bytes(known[6]), known[7]) if known else None)
+        cutter = FrameCutter(self.prefix, (*known[1:5], bytes(known[5]), known[6]) if known else None)
         waiting: dict[int, bytes] = {}
         for batch in rows:
             for seq, data in zip(batch["seq"], batch["bytes"]):
@@ -70,7 +67,7 @@ def stream_cut_frames(segments: DataFrame, conn: str = "conn_id", seq: str = "se
         .groupBy(conn)
         .transformWithStateInPandas(
             statefulProcessor=ConnectionCutter(conn, frame_prefix_bytes(profile)),
-            outputStructType=f"`{conn}` {conn_type}, {PIECES_SCHEMA}",
+            outputStructType=f"`{conn}` {conn_type}, {FrameCutter.SCHEMA}",
             outputMode="Append",
             timeMode="None",
         )
