@@ -206,9 +206,8 @@ def read_capture(
     frames = spark.read.format("flowcapture").option("profile", profile).option("maxBlobBytes", max_blob_bytes).load(path)
     decoded = headers.header_attributes(F.decode("header", "UTF-8"))
     frames = frames.withColumn("attributes", F.when(F.octet_length("header") > 0, decoded))
-    reason = F.when(F.col("reason").isNotNull(), F.col("reason")).when(
-        (F.octet_length("header") > 0) & F.col("attributes").isNull(), "bad_header"
-    )
+    bad_header = (F.octet_length("header") > 0) & F.col("attributes").isNull()
+    reason = F.when(bad_header, "bad_header").when(F.col("reason").isNotNull(), F.col("reason"))
     if on_truncated == ERROR:
         reason = reason.when(F.col("truncated"), "truncated")
     good = F.col("reason").isNull()

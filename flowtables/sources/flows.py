@@ -23,11 +23,17 @@ def flows_from_table(
     )
 
 
-def read_flows(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """O1. One flow per file, with ``filename`` and ``path`` attributes; the flow id is a hash of the full path."""
-    files = (
+def read_flows(spark: SparkSession, path: str, glob: str = "*", include_empty: bool = True) -> DataFrame:
+    """O1. One flow per file, with ``filename`` and ``path`` attributes; the flow id is a hash of the full path.
+
+    Spark's file scan skips empty files; ``include_empty`` adds them from the file list it keeps on the driver anyway.
+    """
+    scanned = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     )
+    files = scanned.select("path", "content", "length")
+    if include_empty:
+        files = files.unionByName(_empty_files(spark, scanned))
     return files.select(
         F.xxhash64("path").alias("flow_id"),
         F.create_map(
@@ -41,6 +47,19 @@ def read_flows(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+def _empty_files(spark: SparkSession, scanned: DataFrame) -> DataFrame:
+    def one_slash(uri: Column) -> Column:
+        return F.regexp_replace(uri, "^file:/+", "file:/")
+
+    listed = spark.createDataFrame([(f,) for f in scanned.inputFiles()], "uri string").select(one_slash(F.col("uri")).alias("uri"))
+    with_content = scanned.select(one_slash(F.col("_metadata.file_path")).alias("uri"))
+    return listed.join(with_content, "uri", "left_anti").select(
+        F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))).alias("path"),
+        F.unhex(F.lit("")).alias("content"),
+        F.lit(0).cast("bigint").alias("length"),
+    )
+
+
 def write_outcomes(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """O6. Store success, failure and error rows apart, one directory per outcome."""
     df.write.mode(mode).partitionBy("outcome").parquet(path)

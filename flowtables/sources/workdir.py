@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -10,6 +11,11 @@ from pyspark.sql import SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="flowtables-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new directory below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -19,6 +25,5 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{_SETTING} must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="flowtables-")
-        spark.conf.set(_SETTING, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
