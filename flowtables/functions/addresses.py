@@ -15,9 +15,7 @@ _IPV4 = rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"
 def ipv4_number(address: Column) -> Column:
     """Address as bigint; null unless it is a dotted quad."""
     parts = F.split(address, r"\.")
-    number = F.lit(0).cast("bigint")
-    for i in range(4):
-        number = number * 256 + F.get(parts, F.lit(i)).cast("bigint")
+    number = F.aggregate(parts, F.lit(0).cast("bigint"), lambda n, part: n * 256 + part.cast("bigint"))
     return F.when(address.rlike(_IPV4), number)
 
 
@@ -64,7 +62,12 @@ def in_ranges(number: Column, ranges: list[tuple[int, int]]) -> Column:
     )
     for block in ipaddress.collapse_addresses(b for blocks in addresses for b in blocks):
         prefixes[block.prefixlen].add(int(block.network_address) >> (32 - block.prefixlen))
-    hit = F.lit(False)
-    for length, values in sorted(prefixes.items()):
-        hit = hit | F.shiftright(number, 32 - length).isin(sorted(values))
-    return F.coalesce(hit, F.lit(False))
+
+    def hit(n: Column) -> Column:
+        found = F.lit(False)
+        for length, values in sorted(prefixes.items()):
+            found = found | F.shiftright(n, 32 - length).isin(sorted(values))
+        return found
+
+    # As a lambda's argument the number is worked out once, not once per block size.
+    return F.coalesce(F.exists(F.array(number), hit), F.lit(False))

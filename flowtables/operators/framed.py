@@ -33,17 +33,22 @@ def _no_bytes() -> Column:
 
 
 def frame_bytes(flows: DataFrame, profile: str = "v2", mode: str = "flow_and_attributes") -> DataFrame:
-    """Add ``frame``: the flow as it goes over a connection. ``mode="flow_only"`` is the bare content."""
-    frame_prefix_bytes(profile)
+    """Add ``frame``, the flow as it goes over a connection, and ``frame_len``; ``mode="flow_only"`` is the bare content.
+
+    The length comes from ``size``, so it can be had without reading contents.
+    """
+    prefix = frame_prefix_bytes(profile)
     if mode == "flow_only":
-        return flows.withColumn("frame", F.col("content"))
+        return flows.withColumn("frame", F.col("content")).withColumn("frame_len", F.col("size"))
     if mode != "flow_and_attributes":
         raise ValueError(f"unknown mode {mode!r}")
     version = FRAME_VERSIONS[profile]
     header = binary.utf8_bytes(F.coalesce("header_json", F.lit("")))
     parts = [] if version is None else [binary.int32_bytes(F.lit(version))]
     parts += [binary.int32_bytes(F.col("header_len")), binary.int64_bytes(F.col("size")), header, F.col("content")]
-    return encode_attributes(flows, typed=profile == "legacy").withColumn("frame", F.concat(*parts))
+    return encode_attributes(flows, typed=profile == "legacy").withColumns(
+        {"frame": F.concat(*parts), "frame_len": F.lit(prefix) + F.col("header_len") + F.col("size")}
+    )
 
 
 def flows_to_segments(
@@ -61,11 +66,10 @@ def flows_to_segments(
     """
     if segment_bytes <= 0:
         raise ValueError("segment_bytes must be positive")
-    framed = frame_bytes(flows, profile, mode).select(conn, order, "frame")
-    length = F.octet_length("frame").cast("bigint")
+    framed = frame_bytes(flows, profile, mode).select(conn, order, "frame", "frame_len")
     placed = running(
-        framed, [conn], counter_block(order, order_block), [order], {"end": ("sum", length)}
-    ).withColumn("start", F.col("end") - length)
+        framed, [conn], counter_block(order, order_block), [order], {"end": ("sum", F.col("frame_len"))}
+    ).withColumn("start", F.col("end") - F.col("frame_len"))
     first, last = (F.floor(c / F.lit(segment_bytes)).cast("bigint") for c in (F.col("start"), F.col("end") - 1))
     cut_from = F.greatest(F.col("start"), F.col("seq") * segment_bytes)
     cut_to = F.least(F.col("end"), (F.col("seq") + 1) * segment_bytes)

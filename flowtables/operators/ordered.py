@@ -21,11 +21,16 @@ _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 def counter_block(counter: Column | str = "counter", size: int = COUNTER_BLOCK) -> Column:
     counter = F.col(counter) if isinstance(counter, str) else counter
-    return F.floor(counter / F.lit(size)).cast("bigint")
+    return _block_of(counter.cast("bigint"), size)
 
 
 def time_block(df: DataFrame, ts: str, seconds: int) -> Column:
-    return F.floor(epoch_micros(df, ts) / F.lit(seconds * 1_000_000)).cast("bigint")
+    return _block_of(epoch_micros(df, ts), seconds * 1_000_000)
+
+
+def _block_of(number: Column, size: int) -> Column:
+    # Never null, so that no null check on it keeps two readers of a shuffle from sharing it.
+    return F.coalesce(F.call_function("div", number, F.lit(size).cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def running(
@@ -38,7 +43,7 @@ def running(
     """Add running values, current row included.
 
     ``values`` maps an output column to ``(kind, column)`` with kind ``sum``, ``max`` or ``min``.
-    ``block`` must never fall while ``order`` rises within a group.
+    ``block`` must never fall while ``order`` rises within a group. Group columns must not be null.
     """
     blocked = df.withColumn("_block", block)
     for name, (_, column) in values.items():
