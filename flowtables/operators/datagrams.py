@@ -351,16 +351,16 @@ def contiguous_prefix(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY) -> Da
     )
 
 
+def first_arrivals(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, at: str = "arrival_ts") -> DataFrame:
+    """When each piece first came, in ms. Repeats are merged before the shuffle."""
+    timed = _pieces(datagrams.withColumn("_ms", epoch_millis(datagrams, at)))
+    return timed.groupBy(*key, "counter").agg(F.min("_ms").alias("first_ms"))
+
+
 def prefix_progress(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, at: str = "arrival_ts") -> DataFrame:
     """O26. When each piece of the contiguous prefix became usable: the latest first arrival among 0..counter."""
-    first = (
-        _pieces(datagrams.withColumn("_ms", epoch_millis(datagrams, at)))
-        .groupBy(*key, "counter")
-        .agg(F.min("_ms").alias("first_ms"))
-    )
-    ranked = running(
-        first, key, counter_block(), ["counter"], {"rank": ("sum", F.lit(1)), "usable_ms": ("max", F.col("first_ms"))}
-    )
+    values = {"rank": ("sum", F.lit(1)), "usable_ms": ("max", F.col("first_ms"))}
+    ranked = running(first_arrivals(datagrams, key, at), key, counter_block(), ["counter"], values)
     return ranked.filter(F.col("counter") == F.col("rank") - 1).select(*key, "counter", "usable_ms")
 
 

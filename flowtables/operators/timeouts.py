@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtables.operators.datagrams import announcements, prefix_progress
+from flowtables.operators.datagrams import announcements, first_arrivals, prefix_progress
 from flowtables.operators.ordered import counter_block
 from flowtables.schema import FLOW_KEY, SUCCESS
 
@@ -39,17 +39,21 @@ def classify_timeouts(
     """
     key = list(key)
     announced = announcements(datagrams, key, profile).select(*key, "n")
-    progress = prefix_progress(datagrams, key, at).join(announced, key).filter(F.col("counter") < F.col("n"))
+    small, large = announced.filter(F.col("n") <= flush_pieces), announced.filter(F.col("n") > flush_pieces)
 
+    began = F.max(F.when(F.col("counter") == 0, F.col("first_ms")))
     one_flush = (
-        progress.filter(F.col("n") <= flush_pieces)
+        first_arrivals(datagrams.filter(F.col("counter") < flush_pieces), key, at)
+        .join(small, key)
+        .filter(F.col("counter") < F.col("n"))
         .groupBy(*key)
-        .agg(F.count("*").alias("ready"), F.max("n").alias("n"), (F.max("usable_ms") - F.min("usable_ms")).alias("took"))
-        .filter((F.col("ready") == F.col("n")) & (F.col("took") <= timeout_ms))
+        .agg(F.count("*").alias("pieces"), F.max("n").alias("n"), (F.max("first_ms") - began).alias("took"))
+        .filter((F.col("pieces") == F.col("n")) & (F.col("took") <= timeout_ms))
         .select(*key)
     )
-    many = progress.filter(F.col("n") > flush_pieces)
-    in_time = one_flush.unionByName(_chained_in_time(many, key, timeout_ms, flush_pieces, span))
+    many = prefix_progress(datagrams.join(large, key, "left_semi"), key, at).join(large, key)
+    chained = _chained_in_time(many.filter(F.col("counter") < F.col("n")), key, timeout_ms, flush_pieces, span)
+    in_time = one_flush.unionByName(chained)
     return announced.join(in_time.withColumn("_ok", F.lit(True)), key, "left").select(
         *key, F.when(F.col("_ok"), SUCCESS).otherwise(TIMEOUT).alias("outcome")
     )

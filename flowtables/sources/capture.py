@@ -89,12 +89,14 @@ class FlowCaptureReader(DataSourceReader):
         self.limit = int(options.get("maxBlobBytes", MAX_BLOB_BYTES))
 
     def partitions(self) -> list[CaptureFile]:
-        fs, root = _filesystem(self.path)
-        selector = pafs.FileSelector(root, recursive=True)
-        files = fs.get_file_info(selector) if fs.get_file_info(root).type == pafs.FileType.Directory else [fs.get_file_info(root)]
-        scheme = self.path[: self.path.index("://") + 3] if "://" in self.path else ""
+        path = self.path.rstrip("/")
+        fs, root = _filesystem(path)
+        files = [fs.get_file_info(root)]
+        if files[0].type == pafs.FileType.Directory:
+            files = fs.get_file_info(pafs.FileSelector(root, recursive=True))
+        store = path[: -len(root)] if "://" in path and path.endswith(root) else ""
         names = sorted(f.path for f in files if f.type == pafs.FileType.File and not f.base_name.startswith(("_", ".")))
-        return [CaptureFile(f"{scheme}{n}") for n in names]
+        return [CaptureFile(f"{store}{n}") for n in names]
 
     def read(self, partition: CaptureFile) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0

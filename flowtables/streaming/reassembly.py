@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
+from operator import attrgetter
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -17,12 +18,16 @@ from flowtables.schema import ERROR, FLOW_KEY, MAX_BLOB_BYTES, MAX_PACKET_BYTES,
 _FLOW_FIELDS = "n long, payload_length long, header string"
 _META = f"{_FLOW_FIELDS}, count long, highest long, right long, left long, deadline long, closed boolean"
 
+_ROWS_AT_A_TIME = 10_000
+_arrival = attrgetter("arrival_ms", "arrival_seq")
+
 
 class FlowAssembler(StatefulProcessor):
     """Buffers the pieces of one flow until all are there, the flow stalls or it proves too large."""
 
     def __init__(self, key: Sequence[str], timeout_ms: int, keep_ms: int, max_pieces: int, flush_pieces: int, extra: int):
-        self.key, self.timeout_ms, self.keep_ms = list(key), timeout_ms, keep_ms
+        self.result = Row(*key, "payload_length", "header", "content", "verdict")
+        self.timeout_ms, self.keep_ms = timeout_ms, keep_ms
         self.max_pieces, self.flush_pieces, self.extra = max_pieces, flush_pieces, extra
 
     def init(self, handle) -> None:
@@ -30,14 +35,14 @@ class FlowAssembler(StatefulProcessor):
         self.meta = handle.getValueState("meta", _META)
         self.pieces = handle.getMapState("pieces", "counter long", "payload binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self._load()
         if self.closed:
             return  # late pieces of a finished flow
         fresh: dict[int, bytes] = {}
         verdict, latest = None, 0
-        for batch in rows:
-            for row in batch.sort_values(["arrival_ms", "arrival_seq"]).itertuples():
+        while some := list(islice(rows, _ROWS_AT_A_TIME)):
+            for row in sorted(some, key=_arrival):
                 latest = max(latest, row.arrival_ms)
                 verdict = self._take(row, fresh)
                 if verdict:
@@ -54,7 +59,7 @@ class FlowAssembler(StatefulProcessor):
         # Pieces that are never announced are forgotten after the same time.
         self._set_timer(latest + self.timeout_ms if self.deadline is None else self.deadline)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._load()
         if self.closed or self.n is None:  # a finished flow nobody sends to any more, or an orphan
             if not self.closed:
@@ -82,7 +87,7 @@ class FlowAssembler(StatefulProcessor):
         if not self._has(counter, fresh):
             self.count += 1
             self.highest = max(self.highest, counter)
-        fresh[counter] = row.payload
+        fresh[counter] = bytes(row.payload)
         if self.n is None:
             return None
         if self.count == self.n:
@@ -108,19 +113,13 @@ class FlowAssembler(StatefulProcessor):
                 self.pieces.removeKey((counter,))
                 self.count -= 1
 
-    def _result(self, key, verdict: str, fresh: dict[int, bytes]) -> pd.DataFrame:
+    def _result(self, key, verdict: str, fresh: dict[int, bytes]) -> Row:
         content = None
         if verdict == SUCCESS:
             if self.stored:
                 fresh = {c: bytes(p) for (c,), (p,) in self.pieces.iterator()} | fresh
             content = b"".join(fresh[c] for c in range(self.n))
-        row = dict(zip(self.key, key)) | {
-            "payload_length": self.payload_length,
-            "header": self.header,
-            "content": content,
-            "verdict": verdict,
-        }
-        return pd.DataFrame([row])
+        return self.result(*key, self.payload_length, self.header, content, verdict)
 
     def _close(self, at: int) -> None:
         if self.stored:
@@ -164,7 +163,7 @@ def stream_reassemble(
 
     The rows are those of ``reassemble``. A flow whose writing stalls for longer than ``timeout_ms`` is an error
     (``timeout``), one of too many pieces for a cell another (``oversize``, nothing is buffered for it). Pieces are
-    taken in arrival order within a micro-batch. State is kept per flow on disk; a finished flow is remembered for
+    taken in arrival order within a micro-batch, ten thousand at a time. State is kept per flow on disk; a finished flow is remembered for
     ``keep_ms`` so that late pieces are dropped, pieces without announcement are forgotten after ``timeout_ms``.
     """
     columns = set(datagrams.columns)
@@ -181,7 +180,7 @@ def stream_reassemble(
     key_schema = ", ".join(f"`{c}` {datagrams.schema[c].dataType.simpleString()}" for c in key)
     extra = 0 if datagram_profile(profile).announces_first else 1
     processor = FlowAssembler(key, timeout_ms, keep_ms, max(1, max_blob_bytes // max_payload_bytes), flush_pieces, extra)
-    done = wanted.groupBy(*key).transformWithStateInPandas(
+    done = wanted.groupBy(*key).transformWithState(
         statefulProcessor=processor,
         outputStructType=f"{key_schema}, payload_length long, header string, content binary, verdict string",
         outputMode="Append",
