@@ -164,7 +164,10 @@ def _arrival_order(datagrams: DataFrame) -> Column:
 
 
 def _pieces(datagrams: DataFrame) -> DataFrame:
-    return datagrams.filter(F.col("header_type").isin(0, 1) & (F.col("counter") >= 0))
+    """First datagrams are piece 0, data datagrams are pieces 1, 2 ...; anything else is no piece."""
+    return datagrams.filter(
+        ((F.col("header_type") == 0) & (F.col("counter") == 0)) | ((F.col("header_type") == 1) & (F.col("counter") > 0))
+    )
 
 
 def announcements(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, profile: str = "v0") -> DataFrame:
@@ -192,14 +195,12 @@ def counter_blocks(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY) -> DataF
 
 
 def dedupe_datagrams(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY) -> DataFrame:
-    """O24. One row per flow and counter; the last arrival wins. Repeats are merged before the shuffle."""
-    cell = [*key, "counter"]
-    rest = [c for c in datagrams.columns if c not in cell]
-    last = F.max(F.struct(_arrival_order(datagrams).alias("_seq"), *rest))
-    return (
-        datagrams.groupBy(*cell).agg(last.alias("_last")).select(*cell, *(F.col(f"_last.{c}").alias(c) for c in rest))
-        .select(*datagrams.columns)
-    )
+    """O24. One row per flow and counter; the last arrival wins.
+
+    Spark keeps one row of each group per task before the shuffle, so even endless copies of one piece travel once.
+    """
+    arrivals = Window.partitionBy(*key, "counter").orderBy(_arrival_order(datagrams).desc())
+    return datagrams.withColumn("_copy", F.row_number().over(arrivals)).filter("_copy = 1").drop("_copy")
 
 
 def flow_status(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, profile: str = "v0") -> DataFrame:
@@ -244,21 +245,16 @@ def reassemble(
     max_pieces = max(1, max_blob_bytes // max_payload_bytes)
     extra = 0 if datagram_profile(profile).announces_first else 1
 
-    seq = _arrival_order(datagrams).alias("s")
-    announcement = F.when(F.col("header_type") == 0, F.struct(seq, "n_datagrams", "payload_length", "header"))
-    pieces = (
-        _pieces(datagrams)
-        .groupBy(*key, "counter")
-        .agg(F.max(F.struct(seq, "payload")).alias("p"), F.max(announcement).alias("a"))
-        .select(*key, "counter", "p.payload", "a")
-    )
+    pieces = dedupe_datagrams(_pieces(datagrams), key)
+    announcement = F.when(F.col("counter") == 0, F.struct("n_datagrams", "payload_length", "header"))
     kept = F.col("counter") < max_pieces
     flows = (
-        pieces.withColumn("payload", F.when(kept, F.col("payload")))
+        pieces.withColumn("a", announcement)
+        .withColumn("payload", F.when(kept, F.col("payload")))
         .withColumn("place", F.when(kept, F.struct("counter", F.octet_length("payload").alias("len"))))
         .groupBy(*key)
         .agg(
-            F.max("a").alias("a"),
+            F.first("a", ignorenulls=True).alias("a"),
             F.count("*").alias("pieces"),
             F.max("counter").alias("last"),
             F.collect_list("place").alias("places"),
@@ -359,9 +355,15 @@ def first_arrivals(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, at: str
 
 def prefix_progress(datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, at: str = "arrival_ts") -> DataFrame:
     """O26. When each piece of the contiguous prefix became usable: the latest first arrival among 0..counter."""
+    first = first_arrivals(datagrams, key, at).withColumn("block", counter_block())
+    return contiguous_arrivals(first, key).select(*key, "counter", "usable_ms")
+
+
+def contiguous_arrivals(first: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows of ``first`` (one per piece, with its ``block``) before the first gap, with ``usable_ms``."""
     values = {"rank": ("sum", F.lit(1)), "usable_ms": ("max", F.col("first_ms"))}
-    ranked = running(first_arrivals(datagrams, key, at), key, counter_block(), ["counter"], values)
-    return ranked.filter(F.col("counter") == F.col("rank") - 1).select(*key, "counter", "usable_ms")
+    ranked = running(first, key, F.col("block"), ["counter"], values)
+    return ranked.filter(F.col("counter") == F.col("rank") - 1).drop("rank")
 
 
 # --- statistics and pacing ---------------------------------------------------------------------

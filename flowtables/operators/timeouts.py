@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtables.operators.datagrams import announcements, first_arrivals, prefix_progress
+from flowtables.operators.datagrams import announcements, contiguous_arrivals, first_arrivals
 from flowtables.operators.ordered import counter_block
 from flowtables.schema import FLOW_KEY, SUCCESS
 
@@ -51,8 +51,12 @@ def classify_timeouts(
         .filter((F.col("pieces") == F.col("n")) & (F.col("took") <= timeout_ms))
         .select(*key)
     )
-    many = prefix_progress(datagrams.join(large, key, "left_semi"), key, at).join(large, key)
-    chained = _chained_in_time(many.filter(F.col("counter") < F.col("n")), key, timeout_ms, flush_pieces, span)
+    # Joined block by block, so that no long flow meets its own announcement in one task.
+    last_block = counter_block(F.col("n") - 1)
+    blocks = large.select(*key, "n", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block"))
+    pieces = first_arrivals(datagrams, key, at).withColumn("block", counter_block())
+    many = contiguous_arrivals(pieces.join(blocks, [*key, "block"]).filter(F.col("counter") < F.col("n")), key)
+    chained = _chained_in_time(many, key, timeout_ms, flush_pieces, span)
     in_time = one_flush.unionByName(chained)
     return announced.join(in_time.withColumn("_ok", F.lit(True)), key, "left").select(
         *key, F.when(F.col("_ok"), SUCCESS).otherwise(TIMEOUT).alias("outcome")

@@ -174,8 +174,12 @@ def stream_reassemble(
         .withColumn("arrival_seq", order)
         .withWatermark(at, watermark)
         .select(*key, "header_type", "counter", "n_datagrams", "payload_length", "header", "payload", "arrival_ms", "arrival_seq", at)
-        # Each term names the time column, so none is pushed below the watermark, which keepalives thus still move.
-        .filter((F.col("header_type").isin(0, 1) | never) & ((F.col("counter") >= 0) | never))
+        # The condition names the time column, so it is not pushed below the watermark, which keepalives thus still move.
+        .filter(
+            ((F.col("header_type") == 0) & (F.col("counter") == 0))
+            | ((F.col("header_type") == 1) & (F.col("counter") > 0))
+            | never
+        )
     )
     key_schema = ", ".join(f"`{c}` {datagrams.schema[c].dataType.simpleString()}" for c in key)
     extra = 0 if datagram_profile(profile).announces_first else 1
