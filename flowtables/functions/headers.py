@@ -17,21 +17,32 @@ def header_text(attributes: Column) -> Column:
     return F.to_json(sorted_map(attributes))
 
 
+def text_value_json(value: Column) -> Column:
+    """A value as a JSON string, or null."""
+    quoted = F.to_json(F.create_map(F.lit("v"), value))
+    return F.substring(quoted, F.lit(6), F.length(quoted) - 6)
+
+
 def typed_value_json(value: Column) -> Column:
     """JSON text of one attribute value: what it parses to, else the value as a JSON string."""
-    quoted = F.to_json(F.create_map(F.lit("v"), value))
-    as_string = F.substring(quoted, F.lit(6), F.length(quoted) - 6)
-    return F.coalesce(F.to_json(F.try_parse_json(value)), as_string)
+    return F.coalesce(F.to_json(F.try_parse_json(value)), text_value_json(value))
 
 
-def typed_header_text(attributes: Column) -> Column:
-    """JSON object with sorted keys whose values are numbers, booleans, objects or strings."""
+def typed_header_text(attributes: Column, text_regex: str | None = None) -> Column:
+    """JSON object with sorted keys whose values are numbers, booleans, objects or strings; the values of names that
+    match ``text_regex`` as a whole stay strings."""
     entries = F.array_sort(F.map_entries(attributes))
 
+    def value(entry: Column) -> Column:
+        typed = typed_value_json(entry["value"])
+        if text_regex is None:
+            return typed
+        return F.when(entry["key"].rlike(rf"\A(?:{text_regex})\z"), text_value_json(entry["value"])).otherwise(typed)
+
     def member(entry: Column) -> Column:
         quoted = F.to_json(F.create_map(entry["key"], F.lit("")))
         key = F.substring(quoted, F.lit(2), F.length(quoted) - 5)
-        return F.concat(key, F.lit(":"), typed_value_json(entry["value"]))
+        return F.concat(key, F.lit(":"), value(entry))
 
     return F.concat(F.lit("{"), F.array_join(F.transform(entries, member), ","), F.lit("}"))
 

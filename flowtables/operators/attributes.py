@@ -66,10 +66,14 @@ def select_attributes(
     return flows.withColumn("attributes", chosen)
 
 
-def encode_attributes(flows: DataFrame, typed: bool = False) -> DataFrame:
-    """O10. Add ``header_json`` and ``header_len``; flows without attributes have no header (length 0)."""
+def encode_attributes(flows: DataFrame, typed: bool = False, text_regex: str | None = None) -> DataFrame:
+    """O10. Add ``header_json`` and ``header_len``; flows without attributes have no header (length 0).
+
+    ``typed`` writes values as the JSON they parse to, as older senders do; those take the values they selected by
+    a regular expression as text all the same, which ``text_regex`` says.
+    """
     attributes = F.col("attributes")
-    text = headers.typed_header_text(attributes) if typed else headers.header_text(attributes)
+    text = headers.typed_header_text(attributes, text_regex) if typed else headers.header_text(attributes)
     if typed:
         text = F.when(attributes.isNotNull(), F.coalesce(text, F.lit("{}")))
     with_text = flows.withColumn("header_json", text)

@@ -494,7 +494,8 @@ def flow_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_id, user_id, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS conn_no
+    """SELECT event_id, user_id,
+         CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS conn_no
        FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR
                THEN 0 ELSE 1 END AS opens FROM events)"""
 )
@@ -521,7 +522,7 @@ def outcomes_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("outcome", "flow_id", "size", F.md5("content").alias("content_md5"))
 
 
-@query("SELECT 'test_' || doc_id AS name, 125000 AS size, CAST(doc_id AS DOUBLE) AS created_s FROM documents")
+@query("SELECT 'test_' || doc_id AS name, CAST(125000 AS BIGINT) AS size, CAST(doc_id AS DOUBLE) AS created_s FROM documents")
 def synth_fixed_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = views.table(spark, sf_dir, "documents").select("doc_id")
     return synth_flows(numbers, fpm=60, bandwidth=1).select("name", "size", "created_s")

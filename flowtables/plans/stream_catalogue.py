@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.functions.times import epoch_micros
 from flowtables.operators.attributes import encode_attributes
 from flowtables.operators.framed import assemble_frames
 from flowtables.plans import views
@@ -66,7 +65,7 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         F.col("event_id").alias("seq"),
         F.encode("props", "UTF-8").alias("bytes"),
-        F.timestamp_micros(epoch_micros(events, "ts")).alias("ts"),
+        F.col("ts").cast("timestamp").alias("ts"),
     )
     sessions = replay(
         spark,

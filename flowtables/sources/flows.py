@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def flows_from_table(
@@ -65,6 +66,12 @@ def write_outcomes(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
     df.write.mode(mode).partitionBy("outcome").parquet(path)
 
 
+def stream_outcomes(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """O6 for a stream: the same layout, each row exactly once. ``trigger`` is that of ``writeStream``."""
+    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return writer.partitionBy("outcome").outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
+
+
 def synth_flows(
     numbers: DataFrame,
     fpm: int = 60,

@@ -85,6 +85,11 @@ def test_typed_header(spark):
     assert list(json.loads(row["header_json"])) == sorted(expected)
 
 
+def test_typed_header_keeps_names_selected_by_regex_as_text(spark):
+    row = attrs.encode_attributes(one(spark, {"n": "12", "nn": "12", "x": None}), typed=True, text_regex="n|y").first()
+    assert row["header_json"] == '{"n":"12","nn":12,"x":null}'
+
+
 def test_typed_header_of_no_attributes(spark):
     row = attrs.encode_attributes(one(spark, {}), typed=True).first()
     assert row["header_json"] == "{}" and row["header_len"] == 2

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from flowtables.operators.attributes import encode_attributes
 from flowtables.sources import capture, flows
 from flowtables.sources.workdir import work_dir
-from flowtables.streaming.transfer import transfer_stream
+from flowtables.streaming.transfer import FLOW_SCHEMA, transfer_stream
 
 
 def some_flows(spark, n=20):
@@ -40,6 +40,15 @@ def test_outcomes_are_stored_apart(spark, tmp_path):
     assert spark.read.parquet(path).filter("outcome = 'failure'").count() == 7
 
 
+def test_outcomes_of_a_stream(spark, tmp_path):
+    landing, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    some_flows(spark).write.parquet(landing)
+    stream = spark.readStream.schema(FLOW_SCHEMA).parquet(landing).withColumn("outcome", F.lit("success"))
+    for _ in range(2):
+        flows.stream_outcomes(stream, out, checkpoint).awaitTermination()
+    assert spark.read.parquet(out).groupBy("outcome").count().collect() == [("success", 20)]
+
+
 @pytest.mark.parametrize("profile", ["v2", "v0", "legacy"])
 def test_capture_files_round_trip(spark, tmp_path, profile):
     path = str(tmp_path / "cap")
