@@ -21,7 +21,7 @@ def ip_allowlist_filter(
     The list is an argument, so the test is a plain filter and can run before any shuffle. No list admits all.
     """
     if allowlist is None:
-        return df.limit(0) if rejected else df
+        return df.filter(F.lit(False)) if rejected else df
     parse = addresses.parse_allowlist_compat if compat else addresses.parse_allowlist
     ranges, exact = parse(allowlist)
     admitted = addresses.in_ranges(addresses.ipv4_number(F.col(ip_col)), ranges)

@@ -39,7 +39,7 @@ PARSED = [
 ]
 
 BOTH_WAYS = pytest.mark.parametrize(
-    "way", [{}, {"hot_bytes": 0, "block_bytes": 32}, {"hot_bytes": 0, "block_bytes": 100}, {"hot_bytes": 0}]
+    "way", [{}, {"hot_bytes": 0, "block_bytes": 32}, {"hot_bytes": 0}]
 )
 
 
