@@ -6,7 +6,9 @@ import struct
 
 import pyarrow as pa
 
-LENGTHS = struct.Struct(">iq")
+# Header and payload length, big-endian, the last 12 bytes of the fixed prefix.
+LENGTHS = ">iq"
+LENGTHS_BYTES = 12
 
 
 class FrameCutter:
@@ -60,7 +62,7 @@ class FrameCutter:
         return out
 
     def _begin(self, out: list[tuple]) -> None:
-        self.header_len, self.payload_len = LENGTHS.unpack(self.pending[-LENGTHS.size :])
+        self.header_len, self.payload_len = struct.unpack(LENGTHS, self.pending[-LENGTHS_BYTES:])
         self.pending = b""
         bad = self.header_len < 0 or self.payload_len < 0
         part = "X" if bad else "F"

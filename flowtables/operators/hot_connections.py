@@ -12,6 +12,7 @@ unresolved and must be read in turn.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.operators.framecutter import LENGTHS, FrameCutter, piece_batch
+from flowtables.operators.framecutter import LENGTHS, LENGTHS_BYTES, FrameCutter, piece_batch
 
 # Plausible headers are shorter than this.
 MAX_HEADER_BYTES = 1 << 24
@@ -35,18 +36,24 @@ def frame_chains(data: bytes, start: int, prefix: int) -> tuple[list[int], list[
     if inside <= 0:
         return [], [], [], []
     zero = np.frombuffer(data, dtype=np.uint8) == 0
-    at = prefix - LENGTHS.size
-    places = np.flatnonzero(zero[at : at + inside] & zero[at + 4 : at + 4 + inside] & zero[at + 5 : at + 5 + inside])
-    ends: dict[int, tuple[int, int, int]] = {}
-    for place in reversed(places.tolist()):
-        header_len, payload_len = LENGTHS.unpack_from(data, place + at)
-        following = place + prefix + header_len + payload_len
-        if following >= inside:
-            ends[place] = (following, 1, place)
-        elif following in ends:
-            leaves, count, last = ends[following]
-            ends[place] = (leaves, count + 1, last)
-    kept = sorted(ends)[:_PASSED_ON]
+    at = prefix - LENGTHS_BYTES
+    plausible = zero[at : at + inside] & zero[at + 4 : at + 4 + inside] & zero[at + 5 : at + 5 + inside]
+    ends: dict[int, tuple[int, int, int] | None] = {}  # None: the chain runs into an implausible place
+    kept: list[int] = []
+    for place in map(int, np.flatnonzero(plausible)):
+        trail, here = [], place
+        while here < inside and here not in ends and plausible[here]:
+            trail.append(here)
+            header_len, payload_len = struct.unpack_from(LENGTHS, data, here + at)
+            here += prefix + header_len + payload_len
+        end = (here, 0, here) if here >= inside else ends.get(here)
+        for passed in reversed(trail):
+            end = end and (end[0], end[1] + 1, end[2] if end[1] else passed)
+            ends[passed] = end
+        if ends[place]:
+            kept.append(place)
+            if len(kept) == _PASSED_ON:
+                break
     return (
         [start + p for p in kept],
         [start + ends[p][0] for p in kept],
@@ -153,7 +160,7 @@ def _cut_block(data: bytes, place: tuple, prefix: int, block_bytes: int, max_blo
         return rows
     at = entry - base
     while at <= len(data) - prefix and at < own:
-        header_len, payload_len = LENGTHS.unpack_from(data, at + prefix - LENGTHS.size)
+        header_len, payload_len = struct.unpack_from(LENGTHS, data, at + prefix - LENGTHS_BYTES)
         rows.append((frames, "F", 0, header_len, payload_len, None))
         begin, following = at + prefix, at + prefix + header_len + payload_len
         if min(following, own) > begin:
