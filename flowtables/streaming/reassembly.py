@@ -163,9 +163,9 @@ def stream_reassemble(
 
     The rows are those of ``reassemble``. A flow whose writing stalls for longer than ``timeout_ms`` is an error
     (``timeout``), one of too many pieces for a cell another (``oversize``, nothing is buffered for it; land its pieces
-    and read them with ``reassemble(output="chunks")``). Pieces are
-    taken in arrival order within a micro-batch, ten thousand at a time. State is kept per flow on disk; a finished flow is remembered for
-    ``keep_ms`` so that late pieces are dropped, pieces without announcement are forgotten after ``timeout_ms``.
+    and read them with ``reassemble(output="chunks")``). Pieces are taken in arrival order within a micro-batch, ten
+    thousand at a time. State is kept per flow on disk; a finished flow is remembered for ``keep_ms`` so that late pieces
+    are dropped, pieces without announcement are forgotten after ``timeout_ms``.
     """
     columns = set(datagrams.columns)
     order = F.col("arrival_seq") if "arrival_seq" in columns else F.lit(0).cast("bigint")
