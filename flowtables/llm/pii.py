@@ -1,0 +1,251 @@
+"""Personal data: patterns with checks, and spans a conditional random field adds by the shapes of words.
+
+Base kinds are found by pattern and check (``base_spans``). The field labels words (white space between) with O, email,
+ip, card or phone; it is trained from a small labelled table (``LABELLED``) on word shapes alone: digits, dots, dashes,
+letters, signs, and the shapes beside. Words without a digit or ``@`` can only be O, so chains are the runs of the
+others, decoded in NumPy batches. Runs of one label that hold a plausible value (``_plausible``) and touch no base span
+are added.
+
+Null and empty texts have no spans. Repeated rows are treated alike, extra columns are not looked at.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from flowtables.llm import crf
+from flowtables.llm.textkernel import CODE_POINT, WORD, byte_table, mapped, runs
+
+KINDS = ("email", "ip", "card", "phone")
+LABELS = ("O", *KINDS)
+#: The small labelled table: prose with marked values.
+LABELLED = (
+    "write to [email:ann.b@post.example.org] or call [phone:+1 (212) 555-0147] today",
+    "reach us at [phone:(415) 555-0132] before noon",
+    "my number is [phone:555-0199] and the office is [phone:212-555-0118]",
+    "fax [phone:030 5550 1234] or mail [email:kontor@firma.example.de]",
+    "tel [phone:+49 30 901820] und mobil [phone:+49 170 5550123]",
+    "appelez le [phone:01 55 50 12 34] ou ecrivez a [email:jean_dupont@courriel.example.fr]",
+    "llame al [phone:+34 915 550 123] o al [phone:(91) 555-0177]",
+    "contact [email:x.y-z+news@sub.mail.example.com] for more",
+    "old address [email:someone@localhost] no longer works",
+    "the host [ip:10.20.30.40] answered, [ip:192.168.1.254] did not",
+    "ping [ip:172.16.0.1] then [ip:8.8.4.4:53] again",
+    "server [ip:203.0.113.77] logged in at 12:45 on 3 May 2021",
+    "paid with [card:4111 1111 1111 1111] last week",
+    "card [card:5500-0000-0000-0004] expires 09/27",
+    "number [card:340000000000009] was refused twice",
+    "use [card:4012888888881881] and code 123",
+    "card [card:6011 0000 0000 0004] or [card:30000000000004]",
+    "version 2.0 of the text, chapter 14, page 215",
+    "licensed under version 3 or CC BY-NC 4.0 terms",
+    "in 1984 there were 1200 people and 35 houses",
+    "the total is 1,250,000 of 3,400,000 or 36.8 percent",
+    "see section 4.2.1 and table 7 of release 1.13.2",
+    "between 1914-1918 and 1939-1945 little was built",
+    "item 00123-45 costs 19.99 and ships in 24 hours",
+    "follow @someone and @other_42 for 3 tips",
+    "at 10:30 on 2023-11-05 the value was 0.0031",
+    "isbn 978-3-16-148410-0 and order 2024-000123",
+    "rooms 101, 102 and 103 hold 40, 60 and 80",
+    "the ratio 16:9 at 1920x1080 and 60 fps",
+    "temperatures of 20.5 to 23.1 and 300 mm of rain",
+    "page 3 of 12, lines 100 to 250",
+    "account 123456 of branch 0042 holds 5000",
+    "code 8841 and 9920 were issued in 2019 2020 2021",
+    "x1 y2 z3 and 4th of 5 in 2nd place",
+)
+_DIGIT, _LETTER = byte_table(range(48, 58)), byte_table([*range(65, 91), *range(97, 123), *range(0x80, 0x100)])
+_AT, _DOT, _DASH, _COLON = (byte_table(c) for c in (b"@", b".", b"-", b":"))
+_COMMA, _PAREN, _PLUS = byte_table(b","), byte_table(b"()"), byte_table(b"+")
+_TRAILING, _LEADING = b".,;:!?\"'", b"\"'"
+
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# A digit run is tried from its first digit only: later ones fail wherever that fails, and matches end with a run.
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+_PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_NUMERAL = re.compile("[0-9]")
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + k % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def _digits(text: str) -> str:
+    return "".join(_NUMERAL.findall(text))
+
+
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    """``kind, start, end`` of the base kinds, by kind and start."""
+    found, at, done = [], text.find("@"), 0
+    while at >= 0:
+        start = at
+        while start > done and _LOCAL.match(text, start - 1):
+            start -= 1
+        match = _DOMAIN.match(text, at) if start < at else None
+        if match:
+            done = match.end()
+            found.append(("email", start, done))
+        at = text.find("@", max(at + 1, done))
+    for m in _IP.finditer(text):
+        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            found.append(("ip", m.start(), m.end()))
+    for m in _CARD.finditer(text):
+        digits = _digits(m.group())
+        if 16 <= len(digits) <= 19 and luhn(digits):
+            found.append(("card", m.start(), m.end()))
+    for m in _PHONE.finditer(text):
+        if 8 <= len(_digits(m.group())) <= 15:
+            found.append(("phone", m.start(), m.end()))
+    return found
+
+
+def _plausible(kind: str, text: str) -> bool:
+    digits = _digits(text)
+    if kind == "email":
+        return bool(re.search(r"[A-Za-z0-9]@[A-Za-z0-9]", text))
+    if kind == "ip":
+        parts = re.findall("[0-9]+", text)
+        return len(parts) in (4, 5) and all(len(p) <= 3 and int(p) <= 255 for p in parts[:4])
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 7 <= len(digits) <= 15
+
+
+def shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Shape features of words that form chains: chain k is the words ``first[k]:first[k + 1]``."""
+    n = len(starts)
+
+    def count(table: np.ndarray) -> np.ndarray:
+        total = np.concatenate(([0], np.cumsum(table[data])))
+        return total[ends] - total[starts]
+
+    digits, letters, at, dots, dashes = (count(t) for t in (_DIGIT, _LETTER, _AT, _DOT, _DASH))
+    colons, commas = count(_COLON), count(_COMMA)
+    size = ends - starts
+    paren = count(_PAREN) > 0
+    plus = _PLUS[data[starts]] if n else np.zeros(0, bool)
+    pure = (letters == 0) & (at == 0)
+    own = [
+        at > 0, (at > 0) & (size > at + 1) & (letters > 0) & ~byte_table(b"@")[data[starts]] if n else np.zeros(0, bool), plus,
+        paren, letters > 0, pure & (digits == 1), pure & (digits == 2), pure & (digits == 3), pure & (digits == 4),
+        pure & (digits >= 5) & (digits <= 6), pure & (digits >= 7) & (digits <= 12), pure & (digits >= 13) & (digits <= 19), digits > 19,
+        pure & (dots >= 3) & (digits <= 14), pure & (dots > 0) & (dots < 3), dashes == 1, dashes == 2, dashes > 2, colons > 0, commas > 0,
+        pure & (digits >= 7) & (digits <= 11) & (dashes >= 1) & (dots == 0),
+    ]
+    own = np.column_stack(own).astype(np.float32) if n else np.zeros((0, 21), np.float32)
+    before, after = np.zeros_like(own), np.zeros_like(own)
+    before[1:], after[:-1] = own[:-1], own[1:]
+    before[first[:-1]] = 0
+    after[first[1:] - 1] = 0
+    edge = np.zeros((n, 3), np.float32)
+    edge[:, 0] = 1
+    edge[first[:-1], 1] = 1
+    edge[first[1:] - 1, 2] = 1
+    return np.concatenate((own, before, after, edge), axis=1)
+
+
+def marked_words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words with a digit or ``@``: starts, ends, text, and where each run of neighbouring ones begins."""
+    starts, ends, first = runs(data, borders, WORD)
+    marks = np.flatnonzero(_DIGIT[data] | _AT[data])
+    word = np.unique(np.searchsorted(starts, marks, side="right") - 1)
+    doc = np.searchsorted(first, word, side="right") - 1
+    new = np.ones(len(word), bool)
+    new[1:] = (np.diff(word) != 1) | (np.diff(doc) != 0)
+    chains = np.append(np.flatnonzero(new), len(word))
+    return starts[word], ends[word], doc, chains
+
+
+def train(table: tuple[str, ...] = LABELLED) -> dict[str, np.ndarray]:
+    """The field's weights from rows of marked prose."""
+    texts, spans = [], []
+    for row in table:
+        plain, marks, at = "", [], 0
+        for m in re.finditer(r"\[(\w+):([^\]]*)\]", row):
+            plain += row[at : m.start()]
+            marks.append((len(plain), len(plain) + len(m.group(2)), LABELS.index(m.group(1))))
+            plain, at = plain + m.group(2), m.end()
+        texts.append((plain + row[at:]).encode())
+        spans.append(marks)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    borders = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    starts, ends, doc, chains = marked_words(data, borders)
+    labels = np.zeros(len(starts), np.int64)
+    for i, (start, d) in enumerate(zip(starts - borders[doc], doc)):
+        labels[i] = next((kind for a, b, kind in spans[d] if a <= start < b), 0)
+    return crf.fit(shapes(data, starts, ends, chains).astype(float), labels, chains, len(LABELS), steps=300, ridge=3e-3)
+
+
+def _rendered(spans: list[tuple[str, int, int]]) -> str:
+    ordered = sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in ordered)
+
+
+COLUMNS = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+
+
+def find_personal_data(documents: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """One row per document: counts of base kinds, a digest of base spans, and all spans."""
+    weights = weights or train()
+
+    def find(batch, data, borders, state):
+        n = batch.num_rows
+        starts, ends, doc, chains = marked_words(data, borders)
+        labels = np.zeros(0, np.int8)
+        if len(starts):
+            scores = shapes(data, starts, ends, chains) @ weights["emit"]
+            labels = crf.viterbi(scores, chains, weights["start"], weights["step"], weights["end"])
+        points = np.concatenate(([0], np.cumsum(CODE_POINT[data])))
+        counts, digests, spans, added = np.zeros((len(KINDS), n), np.int64), [""] * n, [""] * n, np.zeros(n, np.int64)
+        empty = hashlib.sha256(b"").hexdigest()
+        digests = [empty] * n
+        word_from = np.searchsorted(doc, np.arange(n + 1))
+        chain_of = np.searchsorted(chains, np.arange(len(starts)), side="right") - 1
+        # Texts without a digit or @ hold neither base nor added spans.
+        for d in np.unique(doc).tolist():
+            text = data[borders[d] : borders[d + 1]].tobytes().decode()
+            base = base_spans(text)
+            for kind, _, _ in base:
+                counts[KINDS.index(kind), d] += 1
+            rendered = _rendered(base)
+            digests[d] = hashlib.sha256(rendered.encode()).hexdigest()
+            more, i, stop = [], int(word_from[d]), int(word_from[d + 1])
+            while i < stop:
+                j = i + 1
+                while j < stop and labels[j] == labels[i] and chain_of[j] == chain_of[i]:
+                    j += 1
+                if labels[i]:
+                    a, b = int(starts[i]), int(ends[j - 1])
+                    while b > a and data[b - 1] in _TRAILING:
+                        b -= 1
+                    while a < b and data[a] in _LEADING:
+                        a += 1
+                    kind = LABELS[labels[i]]
+                    begin, end = int(points[a] - points[borders[d]]), int(points[b] - points[borders[d]])
+                    if _plausible(kind, text[begin:end]) and all(end <= x or begin >= y for _, x, y in base):
+                        more.append((kind, begin, end))
+                i = j
+            added[d] = len(more)
+            spans[d] = _rendered(base + more) if more else rendered
+        return {
+            "doc_id": batch.column(0),
+            **{f"n_{k}": pa.array(counts[i], pa.int64()) for i, k in enumerate(KINDS)},
+            "base_sha256": pa.array(digests, pa.string()),
+            "spans": pa.array(spans, pa.string()),
+            "n_added": pa.array(added, pa.int64()),
+        }
+
+    return mapped(documents.select(F.col("doc_id").cast("long"), "text"), find, "text", COLUMNS)
