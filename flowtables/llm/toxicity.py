@@ -24,8 +24,9 @@ from flowtables.llm.textkernel import LOWER, byte_table, mapped, owners, runs
 
 SAMPLE_DOCS = 4000
 VOCABULARY = 256
-#: A telling word is in at least this share of the sample's toxic documents.
+#: A telling word is in at least this share and this number of the sample's toxic documents.
 SUPPORT = 0.02
+MIN_SUPPORT = 5
 FOLDS = 5
 CHAIN = ("dense", "varied", "toxic")
 THRESHOLD = 0.5
@@ -121,7 +122,7 @@ def train(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS) -> d
     )
     odds = F.log((F.col("bad") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("good") + 0.5) / (sizes[0] + 1.0))
     telling = (
-        words.filter((F.col("bad") >= max(1.0, SUPPORT * sizes[1])) & (odds > 1.0))
+        words.filter((F.col("bad") >= max(MIN_SUPPORT, SUPPORT * sizes[1])) & (odds > 1.0))
         .orderBy((odds * F.sqrt("bad")).desc(), "word")
         .limit(VOCABULARY)
     )
