@@ -25,7 +25,7 @@ from flowtables.llm.textkernel import LOWER, byte_table, mapped, owners, runs
 SAMPLE_DOCS = 4000
 VOCABULARY = 256
 #: A telling word is in at least this share and this number of the sample's toxic documents.
-SUPPORT = 0.02
+SUPPORT = 0.05
 MIN_SUPPORT = 5
 FOLDS = 5
 CHAIN = ("dense", "varied", "toxic")
