@@ -27,6 +27,8 @@ VOCABULARY = 256
 #: A telling word is in at least this share and this number of the sample's toxic documents.
 SUPPORT = 0.05
 MIN_SUPPORT = 5
+#: ... and so much (in log-odds) more often there than in the others.
+MIN_LOG_ODDS = 2.0
 FOLDS = 5
 CHAIN = ("dense", "varied", "toxic")
 THRESHOLD = 0.5
@@ -122,7 +124,7 @@ def train(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS) -> d
     )
     odds = F.log((F.col("bad") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("good") + 0.5) / (sizes[0] + 1.0))
     telling = (
-        words.filter((F.col("bad") >= max(MIN_SUPPORT, SUPPORT * sizes[1])) & (odds > 1.0))
+        words.filter((F.col("bad") >= max(MIN_SUPPORT, SUPPORT * sizes[1])) & (odds > MIN_LOG_ODDS))
         .orderBy((odds * F.sqrt("bad")).desc(), "word")
         .limit(VOCABULARY)
     )
