@@ -89,7 +89,8 @@ def drop_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFr
         .withColumnRenamed("doc_id", "_doc_id")
     )
     hits = stored(hits, "boilerplate-hits")
-    joined = documents.join(hits, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
+    # Both sides grow with the corpus: neither is to be sent to every task, however small it is in a trial.
+    joined = documents.join(hits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
     goes = lambda x, i: (trimmed(x) != "") & F.array_contains(F.col("_lines"), F.xxhash64(trimmed(x))) & ~F.array_contains(F.col("_kept"), i)
     parts = F.split("text", "\n")
     untouched = F.col("_lines").isNull() | F.col("text").isNull()
