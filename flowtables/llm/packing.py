@@ -13,6 +13,7 @@ any order, which changes nothing in the rows' values. An empty table gives no ro
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -53,8 +54,6 @@ class WordIds:
         self.pieces: dict[str, bytes] = {}
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
         if len(self.pieces) > CACHED_WORDS:
             self.pieces.clear()
         # Latin words are cut here as the tokenizer would cut them, since their parts recur more often than they do.
@@ -68,19 +67,25 @@ class WordIds:
         for word, parts in cut.items():
             self.words[word] = b"".join([self.pieces[p] for p in parts])
 
-    def of_text(self, text: bytes) -> bytes:
-        words = text.split()
+    def of_texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text; words that are new to the worker are learnt together."""
+        split = [t.split() for t in texts]
         known = self.words
-        new = {w for w in words if w not in known}
+        new = {w for words in split for w in words} - known.keys()
         if new:
+            if len(known) > CACHED_WORDS:
+                known.clear()
+                new = {w for words in split for w in words}
             self._learn(new)
-        return b"".join([known[w] for w in words])
+        return [b"".join([known[w] for w in words]) for words in split]
 
 
 def _tokenizer(path: str) -> WordIds:
     """One per Python worker, kept for the tasks that follow in it."""
     import tokenizers
 
+    # Tasks are the parallel unit; threads of the library would only contend with them.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     kept = tokenizers.__dict__.setdefault("_word_ids", {})
     if path not in kept:
         kept[path] = WordIds(path)
@@ -97,8 +102,9 @@ def token_pieces(documents: DataFrame, path: str | None = None, capacity: int =
         width = 4 * capacity
         for batch, data, borders in sliced(batches, "text"):
             rows = []
-            for doc, low, high in zip(batch.column(0).to_pylist(), borders[:-1].tolist(), borders[1:].tolist()):
-                tokens = ids.of_text(data[low:high].tobytes()) + end
+            own = ids.of_texts([data[a:b].tobytes() for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())])
+            for doc, tokens in zip(batch.column(0).to_pylist(), own):
+                tokens += end
                 for k, at in enumerate(range(0, len(tokens), width)):
                     piece = tokens[at : at + width]
                     rows.append((doc, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
