@@ -28,7 +28,7 @@ from flowtables.llm.textkernel import sliced
 CAPACITY = 4096
 END = 1
 #: Words kept by a Python worker with their ids; beyond it forgets them all.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
