@@ -228,6 +228,8 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, k: int = K) -> D
         .filter("n > 1")
         .select("node", (F.col("low") != F.col("high")).cast("int").alias("branching"))
     )
+    # Written, so that Spark can split a node's many occurrences when it joins them.
+    nodes = stored(nodes, "repeated-nodes")
     states = (
         occurrences.select("doc_id", "content", "number", "node")
         .join(nodes, "node")
@@ -239,6 +241,7 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, k: int = K) -> D
     found = stored(_same_row(own, states, "inner"), "documents-with-repeats")
     left = stored(open_windows(found, window, k), "open-windows")
     repeated = left.groupBy("sequence").agg(F.count("*").alias("n")).filter("n > 1").select("sequence")
+    repeated = stored(repeated, "repeated-sequences")
     checked = (
         left.join(repeated, "sequence")
         .groupBy("doc_id", "content")
