@@ -26,7 +26,7 @@ CAP = 3
 BLOCK = 32
 SHARD_SLOTS = 4096
 SEED = 20_240_601
-_ROUNDS = 8
+_ROUNDS = 5
 
 
 def with_permuted(df: DataFrame, name: str, i: Column, n: Column, *key: Column) -> DataFrame:
@@ -38,11 +38,11 @@ def with_permuted(df: DataFrame, name: str, i: Column, n: Column, *key: Column)
     never_null = lambda c: F.coalesce(c, F.lit(0).cast("long"))
     df = df.withColumn(name, never_null(i))
     for r in range(_ROUNDS):
-        df = df.withColumn("_turn", never_null(F.pmod(F.xxhash64(*key, F.lit(SEED + r), n), n)))
-        df = df.withColumn("_partner", never_null(F.pmod(F.col("_turn") - F.col(name), n)))
+        turn = F.pmod(F.xxhash64(*key, F.lit(SEED + r), n), n)
+        df = df.withColumn("_partner", never_null(F.pmod(turn - F.col(name), n)))
         swap = F.xxhash64(F.greatest(name, "_partner"), *key, F.lit(SEED - r)).bitwiseAND(F.lit(1)) == 1
         df = df.withColumn(name, never_null(F.when(swap, F.col("_partner")).otherwise(F.col(name))))
-    return df.drop("_turn", "_partner")
+    return df.drop("_partner")
 
 
 def with_targets(sources: DataFrame) -> DataFrame:
