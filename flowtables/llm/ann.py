@@ -29,7 +29,7 @@ SAMPLE = 20_000
 LIST_SIZE = 64
 MAX_LISTS = 1024
 DEGREE = 24
-BEAM = 96
+BEAM = 192
 REPLICA_RATIO = 1.06
 REPLICAS = 4
 PROBE_RATIO = 1.35
