@@ -82,7 +82,11 @@ def packetize(
 
 
 def encode_packets(datagrams: DataFrame, profile: str = "v0") -> DataFrame:
-    """Add ``packet``, the bytes of each datagram as they travel."""
+    """Add ``packet``, the bytes of each datagram as they travel, with ``outcome`` and ``reason``.
+
+    A packet has 32 bits for the flow's number and for how many datagrams it has (the legacy one also for the counter).
+    Flows out of that range cannot be sent: their packets are null, ``outcome`` is ``failure``.
+    """
     sizes = datagram_profile(profile)
     header = binary.utf8_bytes(F.col("header"))
     first = F.concat(
@@ -101,29 +105,42 @@ def encode_packets(datagrams: DataFrame, profile: str = "v0") -> DataFrame:
         binary.int64_bytes(counter) if sizes.counter_bytes == 8 else binary.int32_bytes(counter),
         F.col("payload"),
     )
-    return datagrams.withColumn("packet", F.when(F.col("header_type") == 0, first).otherwise(data))
+    fits = F.col("flow_id").between(-(2**31), 2**31 - 1)
+    counted = F.coalesce(F.col("n_datagrams").between(0, 2**31 - 1), F.lit(True))
+    if sizes.counter_bytes == 4:
+        counted = counted & F.coalesce(counter.between(0, 2**31 - 1), F.lit(True))
+    packet = F.when(fits & counted, F.when(F.col("header_type") == 0, first).otherwise(data))
+    before = F.col("outcome") if "outcome" in datagrams.columns else F.lit(SUCCESS)
+    return (
+        datagrams.withColumn("packet", packet)
+        .withColumn("outcome", F.when(fits & counted, before).otherwise(FAILURE))
+        .withColumn("reason", F.when(~fits, "flow_id_range").when(~counted, "datagram_count_range"))
+    )
 
 
 def parse_packets(
-    packets: DataFrame, packet_col: str = "packet", max_size: int = MAX_PACKET_BYTES, profile: str = "v0"
+    packets: DataFrame, packet_col: str = "packet", max_size: int | None = None, profile: str = "v0"
 ) -> DataFrame:
-    """O39. Raw packets to datagram rows with a ``kind``: ``first``, ``data``, ``unknown_type`` or ``malformed``.
+    """O39. Raw packets to datagram rows with a ``kind``: ``first``, ``data``, ``cut``, ``unknown_type`` or ``malformed``.
 
-    Bytes beyond ``max_size`` are lost, as in the receive buffer. Only ``first`` and ``data`` rows are datagrams.
+    A receive buffer of ``max_size`` bytes loses what is beyond it. Such packets are ``cut``: their flows miss a piece
+    rather than pass with a shortened one. Only ``first`` and ``data`` rows are datagrams.
     """
     sizes = datagram_profile(profile)
     kept = [c for c in packets.columns if c != packet_col]
     data = F.col("_data")
     length, header_len = F.octet_length(data), F.col("_header_len")
-    typed = packets.withColumn("_data", F.substring(F.col(packet_col), 1, max_size)).withColumn(
+    typed = packets.withColumn("_data", F.col(packet_col)).withColumn(
         "_type", F.when(length >= 4, binary.int32_at(data, 1))
     )
     typed = typed.withColumn(
         "_header_len", F.when((F.col("_type") == 0) & (length >= sizes.first_header), binary.int32_at(data, 5))
     )
     whole_header = (header_len >= 0) & (length >= sizes.first_header + header_len)
+    too_long = F.lit(False) if max_size is None else F.coalesce(length > max_size, F.lit(False))
     kind = (
-        F.when(F.col("_type").isNull(), "malformed")
+        F.when(too_long, "cut")
+        .when(F.col("_type").isNull(), "malformed")
         .when(F.col("_type") == 0, F.when(whole_header, "first").otherwise("malformed"))
         .when(F.col("_type") == 1, F.when(length >= sizes.data_header, "data").otherwise("malformed"))
         .otherwise("unknown_type")
@@ -378,9 +395,12 @@ def _data_bytes(profile: str) -> Column:
 def transfer_stats(
     datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, at: str = "arrival_ts", profile: str = "v0"
 ) -> DataFrame:
-    """O20. Per flow: datagrams, bytes, elapsed seconds, packets per second, Mbit per second (null if no time passed)."""
+    """O20. Per flow: datagrams, bytes, elapsed seconds, packets per second, Mbit per second (null if no time passed).
+
+    Keepalives and packets of unknown types are no datagrams of a flow.
+    """
     ms = epoch_millis(datagrams, at)
-    sums = datagrams.groupBy(*key).agg(
+    sums = _pieces(datagrams).groupBy(*key).agg(
         F.count("*").alias("datagrams"),
         F.sum(_data_bytes(profile)).alias("bytes"),
         ((F.max(ms) - F.min(ms)) / 1000.0).alias("elapsed_s"),

@@ -25,12 +25,16 @@ def stream_throughput(
     at: str = "arrival_ts",
     profile: str = "v0",
 ) -> DataFrame:
-    """O37. Datagrams, bytes, packets per second and Mbit per second in tumbling or sliding windows."""
+    """O37. Datagrams, bytes, packets per second and Mbit per second in tumbling or sliding windows.
+
+    Keepalives and packets of unknown types move the watermark but are not counted.
+    """
     data_header = datagram_profile(profile).data_header
     size = F.octet_length("payload") + F.when(F.col("header_type") == 1, data_header).otherwise(0)
     span = F.window(at, window, slide) if slide else F.window(at, window)
     sums = (
         datagrams.withWatermark(at, watermark)
+        .filter(F.col("header_type").isin(0, 1))
         .groupBy(span.alias("window"))
         .agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
     )

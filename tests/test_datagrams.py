@@ -95,7 +95,10 @@ def test_parse_packets_kinds(spark):
     ]
     assert (rows[0]["header"], rows[0]["payload"], rows[0]["payload_length"]) == ("{}", b"abc", 3)
     assert (rows[3]["flow_id"], rows[3]["counter"]) == (-5, 2**40)
-    assert len(rows[8]["payload"]) == 1500 - 16
+    # Nothing is cut unless a buffer size is given, and then it shows.
+    assert len(rows[8]["payload"]) == 2000
+    kinds = [r["kind"] for r in dg.parse_packets(df, max_size=1500).orderBy("i").collect()]
+    assert kinds == [*(r["kind"] for r in rows[:8]), "cut"]
 
 
 def result(spark, pieces, **options):
