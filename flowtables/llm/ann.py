@@ -3,7 +3,7 @@
 Centroids come from a bounded sample, cut into equal halves again and again, and are searched by an in-memory
 neighbourhood graph. Every vector is indexed: it goes to the list of its nearest centroid and, near a boundary, to those
 of other centroids within ``REPLICA_RATIO`` of that distance. A query visits the lists whose centroids are within
-``PROBE_RATIO`` of its nearest one. Long lists are cut into blocks, so that a list is work for many tasks; inner products
+``PROBE_RATIO`` of its nearest one, ``LEAST_LISTS`` at least. Long lists are cut into blocks, so that a list is work for many tasks; inner products
 are exact sums in double precision on the original vectors.
 
 Inner products become distances by one more component (what a vector's norm lacks of the largest norm).
@@ -33,6 +33,8 @@ BEAM = 192
 REPLICA_RATIO = 1.06
 REPLICAS = 4
 PROBE_RATIO = 1.35
+#: Lists that every query visits, however much nearer the first one is.
+LEAST_LISTS = 16
 BLOCK = 256
 
 
@@ -193,6 +195,9 @@ def assigned(rows: DataFrame, index: Index, queries: bool) -> DataFrame:
                 ids, dist = graph_search(place, index.centroids, index.links, BEAM if queries else 32)
                 near = np.isfinite(dist) & (dist <= dist[:, :1] * ratio)
                 near[:, most:] = False
+                if queries:
+                    # A query right at a centroid would else see that one list only, and too few vectors.
+                    near[:, :LEAST_LISTS] = np.isfinite(dist[:, :LEAST_LISTS])
                 at, column = np.nonzero(near)
                 part = batch.slice(low, len(own)).take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
