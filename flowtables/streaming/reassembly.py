@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from itertools import islice
-from operator import attrgetter
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -15,15 +13,28 @@ from flowtables.functions.times import epoch_millis
 from flowtables.operators.timeouts import FLUSH_PIECES, TIMEOUT
 from flowtables.schema import ERROR, FLOW_KEY, MAX_BLOB_BYTES, MAX_PACKET_BYTES, SUCCESS, datagram_profile
 
-_FLOW_FIELDS = "n long, payload_length long, header string"
-_META = f"{_FLOW_FIELDS}, count long, highest long, right long, left long, deadline long, closed boolean"
+_META = (
+    "n long, payload_length long, header string, said_ms long, said_seq long, count long, "
+    "at long, usable long, left long, deadline long, closed boolean"
+)
+_PIECE = "first_ms long, last_ms long, last_seq long, payload binary"
+_LONG_AGO = -(1 << 62)
 
-_ROWS_AT_A_TIME = 10_000
-_arrival = attrgetter("arrival_ms", "arrival_seq")
+
+def _merged(one: tuple | None, other: tuple) -> tuple:
+    """The first arrival of a piece starts its use, the last one's payload wins."""
+    if one is None:
+        return other
+    newer = max(one, other, key=lambda p: p[1:3])
+    return min(one[0], other[0]), *newer[1:]
 
 
 class FlowAssembler(StatefulProcessor):
-    """Buffers the pieces of one flow until all are there, the flow stalls or it proves too large."""
+    """Keeps the pieces of one flow until all are there, the flow stalls or it proves too large.
+
+    Verdicts follow from the arrival times kept with the pieces, not from the order in which rows are handed over: a
+    flow is complete as soon as all of it came in time, and late only when the watermark has passed its deadline.
+    """
 
     def __init__(self, key: Sequence[str], timeout_ms: int, keep_ms: int, max_pieces: int, flush_pieces: int, extra: int):
         self.result = Row(*key, "payload_length", "header", "content", "verdict")
@@ -33,31 +44,49 @@ class FlowAssembler(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.meta = handle.getValueState("meta", _META)
-        self.pieces = handle.getMapState("pieces", "counter long", "payload binary")
+        self.pieces = handle.getMapState("pieces", "counter long", _PIECE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self._load()
         if self.closed:
             return  # late pieces of a finished flow
-        fresh: dict[int, bytes] = {}
-        verdict, latest = None, 0
-        while some := list(islice(rows, _ROWS_AT_A_TIME)):
-            for row in sorted(some, key=_arrival):
-                latest = max(latest, row.arrival_ms)
-                verdict = self._take(row, fresh)
-                if verdict:
-                    break
-            if verdict:
-                break
-        if verdict:
-            yield self._result(key, verdict, fresh)
-            self._close(latest)
-            return
-        for counter, payload in fresh.items():
-            self.pieces.updateValue((counter,), (payload,))
+        fresh: dict[int, tuple] = {}
+        n_before, added, latest = self.n, [], 0
+        for row in rows:
+            latest = max(latest, row.arrival_ms)
+            if row.header_type == 0:
+                self._announce(row)
+            counter = int(row.counter)
+            if counter >= self.max_pieces:
+                continue
+            known = fresh.get(counter)
+            if known is None:
+                known = self._stored_piece(counter)
+                if known is None:
+                    added.append(counter)
+            fresh[counter] = _merged(known, (row.arrival_ms, row.arrival_ms, row.arrival_seq, bytes(row.payload)))
+        if self.n is not None and self.n != n_before:
+            added = self._counters() | set(added)
+            self.count = 0
+        if self.n is not None:
+            self.count += sum(c < self.n for c in added)
+            if self.n > self.max_pieces:
+                yield self._result(key, "oversize", {})
+                self._close(latest)
+                return
+            if 0 < self.n == self.count:
+                whole = self._whole(fresh)
+                if self._walk(whole.get)[0] == self.n:
+                    yield self._result(key, SUCCESS, whole)
+                    self._close(latest)
+                    return
+        for counter, piece in fresh.items():
+            self.pieces.updateValue((counter,), piece)
+        if self.at == 0 and 0 in fresh:
+            self.deadline = fresh[0][0] + self.timeout_ms
         self._save()
         # Pieces that are never announced are forgotten after the same time.
-        self._set_timer(latest + self.timeout_ms if self.deadline is None else self.deadline)
+        self._set_timer(latest + self.timeout_ms if self.n is None else self.deadline)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._load()
@@ -66,59 +95,57 @@ class FlowAssembler(StatefulProcessor):
                 self.pieces.clear()
             self.meta.clear()
             return
+        now = timerValues.getCurrentWatermarkInMs()  # nothing earlier comes any more
+        self.at, self.usable, self.left, self.deadline = self._walk(self._stored_piece, now)
+        if self.deadline > now:  # flushed meanwhile
+            self._save()
+            self._set_timer(self.deadline)
+            return
         yield self._result(key, TIMEOUT, {})
-        self._close(expiredTimerInfo.getExpiryTimeInMs())
+        self._close(now)
 
     def close(self) -> None:
         pass
 
-    def _take(self, row, fresh: dict[int, bytes]) -> str | None:
-        if self.n is not None and row.arrival_ms > self.deadline:
-            return TIMEOUT
-        if row.header_type == 0 and self.n is None:
+    def _announce(self, row) -> None:
+        """The latest announcement holds, as in ``announcements``."""
+        said = (row.arrival_ms, row.arrival_seq)
+        if self.n is None or said >= (self.said_ms, self.said_seq):
             self.n, self.payload_length, self.header = int(row.n_datagrams) + self.extra, int(row.payload_length), row.header
-            self.deadline = row.arrival_ms + self.timeout_ms
-            if self.n > self.max_pieces:
-                return "oversize"
-            self._drop_strays(fresh)
-        counter = int(row.counter)
-        if counter >= (self.max_pieces if self.n is None else self.n):
-            return None
-        if not self._has(counter, fresh):
-            self.count += 1
-            self.highest = max(self.highest, counter)
-        fresh[counter] = bytes(row.payload)
-        if self.n is None:
+            self.said_ms, self.said_seq = said
+
+    def _walk(self, piece_at: Callable[[int], tuple | None], until: int | None = None) -> tuple[int, int, int, int]:
+        """How far the pieces were written in time, going on from where the flow was settled.
+
+        Gives the next piece, the time at which those before it were all there, the first piece not flushed and the
+        deadline. Arrivals after ``until`` are not looked at, as others may still come before them.
+        """
+        at, usable, left, deadline = self.at, self.usable, self.left, self.deadline
+        while at < self.n:
+            piece = piece_at(at)
+            moment = None if piece is None else max(usable, piece[0])
+            if at == 0 and moment is not None:
+                deadline = moment + self.timeout_ms
+            if (moment is None or moment > usable) and at - left >= self.flush_pieces:
+                left, deadline = at, usable + self.timeout_ms
+            if moment is None or moment > deadline or (until is not None and moment > until):
+                break
+            at, usable = at + 1, moment
+        return at, usable, left, deadline
+
+    def _stored_piece(self, counter: int) -> tuple | None:
+        if not self.stored or not self.pieces.containsKey((counter,)):
             return None
-        if self.count == self.n:
-            return SUCCESS
-        if self.n > self.flush_pieces:
-            while self._has(self.right + 1, fresh):
-                self.right += 1
-            if self.right - self.left >= self.flush_pieces - 1:
-                self.left, self.deadline = self.right + 1, row.arrival_ms + self.timeout_ms
-        return None
-
-    def _has(self, counter: int, fresh: dict[int, bytes]) -> bool:
-        return counter in fresh or (self.stored and self.pieces.containsKey((counter,)))
-
-    def _drop_strays(self, fresh: dict[int, bytes]) -> None:
-        if self.highest < self.n:
-            return
-        for counter in [c for c in fresh if c >= self.n]:
-            fresh.pop(counter)
-            self.count -= not (self.stored and self.pieces.containsKey((counter,)))
-        if self.stored:
-            for (counter,) in [k for k in self.pieces.keys() if k[0] >= self.n]:
-                self.pieces.removeKey((counter,))
-                self.count -= 1
-
-    def _result(self, key, verdict: str, fresh: dict[int, bytes]) -> Row:
-        content = None
-        if verdict == SUCCESS:
-            if self.stored:
-                fresh = {c: bytes(p) for (c,), (p,) in self.pieces.iterator()} | fresh
-            content = b"".join(fresh[c] for c in range(self.n))
+        return tuple(self.pieces.getValue((counter,)))
+
+    def _counters(self) -> set[int]:
+        return {c for (c,) in self.pieces.keys()} if self.stored else set()
+
+    def _whole(self, fresh: dict[int, tuple]) -> dict[int, tuple]:
+        return ({c: tuple(p) for (c,), p in self.pieces.iterator()} if self.stored else {}) | fresh
+
+    def _result(self, key, verdict: str, whole: dict[int, tuple]) -> Row:
+        content = b"".join(bytes(whole[c][3]) for c in range(self.n)) if verdict == SUCCESS else None
         return self.result(*key, self.payload_length, self.header, content, verdict)
 
     def _close(self, at: int) -> None:
@@ -130,14 +157,14 @@ class FlowAssembler(StatefulProcessor):
 
     def _load(self) -> None:
         self.stored = self.meta.exists()
-        known = self.meta.get() if self.stored else (None, None, None, 0, -1, -1, 0, None, False)
-        (self.n, self.payload_length, self.header, self.count, self.highest, self.right, self.left, self.deadline,
-         self.closed) = known
+        known = self.meta.get() if self.stored else (None, None, None, None, None, 0, 0, _LONG_AGO, 0, None, False)
+        (self.n, self.payload_length, self.header, self.said_ms, self.said_seq, self.count, self.at, self.usable,
+         self.left, self.deadline, self.closed) = known
 
     def _save(self) -> None:
         self.meta.update(
-            (self.n, self.payload_length, self.header, self.count, self.highest, self.right, self.left, self.deadline,
-             self.closed)
+            (self.n, self.payload_length, self.header, self.said_ms, self.said_seq, self.count, self.at, self.usable,
+             self.left, self.deadline, self.closed)
         )
 
     def _set_timer(self, at: int) -> None:
@@ -163,8 +190,8 @@ def stream_reassemble(
 
     The rows are those of ``reassemble``. A flow whose writing stalls for longer than ``timeout_ms`` is an error
     (``timeout``), one of too many pieces for a cell another (``oversize``, nothing is buffered for it; land its pieces
-    and read them with ``reassemble(output="chunks")``). Pieces are taken in arrival order within a micro-batch, ten
-    thousand at a time. State is kept per flow on disk; a finished flow is remembered for ``keep_ms`` so that late pieces
+    and read them with ``reassemble(output="chunks")``). The verdict depends on
+    the times of arrival only, not on the order of rows. State is kept per flow on disk; a finished flow is remembered for ``keep_ms`` so that late pieces
     are dropped, pieces without announcement are forgotten after ``timeout_ms``.
     """
     columns = set(datagrams.columns)

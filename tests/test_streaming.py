@@ -94,6 +94,21 @@ def test_stream_agrees_with_batch(spark, run, parts):
     assert len(rows) == len(on_time)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_verdict_does_not_depend_on_the_order_of_rows(spark, run, parts):
+    n = 15_000  # over six seconds, three times the time limit
+    pieces = [piece(1, c, n, at=c * 6000 // n) for c in range(n)]
+    # The same with a stall in the middle.
+    pieces += [piece(2, c, n, at=c * 6000 // n + 2500 * (c > n // 2)) for c in range(n)]
+    random.Random(parts).shuffle(pieces)
+    size = -(-len(pieces) // parts)
+    batches = [timed(spark, pieces[i : i + size]) for i in range(0, len(pieces), size)] + [keepalive(spark)]
+    rows = run(batches, lambda s: stream_reassemble(s, 2000, "1 hour"))
+    assert sorted((r["flow_id"], r["outcome"], r["reason"]) for r in rows) == [(1, "success", None), (2, "error", "timeout")]
+    judged = classify_timeouts(timed(spark, pieces), 2000, at="arrival_ms").collect()
+    assert {r["flow_id"]: r["outcome"] for r in judged} == {1: "success", 2: "timeout"}
+
+
 def test_frames_over_batches_with_early_segments(spark, run):
     parts = [STREAM[i : i + 9] for i in range(0, len(STREAM), 9)]
     order = list(range(len(parts)))
