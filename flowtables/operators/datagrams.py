@@ -253,7 +253,7 @@ def reassemble(
     fit one cell and is reported as ``oversize``; nothing of it beyond that many pieces is gathered.
 
     ``output="chunks"``: the pieces of every complete flow of any size, one row per (flow, counter), never
-    concatenated.
+    concatenated. :func:`reassemble_parts` gives flows of any size with their outcomes.
     """
     if output == "chunks":
         return _complete_pieces(datagrams, key, profile)
@@ -309,6 +309,82 @@ def reassemble(
     )
 
 
+def reassemble_parts(
+    datagrams: DataFrame, key: Sequence[str] = FLOW_KEY, profile: str = "v0", part_pieces: int = 2048
+) -> DataFrame:
+    """O19 for flows of any size: the content as parts of ``part_pieces`` pieces each.
+
+    One row per part of every complete flow, with ``part_no``, ``offset`` and ``content``; an incomplete or unreadable
+    flow is one error row with part 0 and no content. ``attributes`` are on part 0; ``size``, ``outcome``, ``reason`` and
+    ``length_ok`` are the flow's. Payloads are only ever grouped and joined by part; what is counted per flow is one row
+    per part. Of copies with the same ``arrival_seq`` one is taken by the hash of its payload.
+    """
+    if part_pieces <= 0:
+        raise ValueError("part_pieces must be positive")
+    part_key = [*key, "part_no"]
+    pieces = _pieces(datagrams).select(
+        *key,
+        "counter",
+        counter_block(size=part_pieces).alias("part_no"),
+        "payload",
+        F.struct(_arrival_order(datagrams).alias("seq"), F.xxhash64("payload").alias("tie")).alias("came"),
+    )
+    last_copy = Window.partitionBy(*part_key, "counter").orderBy(F.col("came").desc())
+    bodies = (
+        pieces.withColumn("_copy", F.row_number().over(last_copy))
+        .filter("_copy = 1")
+        .groupBy(*part_key)
+        .agg(F.expr("listagg(payload) within group (order by counter)").alias("body"))
+    )
+
+    # The same without payloads: how many pieces of each part are the flow's own, and their bytes.
+    length = F.octet_length("payload").cast("bigint")
+    lengths = pieces.groupBy(*part_key, "counter").agg(F.max_by(length, F.col("came")).alias("len"))
+    places = lengths.groupBy(*part_key).agg(F.collect_list(F.struct("counter", "len")).alias("places"))
+    announced = announcements(datagrams, key, profile)
+    own = F.filter("places", lambda p: p["counter"] < F.col("n"))
+    counted = places.join(announced.select(*key, "n"), list(key)).select(
+        *part_key,
+        F.size(own).alias("own"),
+        F.aggregate(own, F.lit(0).cast("bigint"), lambda total, p: total + p["len"]).alias("own_bytes"),
+    )
+    earlier = Window.partitionBy(*key).orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("offset", F.coalesce(F.sum("own_bytes").over(earlier), F.lit(0)))
+    totals = counted.groupBy(*key).agg(F.sum("own").alias("arrived"), F.sum("own_bytes").alias("size"))
+
+    flows = announced.join(totals, list(key), "left").withColumn("attributes", headers.header_attributes(F.col("header")))
+    flows = flows.select("*", *_verdict(F.coalesce("arrived", F.lit(0)) == F.col("n")))
+    good = F.col("outcome") == SUCCESS
+    last_part = F.call_function("div", F.greatest(F.col("n"), F.lit(1)) - 1, F.lit(part_pieces).cast("bigint"))
+    parts = F.sequence(F.lit(0).cast("bigint"), F.when(good, last_part).otherwise(F.lit(0).cast("bigint")))
+    size = F.coalesce("size", F.lit(0))
+    wanted = flows.select(
+        *key,
+        F.explode(parts).alias("part_no"),
+        F.when(good, F.col("attributes")).alias("attributes"),
+        F.when(good, size).alias("size"),
+        "outcome",
+        "reason",
+        F.when(good, size == F.col("payload_length")).alias("length_ok"),
+    )
+    # A part that also has strays ends with them.
+    content = binary.slice_bytes(F.coalesce("body", F.unhex(F.lit(""))), F.lit(0), F.coalesce("own_bytes", F.lit(0)))
+    return (
+        wanted.join(placed, part_key, "left")
+        .join(bodies, part_key, "left")
+        .select(
+            *part_key,
+            F.when(good, F.coalesce("offset", F.lit(0))).alias("offset"),
+            F.when(good, content).alias("content"),
+            F.when(F.col("part_no") == 0, F.col("attributes")).alias("attributes"),
+            "size",
+            "outcome",
+            "reason",
+            "length_ok",
+        )
+    )
+
+
 def _complete_pieces(datagrams: DataFrame, key: Sequence[str], profile: str) -> DataFrame:
     status = flow_status(datagrams, key, profile).filter(F.col("outcome") == SUCCESS).select(*key, "n", "attributes")
     pieces = dedupe_datagrams(_pieces(datagrams).select(*key, "counter", "payload", _arrival_order(datagrams).alias("arrival_seq")), key)

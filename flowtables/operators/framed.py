@@ -251,16 +251,23 @@ def raw_streams_to_flows(
     seq: str = "seq",
     output: str = "blob",
     max_blob_bytes: int = MAX_BLOB_BYTES,
+    part_bytes: int = HOT_BLOCK_BYTES,
 ) -> DataFrame:
     """O4. All bytes of a connection, in order, are one flow without attributes.
 
-    Connections longer than ``max_blob_bytes`` are reported as ``oversize`` and never gathered;
-    ``output="chunks"`` places the segments of connections of any length by ``offset`` instead.
+    Connections longer than ``max_blob_bytes`` are reported as ``oversize`` and never gathered.
+    ``output="parts"`` gives connections of any length as ``part_no, offset, content``, every part but the last of
+    ``part_bytes``; a connection without bytes has none. ``output="chunks"`` places the segments by ``offset`` instead.
     """
+    if output == "parts":
+        parts = byte_blocks(segments, conn, seq, part_bytes)
+        return parts.select(
+            conn, F.col("block").alias("part_no"), F.col("start").alias("offset"), F.col("bytes").alias("content")
+        )
     if output == "chunks":
         return segment_offsets(segments.select(conn, seq, "bytes"), conn, seq)
     if output != "blob":
-        raise ValueError(f"output must be 'blob' or 'chunks', got {output!r}")
+        raise ValueError(f"output must be 'blob', 'parts' or 'chunks', got {output!r}")
     sizes = segments.groupBy(conn).agg(F.sum(F.octet_length("bytes").cast("bigint")).alias("size"))
     oversize = sizes.filter(F.col("size") > max_blob_bytes)
     whole = (

@@ -12,9 +12,20 @@ from flowtables.operators import datagrams as dg
 from flowtables.operators import framed, network, outcomes
 from flowtables.operators.timeouts import classify_timeouts
 from flowtables.plans import views
-from flowtables.plans.views_sql import ARRIVALS, DATAGRAMS, EVENT_IP, FLOWS, FRAMES, with_views
+from flowtables.plans.views_sql import (
+    ALL_ARRIVALS,
+    ALL_DATAGRAMS,
+    ARRIVALS,
+    DATAGRAMS,
+    EVENT_IP,
+    FLOWS,
+    FRAMES,
+    UNLOST_ARRIVALS,
+    with_views,
+)
+from flowtables.schema import FAILURE, SUCCESS
 from flowtables.sources.capture import read_capture, write_capture
-from flowtables.sources.flows import synth_flows, write_outcomes
+from flowtables.sources.flows import write_outcomes
 from flowtables.sources.workdir import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,7 +233,7 @@ def _piece_report(pieces: DataFrame) -> DataFrame:
 
 @query(
     with_views(
-        DATAGRAMS,
+        ALL_DATAGRAMS,
         """SELECT flow_id, n AS n_datagrams, counter, strlen(piece) // 2 AS len, md5(unhex(piece)) AS md5,
              'success' AS outcome FROM datagrams
            UNION ALL SELECT flow_id, NULL, NULL, NULL, NULL, 'failure' FROM flows WHERE strlen(header) > 460""",
@@ -346,14 +357,13 @@ def timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_timeouts(views.arrivals(spark, sf_dir), 2000, at="arrival_ms").select("flow_id", "outcome")
 
 
-REASSEMBLE_SQL = with_views(
-    ARRIVALS,
-    """, seen AS (SELECT flow_id, count(DISTINCT counter) AS pieces, min(counter) AS lowest FROM arrivals GROUP BY flow_id)
+_REASSEMBLED = """, seen AS (
+         SELECT flow_id, count(DISTINCT counter) AS pieces, min(counter) AS lowest FROM arrivals GROUP BY flow_id)
        SELECT s.flow_id, CASE WHEN s.pieces = a.n THEN 'success' ELSE 'error' END AS outcome,
          CASE WHEN s.pieces = a.n THEN a.size END AS size, CASE WHEN s.pieces = a.n THEN md5(a.text) END AS content_md5,
          CASE WHEN s.pieces = a.n THEN true END AS length_ok
-       FROM seen s JOIN announced a ON s.flow_id = a.flow_id WHERE s.lowest = 0""",
-)
+       FROM seen s JOIN announced a ON s.flow_id = a.flow_id WHERE s.lowest = 0"""
+REASSEMBLE_SQL = with_views(ARRIVALS, _REASSEMBLED)
 
 
 def flow_report(flows: DataFrame) -> DataFrame:
@@ -381,7 +391,7 @@ def reassemble_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(
-        ARRIVALS,
+        UNLOST_ARRIVALS,
         """, sums AS (
              SELECT flow_id, count(*) AS datagrams,
                CAST(sum(strlen(piece) // 2 + CASE WHEN counter > 0 THEN 16 ELSE 0 END) AS BIGINT) AS bytes,
@@ -393,31 +403,31 @@ def reassemble_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def transfer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = dg.transfer_stats(views.arrivals(spark, sf_dir), at="arrival_ms")
+    stats = dg.transfer_stats(views.network(views.datagrams(spark, sf_dir), loses=False), at="arrival_ms")
     rounded = [F.round(F.col(c).cast("double"), 6).alias(c) for c in ("elapsed_s", "pps", "mbit")]
     return stats.select("flow_id", "datagrams", "bytes", *rounded)
 
 
 @query(
     with_views(
-        ARRIVALS,
+        UNLOST_ARRIVALS,
         """SELECT source, count(*) AS datagrams, min(arrival_ms) AS first_ms, max(arrival_ms) AS last_ms,
              max(arrival_ms) - min(arrival_ms) AS running_ms FROM arrivals GROUP BY source""",
     )
 )
 def receiver_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dg.receiver_totals(views.arrivals(spark, sf_dir), at="arrival_ms")
+    return dg.receiver_totals(views.network(views.datagrams(spark, sf_dir), loses=False), at="arrival_ms")
 
 
 @query(
     with_views(
-        ARRIVALS,
+        UNLOST_ARRIVALS,
         """SELECT source, flow_id, count(*) AS datagrams, min(arrival_ms) AS first_ms, max(arrival_ms) AS last_ms,
              max(arrival_ms) - min(arrival_ms) AS running_ms FROM arrivals GROUP BY ROLLUP (source, flow_id)""",
     )
 )
 def receiver_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dg.receiver_totals(views.arrivals(spark, sf_dir), at="arrival_ms", subtotals=True)
+    return dg.receiver_totals(views.network(views.datagrams(spark, sf_dir), loses=False), at="arrival_ms", subtotals=True)
 
 
 @query(
@@ -467,9 +477,17 @@ def verify_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.verify_checksums(received, expected).select("flow_id", "status")
 
 
-@query(with_views(ARRIVALS, f"SELECT outcome, count(*) AS n FROM ({REASSEMBLE_SQL}) GROUP BY outcome"))
+@query(
+    f"""SELECT outcome, count(*) AS n FROM (
+          SELECT outcome FROM ({with_views(ALL_ARRIVALS, _REASSEMBLED)})
+          UNION ALL SELECT 'failure' FROM ({with_views(ALL_DATAGRAMS, "SELECT flow_id FROM flows WHERE strlen(header) > 460")}))
+        GROUP BY outcome"""
+)
 def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcomes.outcome_counts(dg.flow_status(views.arrivals(spark, sf_dir)))
+    sent = dg.packetize(views.sent_flows(spark, sf_dir), views.DATAGRAM_SIZE)
+    unsent = sent.filter(F.col("outcome") == FAILURE).select("outcome")
+    received = dg.flow_status(views.network(sent.filter(F.col("outcome") == SUCCESS).drop("outcome")))
+    return outcomes.outcome_counts(received.select("outcome").unionByName(unsent))
 
 
 @query(
@@ -507,7 +525,7 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(
-        DATAGRAMS,
+        ALL_DATAGRAMS,
         """SELECT CASE WHEN strlen(header) <= 460 THEN 'success' ELSE 'failure' END AS outcome, flow_id, size,
              md5(text) AS content_md5 FROM flows""",
     ),
@@ -522,12 +540,6 @@ def outcomes_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("outcome", "flow_id", "size", F.md5("content").alias("content_md5"))
 
 
-@query("SELECT 'test_' || doc_id AS name, CAST(125000 AS BIGINT) AS size, CAST(doc_id AS DOUBLE) AS created_s FROM documents")
-def synth_fixed_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbers = views.table(spark, sf_dir, "documents").select("doc_id")
-    return synth_flows(numbers, fpm=60, bandwidth=1).select("name", "size", "created_s")
-
-
 @query(with_views(FLOWS, "SELECT 'doc_' || flow_id || '.txt' AS filename, size, md5(text) AS content_md5, 'success' AS outcome FROM flows"))
 def flowcapture_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "capture")

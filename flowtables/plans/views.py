@@ -47,20 +47,29 @@ def sent_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows(spark, sf_dir).withColumn("source", sender)
 
 
+def short_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All flows, without the attribute that makes headers of some too long for a datagram."""
+    return sent_flows(spark, sf_dir).withColumn("attributes", F.map_filter("attributes", lambda k, _: k != "big"))
+
+
 def datagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packetize(sent_flows(spark, sf_dir), DATAGRAM_SIZE).filter(F.col("outcome") == SUCCESS).drop("outcome")
+    return packetize(short_flows(spark, sf_dir), DATAGRAM_SIZE).filter(F.col("outcome") == SUCCESS).drop("outcome")
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The datagrams behind a network that loses, doubles, reorders and delays them."""
+    """The datagrams of all flows behind a lossy network."""
+    return network(datagrams(spark, sf_dir))
+
+
+def network(sent: DataFrame, loses: bool = True) -> DataFrame:
+    """What comes of datagrams behind a network that loses (unless told not to), doubles, reorders and delays them."""
     flow, counter = F.col("flow_id"), F.col("counter")
-    sent = datagrams(spark, sf_dir)
     # The receiver learns n from the first datagram only; here it also places the delayed last piece.
     copies = F.when((flow * 7 + counter * 13) % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     late = F.when((flow % 20 == 3) & (counter == F.col("n_datagrams") - 1), 3000).otherwise(0)
     ms = (flow % 1000) * 5000 + (counter * 389 + flow) % 1013 + F.col("copy") * 50 + late
     return (
-        sent.filter((flow * 31 + counter * 17) % 97 != 0)
+        sent.filter((flow * 31 + counter * 17) % 97 != 0 if loses else F.lit(True))
         .withColumn("copy", F.explode(copies))
         .withColumn("arrival_ms", ms.cast("bigint"))
         .withColumn("arrival_seq", F.col("arrival_ms") * 10 + F.col("copy"))

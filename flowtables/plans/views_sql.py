@@ -23,9 +23,9 @@ flows AS (
     '10.0.' || (flow_id % 4) || '.' || (flow_id % 200 + 1) AS source
   FROM flow_entries)"""
 
-DATAGRAMS = (
-    FLOWS
-    + """,
+SHORT_FLOWS = FLOWS.replace("doc_id % 50 = 7", "false")
+
+_DATAGRAMS = """,
 announced AS (
   SELECT *, 460 - strlen(header) AS fill,
     1 + greatest(CAST(ceil((size - (460 - strlen(header))) / 468.0) AS BIGINT), 0) AS n,
@@ -37,11 +37,8 @@ datagrams AS (
     CASE WHEN counter = 0 THEN substr(hexed, 1, 2 * fill)
          ELSE substr(hexed, 2 * (fill + (counter - 1) * 468) + 1, 2 * 468) END AS piece
   FROM (SELECT *, unnest(generate_series(0, n - 1)) AS counter FROM announced))"""
-)
 
-ARRIVALS = (
-    DATAGRAMS
-    + """,
+_ARRIVALS = """,
 arrivals AS (
   SELECT *, arrival_ms * 10 + copy AS arrival_seq, TIMESTAMP '2024-01-01' + to_milliseconds(arrival_ms) AS arrival_ts
   FROM (
@@ -50,7 +47,13 @@ arrivals AS (
     FROM (
       SELECT *, unnest(CASE WHEN (flow_id * 7 + counter * 13) % 11 = 0 THEN [0, 1] ELSE [0] END) AS copy
       FROM datagrams WHERE (flow_id * 31 + counter * 17) % 97 <> 0)))"""
-)
+
+DATAGRAMS = SHORT_FLOWS + _DATAGRAMS
+ARRIVALS = DATAGRAMS + _ARRIVALS
+UNLOST_ARRIVALS = DATAGRAMS + _ARRIVALS.replace("WHERE (flow_id * 31 + counter * 17) % 97 <> 0", "")
+# With the flows whose headers are too long to be sent.
+ALL_DATAGRAMS = FLOWS + _DATAGRAMS
+ALL_ARRIVALS = ALL_DATAGRAMS + _ARRIVALS
 
 FRAMES = (
     FLOWS

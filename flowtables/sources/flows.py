@@ -1,4 +1,4 @@
-"""Flows from tables, files and generators; outcome sinks."""
+"""Flows from tables and files; outcome sinks."""
 
 from __future__ import annotations
 
@@ -70,42 +70,3 @@ def stream_outcomes(df: DataFrame, path: str, checkpoint: str, **trigger) -> Str
     """O6 for a stream: the same layout, each row exactly once. ``trigger`` is that of ``writeStream``."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return writer.partitionBy("outcome").outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
-
-
-def synth_flows(
-    numbers: DataFrame,
-    fpm: int = 60,
-    bandwidth: int | None = None,
-    min_size: int = 1000,
-    max_size: int = 10000,
-    prefix: str = "test",
-    seed: int = 0,
-) -> DataFrame:
-    """O33. A test workload: one flow per number ``x``, created ``60 / fpm`` seconds apart.
-
-    Sizes are random in [min_size, max_size], or, with ``bandwidth`` in Mbit/s, all such that ``fpm`` of them
-    fill it. ``numbers`` has one bigint column, e.g. ``spark.range(60)``.
-    """
-    if fpm <= 0:
-        raise ValueError("fpm must be positive")
-    x = F.col(numbers.columns[0])
-    pause = 60.0 / fpm
-    if bandwidth:
-        size = F.lit(int(bandwidth * 1_000_000 // 8 * pause))
-    else:
-        if not 0 <= min_size <= max_size:
-            raise ValueError("need 0 <= min_size <= max_size")
-        size = F.lit(min_size) + F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(max_size - min_size + 1))
-    # 64 unpredictable bytes per block number
-    blocks = F.sequence(F.lit(0), F.floor(F.col("size") / 64).cast("int"))
-    noise = F.transform(blocks, lambda b: F.sha2(F.concat_ws("/", F.lit(seed), F.col("flow_id"), b), 512))
-    return (
-        numbers.select(
-            x.cast("bigint").alias("flow_id"),
-            F.concat(F.lit(f"{prefix}_"), x.cast("string")).alias("name"),
-            size.cast("bigint").alias("size"),
-            (x * pause).alias("created_s"),
-        )
-        .withColumn("content", F.substring(F.unhex(F.array_join(noise, "")), F.lit(1), F.col("size").cast("int")))
-        .withColumn("attributes", F.create_map(F.lit("filename"), F.col("name")))
-    )

@@ -79,19 +79,6 @@ def test_capture_of_broken_files(spark, tmp_path):
     assert capture.read_capture(spark, str(tmp_path), max_blob_bytes=2).filter("reason = 'oversize'").count() == 4
 
 
-def test_synthetic_flows(spark):
-    df = flows.synth_flows(spark.range(50), fpm=120, min_size=10, max_size=90, seed=4)
-    rows = df.collect()
-    assert all(r["size"] == len(r["content"]) and 10 <= r["size"] <= 90 for r in rows)
-    assert len({bytes(r["content"]) for r in rows}) == 50
-    assert [r["created_s"] for r in rows[:3]] == [0.0, 0.5, 1.0]
-    assert rows[7]["name"] == rows[7]["attributes"]["filename"] == "test_7"
-    fixed = flows.synth_flows(spark.range(3), fpm=120, bandwidth=100)
-    assert [r["size"] for r in fixed.select("size").collect()] == [6_250_000] * 3
-    with pytest.raises(ValueError):
-        flows.synth_flows(spark.range(1), fpm=0)
-
-
 def test_transfer_copies_every_flow_once(spark, tmp_path):
     landing, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     flows_df = some_flows(spark)
