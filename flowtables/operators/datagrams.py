@@ -244,13 +244,12 @@ def reassemble(
     output: str = "blob",
     profile: str = "v0",
     max_blob_bytes: int = MAX_BLOB_BYTES,
-    max_payload_bytes: int = MAX_PACKET_BYTES,
 ) -> DataFrame:
     """O19. Put flows back together from pieces that may repeat, be lost or come in any order.
 
     ``output="blob"``: one row per announced flow with ``content``, ``size``, ``attributes``, ``outcome``,
-    ``reason`` and ``length_ok``. A flow of more than ``max_blob_bytes // max_payload_bytes`` pieces does not
-    fit one cell and is reported as ``oversize``; nothing of it beyond that many pieces is gathered.
+    ``reason`` and ``length_ok``. A flow of more than ``max_blob_bytes``, or with a piece whose counter times its
+    length is more, does not fit one cell and is reported as ``oversize``; such pieces are not gathered.
 
     ``output="chunks"``: the pieces of every complete flow of any size, one row per (flow, counter), never
     concatenated. :func:`reassemble_parts` gives flows of any size with their outcomes.
@@ -259,27 +258,31 @@ def reassemble(
         return _complete_pieces(datagrams, key, profile)
     if output != "blob":
         raise ValueError(f"output must be 'blob' or 'chunks', got {output!r}")
-    max_pieces = max(1, max_blob_bytes // max_payload_bytes)
+    max_pieces = max(1024, max_blob_bytes // 16)
     extra = 0 if datagram_profile(profile).announces_first else 1
 
     pieces = dedupe_datagrams(_pieces(datagrams), key)
     announcement = F.when(F.col("counter") == 0, F.struct("n_datagrams", "payload_length", "header"))
-    kept = F.col("counter") < max_pieces
+    # Pieces of one flow are about equally long, so this is about where a piece ends.
+    place = F.col("counter") * F.coalesce(F.octet_length("payload"), F.lit(0))
+    kept = (F.col("counter") < max_pieces) & (place <= max_blob_bytes)
     flows = (
         pieces.withColumn("a", announcement)
-        .withColumn("payload", F.when(kept, F.col("payload")))
         .withColumn("place", F.when(kept, F.struct("counter", F.octet_length("payload").alias("len"))))
+        .withColumn("left_out", F.when(~kept, F.col("counter")))
+        .withColumn("payload", F.when(kept, F.col("payload")))
         .groupBy(*key)
         .agg(
             F.first("a", ignorenulls=True).alias("a"),
             F.count("*").alias("pieces"),
             F.max("counter").alias("last"),
+            F.min("left_out").alias("left_out"),
             F.collect_list("place").alias("places"),
             F.expr("listagg(payload) within group (order by counter)").alias("body"),
         )
         .filter(F.col("a").isNotNull())
         .select(*key, (F.col("a.n_datagrams") + extra).cast("bigint").alias("n"), "a.payload_length", "a.header",
-                "pieces", "last", "places", "body")
+                "pieces", "last", "left_out", "places", "body")
     )
     # Pieces numbered n or more are strays of another flow: they sort last, so the content is a prefix of the body.
     strays = F.col("last") >= F.col("n")
@@ -293,9 +296,9 @@ def reassemble(
         )
         .withColumn("attributes", headers.header_attributes(F.col("header")))
     )
-    judged = flows.select(
-        "*", *_verdict(F.col("own") == F.col("n"), oversize=F.col("n") > max_pieces)
-    )
+    left_out = F.coalesce(F.col("left_out") < F.col("n"), F.lit(False))
+    oversize = left_out | (F.col("n") > max_pieces) | (F.octet_length("content") > max_blob_bytes)
+    judged = flows.select("*", *_verdict(F.col("own") == F.col("n"), oversize=oversize))
     good = F.col("outcome") == SUCCESS
     size = F.octet_length("content").cast("bigint")
     return judged.select(
@@ -386,10 +389,13 @@ def reassemble_parts(
 
 
 def _complete_pieces(datagrams: DataFrame, key: Sequence[str], profile: str) -> DataFrame:
-    status = flow_status(datagrams, key, profile).filter(F.col("outcome") == SUCCESS).select(*key, "n", "attributes")
+    # Joined by block of counters, so that no flow is one key for all its payloads.
+    blocks = F.sequence(F.lit(0).cast("bigint"), counter_block(F.greatest(F.col("n"), F.lit(1)) - 1))
+    status = flow_status(datagrams, key, profile).filter(F.col("outcome") == SUCCESS)
+    status = status.select(*key, "n", "attributes", F.explode(blocks).alias("_block"))
     pieces = dedupe_datagrams(_pieces(datagrams).select(*key, "counter", "payload", _arrival_order(datagrams).alias("arrival_seq")), key)
     return (
-        pieces.join(status, list(key))
+        pieces.withColumn("_block", counter_block()).join(status, [*key, "_block"])
         .filter(F.col("counter") < F.col("n"))
         .select(*key, "counter", "payload", F.when(F.col("counter") == 0, F.col("attributes")).alias("attributes"))
     )

@@ -190,12 +190,17 @@ def assemble_frames(
         return frames.select(
             *key, attributes, F.when(good, content).alias("content"), F.when(good, F.col("size")).alias("size"), *verdict
         )
-    judged = frames.select(*key, attributes, header_bytes.alias("_header"), *verdict)
+    # Joined by stretch of the frame, so that no frame is one key for all its bytes.
+    def stretch(at: Column) -> Column:
+        return F.call_function("div", at, F.lit(HOT_BLOCK_BYTES).cast("bigint"))
+
+    stretches = F.sequence(F.lit(0).cast("bigint"), stretch(F.col("got")))
+    judged = frames.select(*key, attributes, header_bytes.alias("_header"), *verdict, F.explode(stretches).alias("_stretch"))
     skipped = F.greatest(F.col("_header") - F.col("at"), F.lit(0))
     return (
         pieces.filter(F.col("part") == "D")
-        .select(*key, "at", "bytes")
-        .join(judged, key)
+        .select(*key, stretch(F.col("at")).alias("_stretch"), "at", "bytes")
+        .join(judged, [*key, "_stretch"])
         .filter(F.octet_length("bytes") > skipped)
         .select(
             *key,
@@ -340,16 +345,17 @@ def delimited_streams_to_flows(
 ) -> DataFrame:
     """O5. Split each connection's bytes at a delimiter of one or more bytes; a non-empty tail is a last message.
 
-    Returns ``conn, msg_no, content``. A connection is split block by block; only a delimiter that can overlap
-    itself (like two line feeds) needs the whole connection, and then connections beyond the blob limit give
-    an error row (null ``msg_no``).
+    Returns ``conn, msg_no, content``. A connection is split block by block. With a delimiter that can overlap itself
+    (like two line feeds) a block must know how much of it the last delimiter before has taken; see :func:`_entered`.
     """
     if not delimiter:
         raise ValueError("delimiter must not be empty")
-    if _overlaps_itself(delimiter):
-        return _split_whole(segments, delimiter, conn, seq)
     edge = len(delimiter) - 1
-    blocks = byte_blocks(segments, conn, seq, block_bytes, edge, edge)
+    block_bytes = max(block_bytes, len(delimiter))
+    if _overlaps_itself(delimiter):
+        blocks = _entered(byte_blocks(segments, conn, seq, block_bytes, 0, edge), delimiter, conn, block_bytes)
+    else:
+        blocks = byte_blocks(segments, conn, seq, block_bytes, edge, edge)
     tokens = blocks.select(
         conn, "block", "start", F.posexplode(_split(F.col("bytes"), delimiter)).alias("i", "text")
     )
@@ -382,16 +388,32 @@ def delimited_streams_to_flows(
     )
 
 
-def _split_whole(segments: DataFrame, delimiter: bytes, conn: str, seq: str) -> DataFrame:
-    whole = raw_streams_to_flows(segments, conn, seq)
-    tokens = _split(F.col("content"), delimiter)
-    messages = F.when(F.get(tokens, F.size(tokens) - 1) == "", F.slice(tokens, 1, F.size(tokens) - 1)).otherwise(tokens)
-    refused = whole.filter(F.col("outcome") == ERROR).select(
-        conn, F.lit(None).cast("bigint").alias("msg_no"), F.lit(None).cast("binary").alias("content")
-    )
-    return (
-        whole.filter(F.col("outcome") == SUCCESS)
-        .select(conn, F.posexplode(messages).alias("msg_no", "text"))
-        .select(conn, F.col("msg_no").cast("bigint"), F.encode("text", "ISO-8859-1").alias("content"))
-        .unionByName(refused)
+def _entered(blocks: DataFrame, delimiter: bytes, conn: str, block_bytes: int) -> DataFrame:
+    """``blocks`` less the bytes at their beginning that belong to a delimiter of the block before.
+
+    Each block works out what it would take of the next one for every number of bytes taken from itself, at most a
+    delimiter's length of cases. These few numbers a block are followed along the connection.
+    """
+
+    def taken_of_next(taken: int) -> Column:
+        rest = F.element_at(_split(binary.slice_bytes(F.col("bytes"), F.lit(taken), F.octet_length("bytes")), delimiter), -1)
+        return F.greatest(F.octet_length("bytes") - F.length(rest) - block_bytes, F.lit(0))
+
+    def follow(rows):
+        rows = rows.sort_values("block")
+        entries, entry = [], 0
+        for cases in rows["cases"]:
+            entries.append(entry)
+            entry = int(cases[entry])
+        return rows[[conn, "block"]].assign(entry=entries)
+
+    cases = blocks.select(conn, "block", F.array(*(taken_of_next(r) for r in range(len(delimiter)))).alias("cases"))
+    conn_type = blocks.schema[conn].dataType.simpleString()
+    entries = cases.groupBy(conn).applyInPandas(follow, f"`{conn}` {conn_type}, block long, entry int")
+    entry = F.col("entry")
+    return blocks.join(entries, [conn, "block"]).select(
+        conn,
+        "block",
+        (F.col("start") + entry).alias("start"),
+        binary.slice_bytes(F.col("bytes"), entry, F.octet_length("bytes")).alias("bytes"),
     )

@@ -12,12 +12,32 @@ from flowtables.plans import views
 from flowtables.plans.catalogue import FRAMES_SQL, flow_report, frame_report, query
 from flowtables.plans.views_sql import ARRIVALS, DATAGRAMS, EVENT_IP, FLOWS, FRAMES, SHORT_FLOWS, with_views
 from flowtables.schema import ERROR, SUCCESS
+from flowtables.sources.flows import read_flows as read_files
+from flowtables.sources.workdir import work_dir
 
 PART_PIECES = 8
 PART_BYTES = 256
 MAX_PACKET = 400
+FILE_DOCUMENTS = 100
 
-# --- attributes --------------------------------------------------------------------------------
+# --- files and attributes --------------------------------------------------------------------------------
+
+
+@query(
+    f"""SELECT doc_id // {FILE_DOCUMENTS} AS bucket, CAST(sum(strlen(text) + 1) AS BIGINT) AS size,
+          md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS content_md5 FROM documents GROUP BY 1"""
+)
+def read_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a hundred documents each, read back as flows."""
+    path = work_dir(spark, "files")
+    bucket = F.call_function("div", F.col("doc_id"), F.lit(FILE_DOCUMENTS)).alias("bucket")
+    documents = views.table(spark, sf_dir, "documents").select(bucket, "doc_id", "text")
+    files = documents.repartition("bucket").sortWithinPartitions("bucket", "doc_id")
+    files.select("bucket", "text").write.partitionBy("bucket").text(path)
+    found = F.regexp_extract(F.col("attributes.path"), r"bucket=(\d+)/$", 1).cast("bigint")
+    return read_files(spark, path, glob="*.txt").select(
+        found.alias("bucket"), "size", F.md5("content").alias("content_md5")
+    )
 
 
 @query(
@@ -156,6 +176,23 @@ def delimited_by_two_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT doc_id, i - 1 AS msg_no, strlen(parts[i]) AS len, md5(parts[i]) AS content_md5
+       FROM (SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS i
+             FROM (SELECT doc_id, string_split(text, 'll') AS parts FROM documents))
+       WHERE i < len(parts) OR parts[i] <> ''"""
+)
+def delimited_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delimiter that can overlap itself, over several blocks a document."""
+    segments = views.table(spark, sf_dir, "documents").select(
+        "doc_id", F.lit(0).cast("bigint").alias("seq"), F.encode("text", "UTF-8").alias("bytes")
+    )
+    messages = framed.delimited_streams_to_flows(segments, b"ll", "doc_id", "seq", block_bytes=1024)
+    return messages.select(
+        "doc_id", "msg_no", F.octet_length("content").cast("bigint").alias("len"), F.md5("content").alias("content_md5")
+    )
+
+
 # --- datagrams ---------------------------------------------------------------------------------
 
 _LEGACY = (

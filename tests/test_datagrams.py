@@ -139,7 +139,7 @@ def test_wrong_length_is_flagged_and_bad_header_is_an_error(spark):
 
 def test_oversize_flow_is_reported_and_read_in_chunks(spark):
     pieces = [piece(1, 0, 5)] + [piece(1, i) for i in range(1, 5)] + [piece(2, 0, 3), piece(2, 1), piece(2, 2), piece(2, 4)]
-    rows = result(spark, pieces, max_blob_bytes=3, max_payload_bytes=1)
+    rows = result(spark, pieces, max_blob_bytes=3)
     assert (rows[1]["outcome"], rows[1]["reason"]) == ("error", "oversize")
     assert rows[2]["content"] == b"ABC"
     chunks = dg.reassemble(table(spark, pieces), output="chunks").orderBy("flow_id", "counter").collect()
@@ -148,6 +148,47 @@ def test_oversize_flow_is_reported_and_read_in_chunks(spark):
     ]
 
 
+def test_the_limit_of_a_cell_is_in_bytes(spark):
+    pieces = [piece(1, i, 5) for i in range(5)] + [piece(2, i, 3, payload=b"q" * 1200) for i in range(3)]
+    rows = result(spark, pieces, max_blob_bytes=3000)
+    assert rows[1]["content"] == b"ABCDE"
+    assert rows[2]["reason"] == "oversize"
+
+
+@pytest.mark.parametrize("profile,size", [("v0", 512), ("legacy", 600)])
+@pytest.mark.parametrize("part_pieces", [1, 2, 1000])
+def test_flows_as_parts(spark, profile, size, part_pieces):
+    sent = dg.packetize(flows(spark, CONTENTS), size, profile).drop("outcome")
+    doubled = sent.unionByName(sent.filter("counter % 2 = 0")).orderBy(F.rand(5))
+    parts = dg.reassemble_parts(doubled, profile=profile, part_pieces=part_pieces).collect()
+    whole = {}
+    for p in sorted(parts, key=lambda p: (p["flow_id"], p["part_no"])):
+        content = whole.setdefault(p["flow_id"], b"")
+        assert len(content) == p["offset"] and p["outcome"] == "success" and p["length_ok"]
+        assert (p["attributes"] is not None) == (p["part_no"] == 0)
+        assert p["size"] == len(CONTENTS[p["flow_id"]])
+        whole[p["flow_id"]] = content + p["content"]
+    assert whole == dict(enumerate(CONTENTS))
+
+
+def test_parts_of_broken_flows(spark):
+    pieces = [piece(1, 0, 3), piece(1, 2)]  # a gap
+    pieces += [piece(2, 0, 2), piece(2, 1), piece(2, 2), piece(2, 9)]  # strays, in the last part and beyond it
+    pieces += [piece(3, 0, 1, header="[1]"), piece(4, 1), piece(5, 0, 1, length=7)]
+    pieces += [piece(6, 0, 2), piece(6, 1, payload=b"old", seq=1), piece(6, 1, payload=b"newer", seq=2)]
+    rows = dg.reassemble_parts(table(spark, pieces), part_pieces=3).collect()
+    found = {r["flow_id"]: (r["part_no"], r["offset"], r["content"], r["size"], r["reason"], r["length_ok"]) for r in rows}
+    assert len(rows) == len(found)
+    assert found == {
+        1: (0, None, None, None, "incomplete", None),
+        2: (0, 0, b"AB", 2, None, True),
+        3: (0, None, None, None, "bad_header", None),
+        5: (0, 0, b"A", 1, None, False),
+        6: (0, 0, b"Anewer", 6, None, False),
+    }
+    assert dg.reassemble_parts(table(spark, [])).count() == 0
+
+
 def test_unknown_types_and_negative_counters_are_no_pieces(spark):
     pieces = [piece(1, 0, 1), ("s", 1, 3, 4, None, None, None, b"", 1, 1), piece(1, -1, kind=1, payload=b"z")]
     assert result(spark, pieces)[1]["content"] == b"A"

@@ -189,6 +189,10 @@ def test_raw_streams(spark):
     rows = {r["conn_id"]: r for r in framed.raw_streams_to_flows(df, max_blob_bytes=20).collect()}
     assert (rows[1]["content"], rows[2]["content"], rows[2]["size"]) == (b"hello world", b"", 0)
     assert (rows[3]["outcome"], rows[3]["reason"], rows[3]["size"], rows[3]["content"]) == ("error", "oversize", 50, None)
+    parts = framed.raw_streams_to_flows(df, output="parts", part_bytes=30).orderBy("conn_id", "part_no").collect()
+    assert [(r["conn_id"], r["part_no"], r["offset"], len(r["content"])) for r in parts] == [
+        (1, 0, 0, 11), (3, 0, 0, 30), (3, 1, 30, 20),
+    ]
     chunks = framed.raw_streams_to_flows(df, output="chunks").filter("conn_id = 3").orderBy("seq").collect()
     assert [r["offset"] for r in chunks] == list(range(0, 50, 4))
 
@@ -209,6 +213,18 @@ def test_delimited_streams(spark, delimiter, size, block):
     assert sorted((r["conn_id"], r["msg_no"], r["content"]) for r in got) == sorted(expected)
 
 
+@pytest.mark.parametrize("block", [3, 4, 7])
+def test_overlapping_delimiters_over_many_blocks(spark, block):
+    streams = {0: b"a" * 101, 1: b"aab" * 30, 2: b"aba" * 20 + b"aaaa", 3: b"baaaab" * 9, 4: b""}
+    for delimiter in (b"aa", b"aba", b"aaa"):
+        got = framed.delimited_streams_to_flows(segments(spark, streams, 5), delimiter, block_bytes=block).collect()
+        expected = []
+        for conn, data in streams.items():
+            messages = data.split(delimiter)
+            expected += [(conn, i, m) for i, m in enumerate(messages) if m or i < len(messages) - 1]
+        assert sorted((r["conn_id"], r["msg_no"], r["content"]) for r in got) == sorted(expected)
+
+
 def test_arguments_are_checked(spark):
     df = segments(spark, {1: frame()}, 5)
     with pytest.raises(ValueError):
