@@ -30,13 +30,15 @@ def stream_throughput(
     Keepalives and packets of unknown types move the watermark but are not counted.
     """
     data_header = datagram_profile(profile).data_header
-    size = F.octet_length("payload") + F.when(F.col("header_type") == 1, data_header).otherwise(0)
+    # No filter on the type: it would be pushed below the watermark.
+    counted = F.col("header_type").isin(0, 1)
+    size = F.when(counted, F.octet_length("payload") + F.when(F.col("header_type") == 1, data_header).otherwise(0))
     span = F.window(at, window, slide) if slide else F.window(at, window)
     sums = (
         datagrams.withWatermark(at, watermark)
-        .filter(F.col("header_type").isin(0, 1))
         .groupBy(span.alias("window"))
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+        .agg(F.count(F.when(counted, 1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+        .filter("n > 0")
     )
     seconds = (F.unix_millis("window.end") - F.unix_millis("window.start")) / 1000.0
     return sums.select(
