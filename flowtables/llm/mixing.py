@@ -27,6 +27,8 @@ BLOCK = 32
 SHARD_SLOTS = 4096
 SEED = 20_240_601
 _ROUNDS = 5
+#: What stands for one whole document when parts of documents are summed.
+_UNIT = 1 << 32
 
 
 def with_permuted(df: DataFrame, name: str, i: Column, n: Column, *key: Column) -> DataFrame:
@@ -196,14 +198,36 @@ def taken_words(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     return own.join(taken, ["source_no", "begin"], "left").withColumn("taken", filled.cast("long"))
 
 
+def with_copies(taken: DataFrame) -> DataFrame:
+    """``taken_words`` of documents with words, with ``copies``: taken / size, rounded up or down so that sums are kept.
+
+    What is over whole copies is summed up, in groups of about sqrt(n) of a source's n documents by size; a document gets
+    one copy more where its group's sum, which starts at a pseudorandom place, passes a whole number. So a document's
+    expected copies are taken / size, and the words of a group differ from those taken by less than its longest document.
+    """
+    groups = F.greatest(F.lit(1), F.ceil(F.sqrt("n_docs"))).cast("long")
+    div = lambda a, b: F.call_function("div", a, b)
+    unit = F.lit(_UNIT)
+    before = Window.partitionBy("source_no", "_group").orderBy("size", "begin").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.pmod(F.xxhash64("source_no", "_group", F.lit(SEED)), unit)
+    return (
+        taken.filter("size > 0")
+        .withColumn("_group", F.pmod(F.xxhash64("source_no", "begin", F.lit(SEED)), groups))
+        .withColumn("_part", div(F.col("taken") % F.col("size") * unit, F.col("size")))
+        .withColumn("_from", start + F.coalesce(F.sum("_part").over(before), F.lit(0)))
+        .withColumn(
+            "copies",
+            (div(F.col("taken"), F.col("size")) + div(F.col("_from") + F.col("_part"), unit) - div(F.col("_from"), unit)).cast("int"),
+        )
+        .drop("_group", "_part", "_from")
+    )
+
+
 def mixed_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``documents`` as the mix has them: each row as often as its words were taken, to the nearest whole number."""
+    """``documents`` as the mix has them: whole rows, each in the ``copies`` of ``with_copies``."""
     key = ["doc_id", "source", "content"]
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     times = (
-        taken_words(documents, block)
-        .filter("size > 0")
-        .withColumn("copies", copies)
+        with_copies(taken_words(documents, block))
         .filter("copies > 0")
         .select(*(F.col(c).alias(f"_{c}") for c in key), "copies", F.row_number().over(Window.partitionBy(*key).orderBy("begin")).alias("_no"))
     )

@@ -426,6 +426,24 @@ def test_mixing(spark, corpus):
     assert mixed.count() == copies
 
 
+def test_mixed_documents_meet_the_targets(spark):
+    rng = random.Random(8)
+    # Of many blocks each: all documents of a source have about its target / size, which is 15/8, 6/8 and 3/8.
+    rows = [(i, prose(rng, rng.randrange(400, 1000)), "en", "abc"[i % 3], 0) for i in range(600)]
+    table = spark.createDataFrame(rows, DOCS)
+    sizes, mixed, copies = dict.fromkeys("abc", 0), dict.fromkeys("abc", 0), {}
+    for r in rows:
+        sizes[r[3]] += len(words(r[1]))
+    out = mixing.mixed_documents(table).collect()
+    for r in out:
+        mixed[r["source"]] += len(words(r["text"]))
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+    assert max(copies.values()) <= mixing.CAP
+    for source, target in targets(sizes).items():
+        assert mixed[source] == pytest.approx(target, rel=0.05)
+    assert sorted(map(repr, mixing.mixed_documents(table.repartition(5)).collect())) == sorted(map(repr, out))
+
+
 def test_slots_take_every_block_once_per_pass(spark, docs):
     own, slots = mixing.mix(docs)
     for r in slots.groupBy("source_no", "epoch", "block_no").count().collect():
