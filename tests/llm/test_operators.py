@@ -498,6 +498,20 @@ def test_ngram_join_of_chains_and_empty_tables(spark):
     assert ngramjoin.similarity_classes(empty).count() == 0 and ngramjoin.one_of_each(empty).count() == 0
 
 
+def test_ngram_join_of_copies_behind_a_quoting_centre(spark):
+    # The first text is the centre of all that its two near copies share, and too long for both; its passage is in others.
+    def run(kind, n):
+        return " ".join(f"{kind}1x{i}" for i in range(n))
+
+    quoted, passage = run("c", 392), run("p", 200)
+    texts = [f"{quoted} {passage}", f"{quoted} {run('u', 8)}", f"{quoted} {run('v', 8)}", *[passage] * 5]
+    rows = [(10 + i, t, None, None, None) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, DOCS)
+    out = ngramjoin.similarity_classes(table)
+    assert result(out, "doc_id", "n_shingles", "component_id") == brute_classes(rows, 85, 4)
+    assert {r["doc_id"] for r in ngramjoin.one_of_each(table).collect()} == {10, 11, 13}
+
+
 def test_one_of_each(docs, corpus):
     kept = sorted((r["doc_id"] for r in ngramjoin.one_of_each(docs).collect()), key=repr)
     classes = brute_classes(corpus, 85, 4)
