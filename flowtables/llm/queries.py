@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import ann, chat, linededup, mixing, ngramjoin, packing, pii, quality, substring, toxicity
+from flowtables.llm import ann, chat, linededup, mixing, ngramjoin, packing, periodic, pii, quality, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,11 +57,15 @@ def op10_ngram_join(spark, sf_dir):
     return ngramjoin.similarity_classes(_table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return periodic.periodic_run_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_prefix_targets, op2_line_field, op3_site_spread, op4_best_fit, op5_toxicity_chain, op6_repeated_spans,
-        op7_personal_data, op8_posting_lists, op9_source_mix, op10_ngram_join,
+        op7_personal_data, op8_posting_lists, op9_source_mix, op10_ngram_join, op13_periodic_runs,
     )
 }
 
