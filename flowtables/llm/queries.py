@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import ann, chat, linededup, mixing, ngramjoin, packing, periodic, pii, quality, substring, toxicity
+from flowtables.llm import (
+    ann, chat, collocations, linededup, mixing, ngramjoin, packing, periodic, pii, quality, substring, toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +59,10 @@ def op10_ngram_join(spark, sf_dir):
     return ngramjoin.similarity_classes(_table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic.periodic_run_digests(_table(spark, sf_dir, "documents"))
 
@@ -65,7 +71,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_prefix_targets, op2_line_field, op3_site_spread, op4_best_fit, op5_toxicity_chain, op6_repeated_spans,
-        op7_personal_data, op8_posting_lists, op9_source_mix, op10_ngram_join, op13_periodic_runs,
+        op7_personal_data, op8_posting_lists, op9_source_mix, op10_ngram_join, op12_collocations, op13_periodic_runs,
     )
 }
 
@@ -86,5 +92,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """,
     "op3_site_spread": linededup.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     # A class joins by sharing a shingle; components of the links by a recursive walk.
 }
