@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowtables.llm import (
-    ann, chat, collocations, linededup, mixing, ngramjoin, packing, periodic, pii, quality, substring, toxicity,
+    ann, byterepeats, chat, collocations, linededup, mixing, ngramjoin, packing, periodic, pii, quality, substring, toxicity,
 )
 
 
@@ -59,6 +59,11 @@ def op10_ngram_join(spark, sf_dir):
     return ngramjoin.similarity_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_interval_expansion(spark, sf_dir):
+    found = byterepeats.byte_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op12_collocations(spark, sf_dir):
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
@@ -71,7 +76,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_prefix_targets, op2_line_field, op3_site_spread, op4_best_fit, op5_toxicity_chain, op6_repeated_spans,
-        op7_personal_data, op8_posting_lists, op9_source_mix, op10_ngram_join, op12_collocations, op13_periodic_runs,
+        op7_personal_data, op8_posting_lists, op9_source_mix, op10_ngram_join, op11_interval_expansion, op12_collocations,
+         op13_periodic_runs,
     )
 }
 

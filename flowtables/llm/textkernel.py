@@ -36,10 +36,10 @@ _CODES = np.random.default_rng(20_240_601).integers(1, 2**63, 256, dtype=np.uint
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column, nulls as empty, and its borders: text i is ``data[borders[i]:borders[i + 1]]``."""
+    """The bytes of a string or binary column, nulls as empty, and its borders: text i is ``data[borders[i]:borders[i + 1]]``."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
+    column = column.cast(pa.large_binary()).fill_null(b"")
     _, borders, data = column.buffers()
     borders = np.frombuffer(borders, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column) or data is None:
