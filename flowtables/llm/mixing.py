@@ -1,12 +1,16 @@
 """Mixing sources to target weights.
 
 Words of a source, document after document, are packed into blocks of ``block`` words. The mix is a row of slots, one
-block each, in output shards. Its slots are dealt to sources by a pseudorandom permutation of all slots, cut by the
-sources' totals: the counts of a shard are a multinomial draw conditioned on these totals, so every source meets its
-target to a block and none exceeds its cap. The k-th slot of a source takes block ``perm(k mod n)`` of its n blocks,
-with a new permutation for each pass, and is joined with the blocks by index.
+block each, in output shards.
 
-Permutations are swap-or-not networks (Hoang, Morris, Rogaway 2012): column arithmetic, for any n, without sorting.
+* A shard's counts of sources are a multinomial draw: each of its slots draws a source by its weight in the plan.
+* A source's counts, summed up shard after shard, are then scaled to its planned total, to whole slots. So every source
+  meets its target to a block and none exceeds its cap, and counts vary from shard to shard as drawn; a shard has about
+  ``SHARD_SLOTS`` slots.
+* The k-th slot of a source takes block ``perm(k mod n)`` of its n blocks, with a permutation of its own for each pass,
+  and is joined with the blocks by index. Within a shard, slots lie in a pseudorandom order.
+
+Permutations are swap-or-not networks (Hoang, Morris, Rogaway 2012): arithmetic for any n, without sorting.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null or empty texts have size 0 and are taken 0 times; documents without source
 form a source of their own, last. Repeated rows are separate documents. Without any words the mix is empty. Totals and
@@ -19,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtables.llm.scratch import stored
+from flowtables.operators.ordered import counter_block, running
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -26,25 +31,21 @@ CAP = 3
 BLOCK = 32
 SHARD_SLOTS = 4096
 SEED = 20_240_601
-_ROUNDS = 5
+#: Each round doubles the places an index can come to; a source is expected to have less than 2 ** 40 blocks.
+_ROUNDS = 40
 #: What stands for one whole document when parts of documents are summed.
 _UNIT = 1 << 32
 
 
-def with_permuted(df: DataFrame, name: str, i: Column, n: Column, *key: Column) -> DataFrame:
-    """``df`` with ``name``, a pseudorandom permutation of ``i`` in 0..n-1, another for each key.
+def permuted(i: Column, n: Column, *key: Column) -> Column:
+    """A pseudorandom permutation of ``i`` in 0..n-1, another for each key; the rounds are one expression."""
 
-    A round is a projection of its own: its input is used several times, and rounds put into each other would grow
-    without bound. Columns that are never null keep the optimizer from pushing null checks through the rounds.
-    """
-    never_null = lambda c: F.coalesce(c, F.lit(0).cast("long"))
-    df = df.withColumn(name, never_null(i))
-    for r in range(_ROUNDS):
-        turn = F.pmod(F.xxhash64(*key, F.lit(SEED + r), n), n)
-        df = df.withColumn("_partner", never_null(F.pmod(turn - F.col(name), n)))
-        swap = F.xxhash64(F.greatest(name, "_partner"), *key, F.lit(SEED - r)).bitwiseAND(F.lit(1)) == 1
-        df = df.withColumn(name, never_null(F.when(swap, F.col("_partner")).otherwise(F.col(name))))
-    return df.drop("_partner")
+    def swapped(at: Column, r: Column) -> Column:
+        partner = F.pmod(F.pmod(F.xxhash64(*key, r, n), n) - at, n)
+        swap = F.xxhash64(F.greatest(at, partner), *key, -r).bitwiseAND(F.lit(1)) == 1
+        return F.when(swap, partner).otherwise(at)
+
+    return F.aggregate(F.sequence(F.lit(SEED), F.lit(SEED + _ROUNDS - 1)), i, swapped)
 
 
 def with_targets(sources: DataFrame) -> DataFrame:
@@ -128,10 +129,11 @@ def placed(documents: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def deal_slots(plan: DataFrame, n_slots: int) -> DataFrame:
-    """``shard, slot, source_no, epoch, block_no`` for all slots of the mix.
+def shard_counts(plan: DataFrame, n_slots: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """``shard, source_no, n_blocks, k_from, k_to``: the slots of a source that a shard has, by their number in the source.
 
-    A slot's source is looked up by an equi-join on cells of the dealt order; a source lies in each cell it touches.
+    A drawn number's source is looked up by an equi-join on cells of the plan's slots; a source lies in each cell it
+    touches. What is summed up over shards is one row per shard and source, in blocks of shards.
     """
     spark = plan.sparkSession
     cells = max(1, n_slots // 1024)
@@ -140,19 +142,43 @@ def deal_slots(plan: DataFrame, n_slots: int) -> DataFrame:
         plan.filter("n_slots > 0")
         .withColumn("slot_to", F.col("slot_from") + F.col("n_slots"))
         .withColumn("cell", F.explode(F.sequence(cell(F.col("slot_from")), cell(F.col("slot_to") - 1))))
-        .select("cell", "source_no", "slot_from", "slot_to", "n_blocks")
+        .select("cell", "source_no", "slot_from", "slot_to", "n_slots", "n_blocks")
+    )
+    slots = spark.range(n_slots).select(F.floor(F.col("id") / shard_slots).cast("long").alias("shard"), "id")
+    draws = slots.withColumn("draw", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(n_slots).cast("long")))
+    matched = draws.withColumn("cell", cell(F.col("draw"))).join(ranges, "cell")
+    drawn = matched.filter((F.col("draw") >= F.col("slot_from")) & (F.col("draw") < F.col("slot_to")))
+    counts = drawn.groupBy("shard", "source_no", "n_slots", "n_blocks").agg(F.count("*").alias("drawn"))
+    # A source that no slot drew has its slots in the first shard.
+    unseen = plan.filter("n_slots > 0").join(counts.select("source_no").distinct(), "source_no", "left_anti")
+    counts = counts.unionByName(
+        unseen.select(F.lit(0).cast("long").alias("shard"), "source_no", "n_slots", "n_blocks", F.lit(1).cast("long").alias("drawn"))
     )
-    slots = spark.range(n_slots).withColumnRenamed("id", "slot")
-    dealt = with_permuted(slots, "dealt", F.col("slot"), F.lit(n_slots).cast("long"), F.lit("slots"))
-    own_cell = F.coalesce(cell(F.col("dealt")), F.lit(0).cast("long"))
-    matched = dealt.withColumn("cell", own_cell).join(ranges, "cell")
-    drawn = matched.filter((F.col("dealt") >= F.col("slot_from")) & (F.col("dealt") < F.col("slot_to")))
-    k = F.col("dealt") - F.col("slot_from")
-    drawn = drawn.withColumn("epoch", F.floor(k / F.col("n_blocks")).cast("long"))
-    index = F.pmod(k, F.col("n_blocks"))
-    drawn = with_permuted(drawn, "block_no", index, F.col("n_blocks"), F.col("source_no"), F.col("epoch"))
-    shard = F.floor(F.col("slot") / SHARD_SLOTS).cast("long")
-    return drawn.select(shard.alias("shard"), "slot", "source_no", "epoch", "block_no")
+    counts = stored(counts, "shard-counts")
+    totals = counts.groupBy("source_no").agg(F.sum("drawn").alias("all_drawn"))
+    summed = running(
+        counts.join(totals, "source_no"), ["source_no"], counter_block("shard"), ["shard"], {"drawn_to": ("sum", F.col("drawn"))}
+    )
+    # In decimals: slots drawn times slots planned may pass 64 bits.
+    scaled = lambda drawn: F.call_function(
+        "div", drawn.cast("decimal(19, 0)") * F.col("n_slots").cast("decimal(19, 0)"), F.col("all_drawn").cast("decimal(19, 0)")
+    )
+    return summed.select(
+        "shard",
+        "source_no",
+        "n_blocks",
+        scaled(F.col("drawn_to") - F.col("drawn")).alias("k_from"),
+        scaled(F.col("drawn_to")).alias("k_to"),
+    ).filter("k_to > k_from")
+
+
+def deal_slots(plan: DataFrame, n_slots: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """``shard, source_no, k, epoch, block_no`` for all slots of the mix."""
+    counts = shard_counts(plan, n_slots, shard_slots)
+    slots = counts.withColumn("k", F.explode(F.sequence("k_from", F.col("k_to") - 1)))
+    slots = slots.withColumn("epoch", F.call_function("div", "k", "n_blocks"))
+    block_no = permuted(F.pmod("k", "n_blocks"), F.col("n_blocks"), F.col("source_no"), F.col("epoch"))
+    return slots.select("shard", "source_no", "k", "epoch", block_no.alias("block_no"))
 
 
 def block_pieces(own: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -179,23 +205,28 @@ def mix(documents: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]
 
 def output_pieces(own: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
     """The mix itself: for each slot the words it holds, as ranges ``first_word, n_words`` of documents."""
+    shuffled = Window.partitionBy("shard").orderBy(F.xxhash64("source_no", "k"), "source_no", "k")
+    slots = slots.withColumn("slot", F.row_number().over(shuffled).cast("long") - 1)
     return slots.join(block_pieces(own, block), ["source_no", "block_no"]).select(
         "shard", "slot", "doc_id", "content", "first_word", "n_words"
     )
 
 
 def taken_words(documents: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Each document with ``size, source_size, target`` and ``taken``, the words the mix takes from it."""
+    """Each document with ``size, source_size, target``, ``taken``, the words the mix takes from it, and ``first_shard``."""
     own, slots = mix(documents, block)
-    times = slots.groupBy("source_no", "block_no").agg(F.count("*").alias("times"))
+    times = slots.groupBy("source_no", "block_no").agg(F.count("*").alias("times"), F.min("shard").alias("first_shard"))
     taken = (
         block_pieces(own, block)
         .join(times, ["source_no", "block_no"])
         .groupBy("source_no", "begin")
-        .agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"))
+        .agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"), F.min("first_shard").alias("first_shard"))
     )
     filled = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0)
-    return own.join(taken, ["source_no", "begin"], "left").withColumn("taken", filled.cast("long"))
+    first = F.when(F.col("size") > 0, F.col("first_shard")).alias("first_shard")
+    return own.join(taken, ["source_no", "begin"], "left").select("*", filled.cast("long").alias("_taken"), first.alias("_first")).drop(
+        "taken", "first_shard"
+    ).withColumnsRenamed({"_taken": "taken", "_first": "first_shard"})
 
 
 def with_copies(taken: DataFrame) -> DataFrame:
@@ -224,25 +255,21 @@ def with_copies(taken: DataFrame) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``documents`` as the mix has them: whole rows, each in the ``copies`` of ``with_copies``."""
+    """``documents`` as the mix has them: whole rows, each in the ``copies`` of ``with_copies``.
+
+    Columns are passed on whatever their names. Rows alike in doc_id, source and text are told apart by their other columns.
+    """
     key = ["doc_id", "source", "content"]
     times = (
         with_copies(taken_words(documents, block))
         .filter("copies > 0")
-        .select(*(F.col(c).alias(f"_{c}") for c in key), "copies", F.row_number().over(Window.partitionBy(*key).orderBy("begin")).alias("_no"))
-    )
-    same = F.xxhash64("text")
-    numbered = documents.withColumn("_content0", same).withColumn(
-        "_no0", F.row_number().over(Window.partitionBy("doc_id", "source", "_content0").orderBy(F.lit(1)))
-    )
-    match = (
-        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_content0") == F.col("_content"))
-        & (F.col("_no0") == F.col("_no"))
-    )
-    return (
-        numbered.join(times, match)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*documents.columns)
+        .select(*key, "copies", F.row_number().over(Window.partitionBy(*key).orderBy("begin")).alias("no"))
     )
+    whole = documents.select(F.struct("*").alias("row"), "doc_id", "source", F.xxhash64("text").alias("content"))
+    kinds = dict(documents.dtypes)
+    order = F.xxhash64(*(F.col("row").getField(c) for c in documents.columns if "map<" not in kinds[c] and "variant" not in kinds[c]))
+    numbered = whole.withColumn("no", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
+    left, right = numbered.alias("l"), times.alias("r")
+    match = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key] + [F.col("l.no") == F.col("r.no")]
+    joined = left.join(right, match).select("l.row", F.explode(F.sequence(F.lit(1), F.col("r.copies"))))
+    return joined.select(*(F.col("row").getField(c).alias(c) for c in documents.columns))

@@ -52,7 +52,8 @@ def op8_posting_lists(spark, sf_dir):
 
 
 def op9_source_mix(spark, sf_dir):
-    return mixing.taken_words(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    taken = mixing.taken_words(_table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "first_shard")
 
 
 def op10_ngram_join(spark, sf_dir):

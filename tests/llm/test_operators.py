@@ -422,8 +422,67 @@ def test_mixing(spark, corpus):
     assert mixing.mixed_documents(table.limit(0)).count() == 0
     mixed = mixing.mixed_documents(table)
     assert mixed.columns == table.columns
-    copies = sum(math.floor(r["taken"] / r["size"] + 0.5) for r in out if r["size"])
-    assert mixed.count() == copies
+    # A document's copies are taken / size, rounded up or down, and sums of words are kept but for a group's longest text.
+    copies, words_of = {}, {}
+    for r in mixed.collect():
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+        words_of[r["source"]] = words_of.get(r["source"], 0) + len(words(r["text"]))
+    expected = {}
+    for r in out:
+        expected.setdefault(r["doc_id"], []).append(r["taken"] / r["size"] if r["size"] else 0)
+    for doc_id, n in copies.items():
+        assert sum(map(math.floor, expected[doc_id])) <= n <= sum(map(math.ceil, expected[doc_id]))
+    for source, n in sizes.items():
+        groups = math.ceil(math.sqrt(sum(r["source"] == source for r in out)))
+        longest = max(r["size"] for r in out if r["source"] == source)
+        assert abs(words_of.get(source, 0) - taken[source]) <= groups * longest
+
+
+def test_shards_draw_sources_as_a_multinomial_does(spark):
+    shares = (0.5, 0.25, 0.15, 0.07, 0.03)
+    n, shard_slots = 200 * 512, 512
+    rows, begin = [], 0
+    for number, share in enumerate(shares):
+        rows.append((number, 1000 + number, round(n * share), begin))
+        begin += round(n * share)
+    rows.append((9, 5, 0, begin))
+    plan = spark.createDataFrame(rows, "source_no long, n_blocks long, n_slots long, slot_from long")
+    slots = mixing.deal_slots(plan, n, shard_slots)
+    assert {tuple(r) for r in slots.groupBy("source_no").agg(F.count("*"), F.min("k"), F.max("k")).collect()} == {
+        (number, total, 0, total - 1) for number, _, total, _ in rows if total
+    }
+    counts = np.zeros((200, 5))
+    for r in slots.groupBy("shard", "source_no").count().collect():
+        counts[r["shard"], r["source_no"]] = r["count"]
+    wanted = np.array(shares) * shard_slots
+    assert 0.7 < ((counts - wanted) ** 2 / wanted).sum() / (199 * 4) < 1.4
+    assert abs(counts.sum(axis=1) - shard_slots).max() < 40
+
+
+def test_permutations_are_permutations_and_look_random(spark):
+    for n in (1, 2, 3, 1000, 4097):
+        at = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3), F.lit(1)).alias("at"))
+        assert sorted(r["at"] for r in at.collect()) == list(range(n))
+    n = 100_000
+    key = (F.lit(7), F.lit(0))
+    at = np.array([r[0] for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), *key)).collect()])
+    # Where the first twentieth of all indices comes to, in 200 stretches: a hypergeometric draw.
+    seen = np.bincount(at[: n // 20] // (n // 200), minlength=200)
+    assert 0.7 < ((seen - 25) ** 2 / 25).sum() / 199 / 0.95 < 1.4
+    other = np.array([r[0] for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(7), F.lit(1))).collect()])
+    assert (at == other).mean() < 0.001
+
+
+def test_mixed_documents_keep_columns_of_any_name(spark):
+    rows = [(i % 7, prose(random.Random(i % 5), 40), "ab"[i % 2], i) for i in range(40)]
+    schema = "doc_id long, text string, source string, copies int"
+    table = spark.createDataFrame(rows, schema).withColumns(
+        {c: F.col("copies") for c in ("_no", "_doc_id", "row", "no", "content", "_taken", "target")}
+    ).withColumn("kinds", F.create_map(F.lit("a"), "copies"))
+    mixed = mixing.mixed_documents(table)
+    assert mixed.columns == table.columns
+    first = sorted(map(repr, mixed.collect()))
+    assert first and first == sorted(map(repr, mixing.mixed_documents(table.repartition(7)).collect()))
 
 
 def test_mixed_documents_meet_the_targets(spark):
@@ -448,7 +507,7 @@ def test_slots_take_every_block_once_per_pass(spark, docs):
     own, slots = mixing.mix(docs)
     for r in slots.groupBy("source_no", "epoch", "block_no").count().collect():
         assert r["count"] == 1
-    pieces = mixing.output_pieces(own, slots).groupBy("slot").agg(F.sum("n_words").alias("n")).collect()
+    pieces = mixing.output_pieces(own, slots).groupBy("shard", "slot").agg(F.sum("n_words").alias("n")).collect()
     assert all(0 < p["n"] <= mixing.BLOCK for p in pieces)
 
 
