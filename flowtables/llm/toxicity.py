@@ -1,14 +1,16 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other, each by a linear model that is also given the probabilities of the
-categories before it; in training these are out-of-fold predictions. With the labels at hand (toxic or not) the chain
-is: ``dense`` (toxic, with many telling words for its length), ``varied`` (toxic, with several different ones), and
-``toxic``, which decides. Telling words are those whose presence speaks most for a toxic document in the sample.
+categories before it; in training these are out-of-fold predictions. The labels at hand only say toxic or not, so the
+categories before ``toxic``, which decides, are the kinds of toxic texts in the sample: ``KINDS`` clusters of what they
+use, such as words of one language. Terms are words and beginnings of words, as slurs come inflected; the models see those
+whose presence speaks most for a toxic text in the sample, rare ones too, each by itself and all by number and share.
 
 The sample has at most ``SAMPLE_DOCS`` labelled documents, half of each kind, those with the smallest hashes of their
 doc_id; copies of a text count once. Everything else sees all words of all documents. Words are runs of letters and
-digits, A-Z lower-cased. Without labels of both kinds nothing is toxic. Null and empty texts are not toxic; repeated rows
-are judged alike; extra columns are passed on by ``drop_toxic``.
+digits, A-Z lower-cased. Without labels of both kinds, or if no two toxic texts of the sample share a term that speaks
+for them, ``train`` gives None and nothing is toxic. Null and empty texts are not toxic; repeated rows are judged alike;
+extra columns, whatever their names, are passed on by ``drop_toxic``.
 """
 
 from __future__ import annotations
@@ -20,25 +22,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtables.llm.scratch import stored
-from flowtables.llm.textkernel import LOWER, byte_table, mapped, owners, runs
+from flowtables.llm.textkernel import LOWER, byte_table, mapped, mixed, owners, runs
 
 SAMPLE_DOCS = 4000
+#: Terms the models see, and how many of the best they are chosen from: terms found in the same texts count once.
 VOCABULARY = 256
-#: A telling word is in at least this share and this number of the sample's toxic documents.
-SUPPORT = 0.05
-MIN_SUPPORT = 5
-#: ... and so much (in log-odds) more often there than in the others.
-MIN_LOG_ODDS = 2.0
+CANDIDATES = 2048
+#: Beginnings of words that are terms, in bytes.
+BEGINNINGS = (3, 4, 5, 6)
+#: A term speaks for toxic texts if it is in two of them and, in log-odds, so much more often there than in the others.
+MIN_LOG_ODDS = 1.0
+KINDS = 3
 FOLDS = 5
-CHAIN = ("dense", "varied", "toxic")
+CHAIN = (*(f"kind_{k}" for k in range(KINDS)), "toxic")
 THRESHOLD = 0.5
+RIDGE = 0.3
 _WORD = byte_table([*range(48, 58), *range(65, 91), *range(97, 123), *range(0x80, 0x100)])
 
 
-def _words(data, borders, state) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words, and where each text's begin."""
+def _terms(data, borders, state) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of terms, the text of each, and how many words each text has."""
     starts, ends, first = runs(data, borders, _WORD)
-    return state["hasher"].of_bytes(LOWER[data], starts, ends).view(np.int64), first
+    data, text = LOWER[data], owners(first)
+    longer = [ends - starts > k for k in BEGINNINGS]
+    begin = np.concatenate([starts, *(starts[w] for w in longer)])
+    end = np.concatenate([ends, *(starts[w] + k for w, k in zip(longer, BEGINNINGS))])
+    hashes = state["hasher"].of_bytes(data, begin, end)
+    hashes[: len(starts)] = mixed(hashes[: len(starts)] + np.uint64(1))
+    return hashes.view(np.int64), np.concatenate([text, *(text[w] for w in longer)]), np.diff(first)
 
 
 def sample(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -51,18 +62,33 @@ def sample(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS) ->
     return found.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
-def features(hashes: np.ndarray, first: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Per text: presence of each telling word, then how many different ones, all of them, and their share of all words."""
-    n, v = len(first) - 1, len(vocabulary)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), v - 1)
-    hit = vocabulary[at] == hashes
-    counts = np.bincount(owners(first)[hit] * v + at[hit], minlength=n * v).reshape(n, v)
-    present = counts > 0
-    total, words = counts.sum(1), np.maximum(np.diff(first), 1)
-    return np.column_stack((present, np.log1p(present.sum(1)), np.log1p(total), np.sqrt(total / words)))
+def _counts(terms: np.ndarray, text: np.ndarray, n: int, vocabulary: np.ndarray) -> np.ndarray:
+    v = len(vocabulary)
+    at = np.minimum(np.searchsorted(vocabulary, terms), v - 1)
+    hit = vocabulary[at] == terms
+    return np.bincount(text[hit] * v + at[hit], minlength=n * v).reshape(n, v)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
+def features(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Per text: presence of each term, then how many different ones, all of them, and their share of all words."""
+    present, total = counts > 0, counts.sum(1)
+    return np.column_stack((present, np.log1p(present.sum(1)), np.log1p(total), np.sqrt(total / np.maximum(words, 1))))
+
+
+def kinds_of(x: np.ndarray, kinds: int = KINDS, steps: int = 20) -> np.ndarray:
+    """The cluster of each row by direction: k-means from rows far from each other, the fullest first."""
+    rows = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    centres = rows[[int(np.argmax(x.sum(1)))]]
+    while len(centres) < min(kinds, len(rows)):
+        centres = np.vstack((centres, rows[np.argmin((rows @ centres.T).max(1))]))
+    for _ in range(steps):
+        own = np.argmax(rows @ centres.T, axis=1)
+        sums = np.array([rows[own == k].sum(0) for k in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    return np.argmax(rows @ centres.T, axis=1)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int = 25) -> np.ndarray:
     """Weights (bias last) by Newton steps on the penalised likelihood."""
     x = np.column_stack((x, np.ones(len(x))))
     w = np.zeros(x.shape[1])
@@ -108,79 +134,89 @@ def fit_chain(x: np.ndarray, categories: np.ndarray, folds: np.ndarray) -> list[
 
 
 def train(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS) -> dict | None:
-    """The telling words and the chain, or None without labels of both kinds."""
+    """The vocabulary and the chain, or None without labels of both kinds or without terms that tell."""
     texts = stored(sample(documents, labels, docs), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if set(sizes) != {0, 1}:
         return None
 
-    def distinct(batch, data, borders, state):
-        hashes, first = _words(data, borders, state)
-        pairs = np.unique(np.column_stack((owners(first), hashes)), axis=0)
-        return {"toxic": pa.array(np.asarray(batch.column(0))[pairs[:, 0]], pa.int32()), "word": pa.array(pairs[:, 1])}
+    def held(batch, data, borders, state):
+        terms, text, _ = _terms(data, borders, state)
+        pairs = np.unique(np.column_stack((text, terms)), axis=0)
+        toxic = np.asarray(batch.column(0))[pairs[:, 0]]
+        own, at = np.unique(pairs[:, 1], return_inverse=True)
+        bad = np.bincount(at, weights=toxic, minlength=len(own)).astype(np.int64)
+        return {"term": pa.array(own), "bad": pa.array(bad), "good": pa.array(np.bincount(at, minlength=len(own)) - bad)}
 
-    words = mapped(texts.select("toxic", "text"), distinct, "text", "toxic int, word long").groupBy("word").agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
+    terms = mapped(texts.select("toxic", "text"), held, "text", "term long, bad long, good long").groupBy("term").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good")
     )
     odds = F.log((F.col("bad") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("good") + 0.5) / (sizes[0] + 1.0))
-    telling = (
-        words.filter((F.col("bad") >= max(MIN_SUPPORT, SUPPORT * sizes[1])) & (odds > MIN_LOG_ODDS))
-        .orderBy((odds * F.sqrt("bad")).desc(), "word")
-        .limit(VOCABULARY)
-    )
-    vocabulary = np.array(sorted(r["word"] for r in telling.collect()), dtype=np.int64)
-    if not len(vocabulary):
+    telling = terms.filter((F.col("bad") > 1) & (odds > MIN_LOG_ODDS)).orderBy((odds * F.sqrt("bad")).desc(), "term")
+    ranked = np.array([r["term"] for r in telling.limit(CANDIDATES).collect()], dtype=np.int64)
+    if not len(ranked):
         return None
+    candidates = np.sort(ranked)
 
     def rows(batch, data, borders, state):
-        hashes, first = _words(data, borders, state)
-        x = features(hashes, first, vocabulary).astype(np.float32)
+        terms, text, words = _terms(data, borders, state)
+        counts = np.minimum(_counts(terms, text, batch.num_rows, candidates), 255).astype(np.uint8)
         fold = state["hasher"].of_bytes(data, borders[:-1], borders[1:]) % np.uint64(FOLDS)
         return {
             "toxic": batch.column(0),
             "fold": pa.array(fold.astype(np.int32)),
-            "x": pa.array([r.tobytes() for r in x], pa.binary()),
+            "words": pa.array(words),
+            "counts": pa.array([r.tobytes() for r in counts], pa.binary()),
         }
 
-    found = mapped(texts.select("toxic", "text"), rows, "text", "toxic int, fold int, x binary").orderBy("fold", "toxic", "x")
+    schema = "toxic int, fold int, words long, counts binary"
+    found = mapped(texts.select("toxic", "text"), rows, "text", schema).orderBy("fold", "toxic", "words", "counts")
     found = found.limit(docs).collect()
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in found], dtype=float)
+    counts = np.array([np.frombuffer(r["counts"], np.uint8) for r in found])[:, np.searchsorted(candidates, ranked)]
+    # Of terms found in the same texts the best one is enough.
+    _, best = np.unique(counts > 0, axis=1, return_index=True)
+    best = np.sort(best)[:VOCABULARY]
+    best = best[np.argsort(ranked[best])]
+    x = features(counts[:, best].astype(np.int64), np.array([r["words"] for r in found]))
     toxic, folds = np.array([r["toxic"] for r in found], float), np.array([r["fold"] for r in found])
-    density, kinds = x[:, -1], x[:, -3]
-    dense = toxic * (density >= np.median(density[toxic == 1]))
-    varied = toxic * (kinds >= np.log1p(2))
-    return {"vocabulary": vocabulary, "chain": fit_chain(x, np.column_stack((dense, varied, toxic)), folds)}
+    kind = np.full(len(x), -1)
+    kind[toxic == 1] = kinds_of(x[toxic == 1][:, : len(best)])
+    categories = np.column_stack([*(kind == k for k in range(KINDS)), toxic]).astype(float)
+    return {"vocabulary": ranked[best], "chain": fit_chain(x, categories, folds)}
 
 
-def toxicity(documents: DataFrame, model: dict | None) -> DataFrame:
-    """Each document with ``p_dense, p_varied, p_toxic`` and ``is_toxic``; columns of these names are replaced."""
+def _judged(documents: DataFrame, model: dict | None, whole: bool) -> DataFrame:
+    """``doc_id`` or, if ``whole``, all columns as ``row``, with ``p_..`` and ``is_toxic``."""
     names = [f"p_{c}" for c in CHAIN]
-    kept = [c for c in documents.columns if c not in (*names, "is_toxic")]
+    own = documents.select((F.struct("*") if whole else F.col("doc_id")).alias("row"), "text")
 
     def judge(batch, data, borders, state):
         p = np.zeros((batch.num_rows, len(CHAIN)))
         if model is not None:
-            hashes, first = _words(data, borders, state)
-            p = predict(model["chain"], features(hashes, first, model["vocabulary"]))
-            p[np.diff(first) == 0] = 0
+            terms, text, words = _terms(data, borders, state)
+            p = predict(model["chain"], features(_counts(terms, text, batch.num_rows, model["vocabulary"]), words))
+            p[words == 0] = 0
         return {
-            **{c: batch.column(i) for i, c in enumerate(kept)},
+            "row": batch.column(0),
             **{name: pa.array(p[:, k]) for k, name in enumerate(names)},
             "is_toxic": pa.array(p[:, -1] >= THRESHOLD),
         }
 
-    own = documents.select(*kept)
     added = [T.StructField(n, T.DoubleType()) for n in names] + [T.StructField("is_toxic", T.BooleanType())]
-    schema = T.StructType([*own.schema.fields, *added])
-    return mapped(own, judge, "text", schema)
+    return mapped(own, judge, "text", T.StructType([own.schema["row"], *added]))
+
+
+def toxicity(documents: DataFrame, model: dict | None) -> DataFrame:
+    """``doc_id``, ``p_..`` of each category and ``is_toxic`` per document."""
+    return _judged(documents, model, whole=False).withColumnRenamed("row", "doc_id")
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``documents`` without those the chain finds toxic."""
-    judged = toxicity(documents, train(documents, labels))
-    return judged.filter(~F.col("is_toxic")).select(*documents.columns)
+    judged = _judged(documents, train(documents, labels), whole=True).filter(~F.col("is_toxic"))
+    return judged.select(*(F.col("row").getField(c).alias(c) for c in documents.columns))
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     own = documents.select(F.col("doc_id").cast("long"), "text")
-    return toxicity(own, train(own, labels)).drop("text")
+    return toxicity(own, train(own, labels))

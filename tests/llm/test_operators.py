@@ -254,9 +254,50 @@ def test_toxicity_on_held_out_documents(spark):
     assert not got[1000] and not got[1001] and got[None]
     kept = toxicity.drop_toxic(table, table.select("doc_id", "toxic"))
     assert kept.columns == table.columns and kept.filter("doc_id = 3").count() == 0
+    assert set(r["is_toxic"] for r in kept.collect()) == {"clash"}
     assert toxicity.drop_toxic(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_toxicity_kinds_are_those_of_the_texts_and_forms_of_slurs_are_found(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(600):
+        text = prose(rng, 60).split()
+        if i % 3 == 0:  # two kinds, each with slurs of many forms
+            stem = ("vequ", "lowei", "blargu")[i // 3 % 3]
+            for _ in range(3):
+                text.insert(rng.randrange(len(text)), stem + "".join(rng.choice("abcdefgh") for _ in range(4)))
+        rows.append((i, " ".join(text), int(i % 3 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(table, table.filter("doc_id % 2 = 0"))
+    got = {r["doc_id"]: r for r in toxicity.toxicity(table, model).collect()}
+    assert sum(got[i]["is_toxic"] != bool(t) for i, _, t in rows if i % 2) <= 3
+    kinds = {i: max(range(toxicity.KINDS), key=lambda k: got[i][f"p_kind_{k}"]) for i, _, t in rows if t and i % 2}
+    for stem in range(3):
+        own = [k for i, k in kinds.items() if i // 3 % 3 == stem]
+        assert max(map(own.count, own)) >= 0.95 * len(own)
+    assert len(set(kinds.values())) == 3
+
+
+def test_toxicity_without_evidence_finds_nothing(spark):
+    table = spark.createDataFrame([(i, f"word{i} text", i % 2) for i in range(2)], "doc_id long, text string, toxic int")
+    assert toxicity.train(table, table) is None
+    assert toxicity.train(table, table.filter("toxic = 1")) is None
+    assert [r["is_toxic"] for r in toxicity.toxicity(table, None).collect()] == [False, False]
+
+
+def test_toxicity_on_held_out_labels(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter("doc_id % 3 <> 0"))
+    held_out = toxicity.toxicity(docs, model).join(labels.filter("doc_id % 3 = 0"), "doc_id")
+    found = {r["toxic"]: (r["n"], r["hits"]) for r in held_out.groupBy("toxic").agg(
+        F.count("*").alias("n"), F.sum(F.col("is_toxic").cast("int")).alias("hits")).collect()}
+    print("held out, toxic and clean:", found[1], found[0])
+    assert found[1][1] >= 0.8 * found[1][0] and found[0][1] <= 0.005 * found[0][0]
+
+
 # 6
 
 
