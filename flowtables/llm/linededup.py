@@ -74,8 +74,11 @@ def boilerplate_lines(documents: DataFrame, min_sites: int = MIN_SITES) -> DataF
     return shared.join(spread_out, "line", "left_semi")
 
 
-def drop_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``documents`` with ``text`` cut, and ``n_lines``, ``n_removed`` (lines that are not blank)."""
+def drop_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES, counts: bool = True) -> DataFrame:
+    """``documents`` with ``text`` cut and, with ``counts``, ``n_lines`` and ``n_removed`` (lines that are not blank).
+
+    Columns of any other names are passed on; without ``counts`` these are, too.
+    """
     boilerplate = stored(boilerplate_lines(documents, min_sites), "boilerplate-lines")
     found = _lines(documents.select("doc_id", "text", F.lit(None).cast("string").alias("source")))
     hits = (
@@ -89,16 +92,23 @@ def drop_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFr
         .withColumnRenamed("doc_id", "_doc_id")
     )
     hits = stored(hits, "boilerplate-hits")
+    others = [c for c in documents.columns if c not in ("doc_id", "text")]
+    # Columns are packed, so that none can clash with those made here.
+    rows = documents.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("_row"))
     # Both sides grow with the corpus: neither is to be sent to every task, however small it is in a trial.
-    joined = documents.join(hits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
+    joined = rows.join(hits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
     goes = lambda x, i: (trimmed(x) != "") & F.array_contains(F.col("_lines"), F.xxhash64(trimmed(x))) & ~F.array_contains(F.col("_kept"), i)
     parts = F.split("text", "\n")
     untouched = F.col("_lines").isNull() | F.col("text").isNull()
     kept = F.filter(parts, lambda x, i: ~goes(x, i))
     filled = F.size(F.filter(parts, lambda x: trimmed(x) != "")).cast("long")
+    text = F.when(untouched, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
+    given = {"text": text, "doc_id": F.col("doc_id")}
+    own = [given.get(c, F.col("_row").getField(c).alias(c)) for c in documents.columns if not (counts and c in ("n_lines", "n_removed"))]
+    if not counts:
+        return joined.select(*own)
     return joined.select(
-        *[c for c in documents.columns if c not in ("text", "n_lines", "n_removed")],
-        F.when(untouched, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        *own,
         F.when(F.col("text").isNull(), 0).otherwise(filled).cast("long").alias("n_lines"),
         F.when(untouched, 0).otherwise(F.size(parts) - F.size(kept)).cast("long").alias("n_removed"),
     )

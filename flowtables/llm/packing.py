@@ -13,8 +13,10 @@ any order, which changes nothing in the rows' values. An empty table gives no ro
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,10 @@ def _public_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The pre-tokenizer's own pattern (a fixed value of the vocabulary file).
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class WordIds:
     """The ids of single words by a tokenizer that never joins over white space, as little-endian uint32 bytes."""
 
@@ -47,8 +53,10 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        #: The pre-tokenizer's own pattern (a fixed value of the vocabulary file).
-        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+        self.parts = regex.compile(_PARTS).findall
+        # Words are cut here only if the file given cuts them so.
+        with open(path, encoding="utf-8") as file:
+            self.cuts = _PARTS in json.dumps(json.load(file)["pre_tokenizer"]).replace("\\\\", "\\")
         self.simple = regex.compile(r"[\x21-\x7e\xa1-\xff]+").fullmatch
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -60,10 +68,17 @@ class WordIds:
         cut = {}
         for word in words:
             text = word.decode()
-            cut[word] = self.parts(text.lower()) if self.simple(text) else [text]
-        new = list({p for parts in cut.values() for p in parts} - self.pieces.keys())
+            if not self.cuts or not (text.isascii() and text.isprintable() or self.simple(text)):
+                cut[word] = (text,)
+            elif text.isalpha():
+                cut[word] = (text.lower(),)
+            elif text[:-1].isalpha():  # a word and one sign
+                cut[word] = (text[:-1].lower(), text[-1])
+            else:
+                cut[word] = self.parts(text.lower())
+        new = list(set().union(*cut.values()) - self.pieces.keys())
         for piece, ids in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.pieces[piece] = np.array(ids.ids, dtype="<u4").tobytes()
+            self.pieces[piece] = array("I", ids.ids).tobytes()
         for word, parts in cut.items():
             self.words[word] = b"".join([self.pieces[p] for p in parts])
 
@@ -71,13 +86,14 @@ class WordIds:
         """The ids of each text; words that are new to the worker are learnt together."""
         split = [t.split() for t in texts]
         known = self.words
-        new = {w for words in split for w in words} - known.keys()
+        own = set().union(*split)
+        new = own - known.keys()
         if new:
             if len(known) > CACHED_WORDS:
                 known.clear()
-                new = {w for words in split for w in words}
+                new = own
             self._learn(new)
-        return [b"".join([known[w] for w in words]) for words in split]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def _tokenizer(path: str) -> WordIds:
@@ -270,13 +286,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (with ``length``) with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
     counts = pieces.groupBy("length").agg(F.count("*").alias("n"))
-    # At most ``capacity`` rows.
+    # At most ``capacity`` rows, so they go to every task, and salts take effect.
     plan = packing_plan({r["length"]: r["n"] for r in counts.collect()}, capacity)
     schema = "length long, rank_from long, rank_to long, each long, sequence_from long, at long"
     plan_table = spark.createDataFrame(plan, schema)
     # About sqrt(n) salts for a length of n pieces: neither a salt nor the salts of a length are many.
     salts = F.greatest(F.lit(1), F.ceil(F.sqrt("n"))).cast("long")
-    salted = pieces.join(counts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), salts))
+    salted = pieces.join(F.broadcast(counts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), salts))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sums = salted.groupBy("length", "salt").agg(F.count("*").alias("in_salt"))
     sums = sums.select("length", "salt", F.coalesce(F.sum("in_salt").over(before), F.lit(0)).alias("salt_from"))

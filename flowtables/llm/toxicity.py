@@ -185,10 +185,9 @@ def train(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS) -> d
     return {"vocabulary": ranked[best], "chain": fit_chain(x, categories, folds)}
 
 
-def _judged(documents: DataFrame, model: dict | None, whole: bool) -> DataFrame:
-    """``doc_id`` or, if ``whole``, all columns as ``row``, with ``p_..`` and ``is_toxic``."""
+def _judged(rows: DataFrame, model: dict | None) -> DataFrame:
+    """``rows`` (row, text) with ``p_..`` of each category and ``is_toxic``."""
     names = [f"p_{c}" for c in CHAIN]
-    own = documents.select((F.struct("*") if whole else F.col("doc_id")).alias("row"), "text")
 
     def judge(batch, data, borders, state):
         p = np.zeros((batch.num_rows, len(CHAIN)))
@@ -198,23 +197,26 @@ def _judged(documents: DataFrame, model: dict | None, whole: bool) -> DataFrame:
             p[words == 0] = 0
         return {
             "row": batch.column(0),
+            "text": batch.column(1),
             **{name: pa.array(p[:, k]) for k, name in enumerate(names)},
             "is_toxic": pa.array(p[:, -1] >= THRESHOLD),
         }
 
     added = [T.StructField(n, T.DoubleType()) for n in names] + [T.StructField("is_toxic", T.BooleanType())]
-    return mapped(own, judge, "text", T.StructType([own.schema["row"], *added]))
+    return mapped(rows, judge, "text", T.StructType([rows.schema["row"], rows.schema["text"], *added]))
 
 
 def toxicity(documents: DataFrame, model: dict | None) -> DataFrame:
     """``doc_id``, ``p_..`` of each category and ``is_toxic`` per document."""
-    return _judged(documents, model, whole=False).withColumnRenamed("row", "doc_id")
+    return _judged(documents.select(F.col("doc_id").alias("row"), "text"), model).withColumnRenamed("row", "doc_id").drop("text")
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``documents`` without those the chain finds toxic."""
-    judged = _judged(documents, train(documents, labels), whole=True).filter(~F.col("is_toxic"))
-    return judged.select(*(F.col("row").getField(c).alias(c) for c in documents.columns))
+    others = [c for c in documents.columns if c != "text"]
+    rows = documents.select(F.struct(*others).alias("row"), "text")
+    judged = _judged(rows, train(documents, labels)).filter(~F.col("is_toxic"))
+    return judged.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in documents.columns))
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:

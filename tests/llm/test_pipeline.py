@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 from oracle import duckdb_rows, spark_rows
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from flowtables.llm import linededup, mixing, ngramjoin, queries, toxicity
 
@@ -30,7 +32,7 @@ def test_stages_do_what_their_operators_decide(spark):
     cut = stage["line_dedup"](spark, docs, SF_DIR)
     assert cut.columns == docs.columns and cut.count() == docs.count()
     assert {(r["doc_id"], r["text"]) for r in cut.collect()} == {(r["doc_id"], r["text"]) for r in linededup.drop_boilerplate(docs).collect()}
-    classes = ngramjoin.similarity_classes(docs).collect()
+    classes = ngramjoin.similarity_classes(docs, 80, 5).collect()
     one = [r["doc_id"] for r in stage["near_copies"](spark, docs, SF_DIR).collect()]
     assert sorted(one) == sorted({r["doc_id"] for r in classes if r["n_shingles"] == 0 or r["doc_id"] == r["component_id"]})
     mixed = stage["mixing"](spark, docs, SF_DIR)
@@ -50,3 +52,14 @@ def test_pipeline_runs_and_packs_all_that_is_left(spark):
         parts.sort()
         assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
         assert sum(n for _, n in parts) <= 4096
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    names = ("n_lines", "n_removed", "_lines", "_kept", "_doc_id", "_row", "row", "is_toxic", "p_toxic", "_content", "content", "id", "copies", "_no")
+    marked = docs.withColumns({c: F.lit(f"own {c}") for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, marked, SF_DIR)
+        assert out.columns == marked.columns, name
+        rows = out.select(*names).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"own {c}" for c in names)], name
