@@ -11,17 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from flowtables.llm import linededup, mixing, ngramjoin, packing, toxicity
 from flowtables.llm.scratch import stored
 
+#: Near copies share at least so many percent of their distinct shingles of so many words.
+NEAR_PERCENT = 80
+NEAR_WORDS = 5
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.drop_boilerplate(docs).select(*docs.columns)
+    return linededup.drop_boilerplate(docs, counts=False)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngramjoin.one_of_each(docs)
+    return ngramjoin.one_of_each(docs, percent=NEAR_PERCENT, size=NEAR_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
