@@ -175,7 +175,9 @@ def shard_counts(plan: DataFrame, n_slots: int, shard_slots: int = SHARD_SLOTS)
 def deal_slots(plan: DataFrame, n_slots: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """``shard, source_no, k, epoch, block_no`` for all slots of the mix."""
     counts = shard_counts(plan, n_slots, shard_slots)
-    slots = counts.withColumn("k", F.explode(F.sequence("k_from", F.col("k_to") - 1)))
+    # Few rows become very many: they are dealt to all tasks before.
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = counts.repartition(tasks, "shard", "source_no").withColumn("k", F.explode(F.sequence("k_from", F.col("k_to") - 1)))
     slots = slots.withColumn("epoch", F.call_function("div", "k", "n_blocks"))
     block_no = permuted(F.pmod("k", "n_blocks"), F.col("n_blocks"), F.col("source_no"), F.col("epoch"))
     return slots.select("shard", "source_no", "k", "epoch", block_no.alias("block_no"))
@@ -216,6 +218,8 @@ def taken_words(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     """Each document with ``size, source_size, target``, ``taken``, the words the mix takes from it, and ``first_shard``."""
     own, slots = mix(documents, block)
     times = slots.groupBy("source_no", "block_no").agg(F.count("*").alias("times"), F.min("shard").alias("first_shard"))
+    # Written, as Spark would take its size for that of the few rows it comes from, and send it to every task.
+    times = stored(times, "block-times")
     taken = (
         block_pieces(own, block)
         .join(times, ["source_no", "block_no"])
