@@ -175,19 +175,20 @@ def framed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame_report(framed.segments_to_flows(views.landed(spark, views.framed_segments(spark, sf_dir), "segments")))
 
 
-@query(
-    with_views(
-        FRAMES,
-        """, cut AS (
-             SELECT *, CASE WHEN conn_id % 10 = 3 THEN total * 9 // 10 ELSE total END AS closed,
-               frame_end - size AS body_start
-             FROM placed),
-           seen AS (SELECT *, closed < frame_end AS truncated, greatest(least(closed, frame_end) - body_start, 0) AS got FROM cut)
-           SELECT conn_id, frame_no, CAST(got AS BIGINT) AS size,
-             md5(unhex(substr(hex(encode(text)), 1, CAST(2 * got AS BIGINT)))) AS content_md5, 'success' AS outcome, truncated
-           FROM seen WHERE NOT truncated OR frame_no = 0 OR got > 0""",
-    )
+TRUNCATED_SQL = with_views(
+    FRAMES,
+    """, cut AS (
+         SELECT *, CASE WHEN conn_id % 10 = 3 THEN total * 9 // 10 ELSE total END AS closed,
+           frame_end - size AS body_start
+         FROM placed),
+       seen AS (SELECT *, closed < frame_end AS truncated, greatest(least(closed, frame_end) - body_start, 0) AS got FROM cut)
+       SELECT conn_id, frame_no, CAST(got AS BIGINT) AS size,
+         md5(unhex(substr(hex(encode(text)), 1, CAST(2 * got AS BIGINT)))) AS content_md5, 'success' AS outcome, truncated
+       FROM seen WHERE NOT truncated OR frame_no = 0 OR got > 0""",
 )
+
+
+@query(TRUNCATED_SQL)
 def framed_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame_report(framed.segments_to_flows(views.landed(spark, views.truncated_segments(spark, sf_dir), "segments")))
 

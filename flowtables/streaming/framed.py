@@ -1,15 +1,29 @@
-"""Continuous decoding of framed connections."""
+"""Continuous decoding of framed connections.
+
+``stream_frame_parts`` chains two stateful operators in append mode. The cutter, keyed by connection, follows the frames
+and keeps no content; it closes a connection at its last segment, or when nothing has come for ``idle``. The assembler,
+keyed by connection, frame and part, keeps the bytes of one part until all are there. So what a key holds is bounded by a
+part, whatever the size of a flow or a connection, and nothing is left of either when it is over.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from flowtables.functions import headers
+from flowtables.functions.times import epoch_millis
 from flowtables.operators.framecutter import FrameCutter
-from flowtables.schema import frame_prefix_bytes
+from flowtables.schema import ERROR, SUCCESS, frame_prefix_bytes
+
+#: Bytes of a payload in one part.
+PART_BYTES = 4 << 20
+#: Parts that are no stretch of a payload: a frame's header, its end, and what a connection lost.
+HEADER_PART, END_PART, LOSS_PART = -1, -2, -3
 
 _STATE = f"next long, {FrameCutter.STATE_SCHEMA}"
 
@@ -72,3 +86,289 @@ def stream_cut_frames(segments: DataFrame, conn: str = "conn_id", seq: str = "se
             timeMode="None",
         )
     )
+
+
+_CUT = (
+    "frame_no long, part_no long, at long, until long, bytes binary, size long, reason string, truncated boolean, "
+    "repeated long, lost long"
+)
+_LIVE = f"next long, {FrameCutter.STATE_SCHEMA}, last_ms long, closed boolean, repeated long"
+
+
+class FlowCutter(StatefulProcessor):
+    """Cuts a connection into bytes of parts, frame ends and, when it closes, what is left open.
+
+    Of each part the assembler is told where it ends (``until``, from the part's first byte): with every piece of it by
+    the announced lengths, and once more if the connection closes earlier (-1: the part is not wanted).
+    """
+
+    COLUMNS = [c.split()[0] for c in _CUT.split(", ")]
+
+    def __init__(self, conn: str, prefix: int, idle_ms: int, part_bytes: int):
+        self.conn, self.prefix, self.idle_ms, self.part_bytes = conn, prefix, idle_ms, part_bytes
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.live = handle.getValueState("live", _LIVE)
+        self.early = handle.getMapState("early", "seq long", "bytes binary, closes boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known, ended = self.live.get() if self.live.exists() else None, []
+        for timer in list(self.handle.listTimers()) if known else ():
+            self.handle.deleteTimer(timer)
+        if known and known[7] + self.idle_ms <= timerValues.getCurrentWatermarkInMs():
+            # It has been idle for too long by now: these are the first segments of another one.
+            ended, known = self._expire(known), None
+        expected, frames, last_ms, closed, repeated = (
+            (known[0], (*known[1:5], bytes(known[5]), known[6]), *known[7:10]) if known else (0, None, 0, False, 0)
+        )
+        cutter, out, waiting = FrameCutter(self.prefix, frames), [], {}
+        for batch in rows:
+            for seq, data, closes, ms in zip(batch["seq"], batch["bytes"], batch["closes"], batch["ms"]):
+                last_ms = max(last_ms, int(ms))
+                if closed or seq < expected or seq in waiting or (known and self.early.containsKey((int(seq),))):
+                    repeated += 1
+                else:
+                    waiting[int(seq)] = (bytes(data or b""), bool(closes))
+        while not closed and (expected in waiting or (known and self.early.containsKey((expected,)))):
+            segment = waiting.pop(expected, None)
+            if segment is None:
+                segment = self.early.getValue((expected,))
+                self.early.removeKey((expected,))
+            out += self._cut(cutter, bytes(segment[0]))
+            expected, closed = expected + 1, segment[1]
+        if closed:
+            out += self._close(cutter, repeated, len(waiting) + self._forget_early(known))
+            waiting, repeated = {}, 0
+        for seq, segment in waiting.items():
+            self.early.updateValue((seq,), segment)
+        self.live.update((expected, *cutter.state(), last_ms, closed, repeated))
+        self.handle.registerTimer(last_ms + self.idle_ms)
+        yield self._frame(key, ended + out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._frame(key, self._expire(self.live.get()))
+
+    def close(self) -> None:
+        pass
+
+    def _expire(self, known) -> list[tuple]:
+        if known[8]:  # closed before: only repeated segments have come since
+            out = [self._loss(known[9], 0)] if known[9] else []
+        else:
+            cutter = FrameCutter(self.prefix, (*known[1:5], bytes(known[5]), known[6]))
+            out = list(self._close(cutter, known[9], self._forget_early(known)))
+        self.live.clear()
+        return out
+
+    def _forget_early(self, known) -> int:
+        left = [seq for (seq,) in self.early.keys()] if known else []
+        for seq in left:
+            self.early.removeKey((seq,))
+        return len(left)
+
+    def _cut(self, cutter: FrameCutter, data: bytes) -> list[tuple]:
+        out = []
+        for frame_no, part, at, header_len, payload_len, piece in cutter.feed(data):
+            if part == "X":
+                out.append(self._end(frame_no, 0, "bad_length", False))
+            elif part == "F" and payload_len is not None and header_len + payload_len == 0:
+                out.append(self._end(frame_no, 0, None, False))
+            elif part == "D":
+                out += self._pieces(frame_no, at, header_len, payload_len, piece)
+                if at + len(piece) == header_len + payload_len:
+                    out.append(self._end(frame_no, payload_len, None, False))
+        return out
+
+    def _pieces(self, frame_no: int, at: int, header_len: int, payload_len: int, piece: bytes) -> Iterator[tuple]:
+        """Bytes from place ``at`` of header and payload on, cut where parts begin."""
+        while piece:
+            if at < header_len:
+                part_no, begin, until = HEADER_PART, 0, header_len
+            else:
+                part_no = (at - header_len) // self.part_bytes
+                begin = header_len + part_no * self.part_bytes
+                until = min(self.part_bytes, header_len + payload_len - begin)
+            own = piece[: begin + until - at]
+            yield (frame_no, part_no, at - begin, until, own, None, None, None, None, None)
+            at, piece = at + len(own), piece[len(own) :]
+
+    def _close(self, cutter: FrameCutter, repeated: int, lost: int) -> Iterator[tuple]:
+        """What a closing connection leaves open: its first frame always, a later one once payload has come."""
+        frame_no, header_len, payload_len, left, _, phase = cutter.state()
+        if phase == "body":
+            got = header_len + payload_len - left
+            size = max(got - header_len, 0)
+            if got < header_len:
+                yield self._ends_at(frame_no, HEADER_PART, -1)
+            if size % self.part_bytes:
+                yield self._ends_at(frame_no, size // self.part_bytes, size % self.part_bytes)
+            if size or not frame_no:
+                yield self._end(frame_no, size, None, True)
+        elif phase != "dead" and not frame_no:
+            yield self._end(0, 0, None, True)
+        if repeated or lost:
+            yield self._loss(repeated, lost)
+
+    def _ends_at(self, frame_no: int, part_no: int, until: int) -> tuple:
+        return (frame_no, part_no, 0, until, None, None, None, None, None, None)
+
+    def _end(self, frame_no: int, size: int, reason: str | None, truncated: bool) -> tuple:
+        return (frame_no, END_PART, 0, 0, None, size, reason, truncated, None, None)
+
+    def _loss(self, repeated: int, lost: int) -> tuple:
+        return (-1, LOSS_PART, 0, 0, None, None, None, None, repeated, lost)
+
+    def _frame(self, key, rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=self.COLUMNS)
+        for name in ("size", "repeated", "lost"):
+            out[name] = out[name].astype("Int64")
+        out["truncated"] = out["truncated"].astype("boolean")
+        out.insert(0, self.conn, [key[0]] * len(rows))
+        return out
+
+
+class PartAssembler(StatefulProcessor):
+    """Holds the bytes of one part until it ends; frame ends and losses pass through."""
+
+    def __init__(self, conn: str):
+        self.result = Row(conn, "frame_no", "part_no", "content", "size", "reason", "truncated", "repeated", "lost")
+
+    def init(self, handle) -> None:
+        self.known = handle.getValueState("known", "got long, until long")
+        self.pieces = handle.getMapState("pieces", "at long", "bytes binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[2] <= END_PART:
+            for row in rows:
+                yield self.result(*key, None, row.size, row.reason, row.truncated, row.repeated, row.lost)
+            return
+        stored = self.known.exists()
+        got, until = self.known.get() if stored else (0, None)
+        fresh, closing = {}, None
+        for row in rows:
+            if row.bytes is None:
+                closing = row.until
+            else:
+                until = row.until
+                fresh[row.at] = bytes(row.bytes)
+                got += len(row.bytes)
+        until = until if closing is None else closing
+        if until == -1 or got == until:
+            if until != -1:
+                held = ({at: bytes(b) for (at,), (b,) in self.pieces.iterator()} if stored else {}) | fresh
+                content = b"".join(held[at] for at in sorted(held))
+                yield self.result(*key, content, len(content), None, None, None, None)
+            if stored:
+                self.pieces.clear()
+                self.known.clear()
+            return
+        for at, data in fresh.items():
+            self.pieces.updateValue((at,), (data,))
+        self.known.update((got, until))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_frame_parts(
+    segments: DataFrame,
+    conn: str = "conn_id",
+    seq: str = "seq",
+    at: str = "ts",
+    closes: str | None = None,
+    profile: str = "v2",
+    idle_ms: int = 600_000,
+    watermark: str = "10 minutes",
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """O35. The flows of a stream of segments, in parts: ``conn, frame_no, part_no, content, size, reason, truncated, ..``.
+
+    Part -1 is a flow's header, parts from 0 on are stretches of ``part_bytes`` of its payload, and part -2 says that the
+    flow has ended: its ``size``, whether it is ``truncated`` (the connection closed inside it) and a ``reason`` if its
+    lengths were bad. Part -3 counts what a connection lost: ``repeated`` segments, and segments ``lost`` behind a gap.
+
+    Segments of a connection are numbered 0, 1, 2 ... and may come out of order. A connection closes with the segment whose
+    ``closes`` column is true, or ``idle_ms`` after its latest segment by the watermark; its number may then be used anew.
+    :func:`flows_of_parts` and :func:`flow_parts` read what was written.
+    """
+    conn_type = segments.schema[conn].dataType.simpleString()
+    wanted = (
+        segments.withColumn("ms", epoch_millis(segments, at))
+        .withColumn("closes", F.coalesce(F.col(closes), F.lit(False)) if closes else F.lit(False))
+        .withWatermark(at, watermark)
+        .select(conn, F.col(seq).cast("bigint").alias("seq"), "bytes", "closes", "ms", at)
+    )
+    cut = wanted.groupBy(conn).transformWithStateInPandas(
+        statefulProcessor=FlowCutter(conn, frame_prefix_bytes(profile), idle_ms, part_bytes),
+        outputStructType=f"`{conn}` {conn_type}, {_CUT}",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    return cut.groupBy(conn, "frame_no", "part_no").transformWithState(
+        statefulProcessor=PartAssembler(conn),
+        outputStructType=(
+            f"`{conn}` {conn_type}, frame_no long, part_no long, content binary, size long, reason string, truncated boolean, "
+            "repeated long, lost long"
+        ),
+        outputMode="Append",
+        timeMode="None",
+    )
+
+
+def flow_parts(parts: DataFrame, conn: str = "conn_id", on_truncated: str = SUCCESS) -> DataFrame:
+    """Payload parts of ended flows from a table of :func:`stream_frame_parts`, each with its flow's outcome.
+
+    ``attributes`` are on part 0. A flow without payload, or in error, is one row with part 0 and no content. Payloads are
+    joined by part: what is joined by flow is its header and its end.
+    """
+    key = [conn, "frame_no"]
+    ends = parts.filter(F.col("part_no") == END_PART).select(*key, "size", "reason", "truncated")
+    heads = parts.filter(F.col("part_no") == HEADER_PART).select(
+        *key, headers.header_attributes(F.decode("content", "UTF-8")).alias("decoded"), F.lit(True).alias("has_header")
+    )
+    flows = ends.join(heads, key, "left")
+    has_header = F.coalesce("has_header", F.lit(False)) & ~F.col("truncated")
+    reason = F.coalesce("reason", F.when(has_header & F.col("decoded").isNull(), "bad_header"))
+    if on_truncated == ERROR:
+        reason = F.coalesce(reason, F.when(F.col("truncated"), "truncated"))
+    flows = flows.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    flows = flows.withColumn("decoded", F.when(good & has_header, F.col("decoded")))
+    each = F.col("part_no") == 0  # one row of a flow in error
+    bodies = parts.filter(F.col("part_no") >= 0).select(*key, "part_no", "content")
+    numbers = bodies.select(*key, "part_no")
+    wanted = flows.join(numbers, key, "left").withColumn("part_no", F.coalesce("part_no", F.lit(0)))
+    return (
+        wanted.filter(good | each)
+        .join(bodies, [*key, "part_no"], "left")
+        .select(
+            *key,
+            "part_no",
+            F.when(good, F.coalesce("content", F.unhex(F.lit("")))).alias("content"),
+            F.when(each, F.col("decoded")).alias("attributes"),
+            F.when(good, F.col("size")).alias("size"),
+            F.when(good, SUCCESS).otherwise(ERROR).alias("outcome"),
+            "reason",
+            "truncated",
+        )
+    )
+
+
+def flows_of_parts(parts: DataFrame, conn: str = "conn_id", on_truncated: str = SUCCESS) -> DataFrame:
+    """Whole flows, one row each as in ``segments_to_flows``, for flows that fit a cell."""
+    rows = flow_parts(parts, conn, on_truncated)
+    return (
+        rows.groupBy(conn, "frame_no")
+        .agg(
+            F.first("attributes", ignorenulls=True).alias("attributes"),
+            F.expr("listagg(content) within group (order by part_no)").alias("content"),
+            *(F.first(c).alias(c) for c in ("size", "outcome", "reason", "truncated")),
+        )
+    )
+
+
+def segment_losses(parts: DataFrame, conn: str = "conn_id") -> DataFrame:
+    """Per connection that lost any: ``repeated`` segments, and segments ``lost`` behind a gap that never closed."""
+    losses = parts.filter(F.col("part_no") == LOSS_PART)
+    return losses.groupBy(conn).agg(F.sum("repeated").alias("repeated"), F.sum("lost").alias("lost"))

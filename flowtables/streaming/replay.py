@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowtables.sources.workdir import work_dir
 from flowtables.streaming.settings import prepare
 
+_FILES_PER_BATCH = 2
+
 
 def replay(
     spark: SparkSession,
@@ -17,14 +20,26 @@ def replay(
     name: str,
     closing_row: DataFrame | None = None,
     max_files: int = 1000,
+    batch: Column | None = None,
 ) -> DataFrame:
     """Land ``rows`` as files, stream them through ``transform`` into a table and read that.
 
-    ``closing_row`` is landed last: a row far in the future that moves the watermark past everything else.
+    With ``batch`` (a number of each row) rows come in as many micro-batches, in order: each batch is landed as
+    ``_FILES_PER_BATCH`` files. ``closing_row`` is landed last: a row far in the future that moves the watermark past
+    everything else.
     """
     prepare(spark)
     base = work_dir(spark, name)
-    rows.write.parquet(f"{base}/in")
+    if batch is None:
+        rows.write.parquet(f"{base}/in")
+    else:
+        max_files = _FILES_PER_BATCH
+        rows.withColumn("_batch", batch.cast("int")).write.partitionBy("_batch").parquet(f"{base}/all")
+        landed = spark.read.schema(f"{rows._jdf.schema().toDDL()}, _batch int").parquet(f"{base}/all")
+        numbers = sorted(r["_batch"] for r in landed.select("_batch").distinct().collect())
+        for number in numbers:
+            own = landed.filter(F.col("_batch") == number).select(*rows.columns)
+            own.repartition(_FILES_PER_BATCH).write.mode("append").parquet(f"{base}/in")
     if closing_row is not None:
         closing_row.select(*rows.columns).write.mode("append").parquet(f"{base}/in")
     landed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max_files).parquet(f"{base}/in")
