@@ -40,6 +40,8 @@ def _public_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Parts of words that are given to the tokenizer as one text.
+_TOGETHER = 256
 #: The pre-tokenizer's own pattern (a fixed value of the vocabulary file).
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -65,23 +67,39 @@ class WordIds:
         if len(self.pieces) > CACHED_WORDS:
             self.pieces.clear()
         # Latin words are cut here as the tokenizer would cut them, since their parts recur more often than they do.
-        cut = {}
+        cut, whole = {}, set()
         for word in words:
             text = word.decode()
             if not self.cuts or not (text.isascii() and text.isprintable() or self.simple(text)):
                 cut[word] = (text,)
+                whole.add(text)
             elif text.isalpha():
                 cut[word] = (text.lower(),)
             elif text[:-1].isalpha():  # a word and one sign
                 cut[word] = (text[:-1].lower(), text[-1])
             else:
                 cut[word] = self.parts(text.lower())
-        new = list(set().union(*cut.values()) - self.pieces.keys())
-        for piece, ids in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.pieces[piece] = array("I", ids.ids).tobytes()
+        parts = list(set().union(*cut.values()) - self.pieces.keys() - whole)
+        for low in range(0, len(parts), _TOGETHER):
+            self._learn_parts(parts[low : low + _TOGETHER])
+        self._learn_each(list(whole - self.pieces.keys()))
         for word, parts in cut.items():
             self.words[word] = b"".join([self.pieces[p] for p in parts])
 
+    def _learn_each(self, new: list[str]) -> None:
+        for piece, ids in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            self.pieces[piece] = array("I", ids.ids).tobytes()
+
+    def _learn_parts(self, new: list[str]) -> None:
+        """Parts that the tokenizer would not cut any further, as one text: half the work of one by one."""
+        encoded = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+        ids = array("I", encoded.ids).tobytes()
+        borders = [0, *(4 * (np.flatnonzero(np.diff(np.array(encoded.word_ids))) + 1)).tolist(), len(ids)]
+        if len(borders) == len(new) + 1:
+            self.pieces.update(zip(new, (ids[a:b] for a, b in zip(borders, borders[1:]))))
+        else:
+            self._learn_each(new)
+
     def of_texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; words that are new to the worker are learnt together."""
         split = [t.split() for t in texts]
