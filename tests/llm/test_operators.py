@@ -376,6 +376,32 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(text) == plain_spans(text), text
 
 
+def test_personal_data_field_finds_what_the_base_misses(spark):
+    """Secrets in whole documents, of kinds that the labelled table shows with other values."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    secret = re.compile(r'(?i)token = "([0-9a-f]{40})"|(AKIA[A-Z0-9]{16})|password=([0-9a-f]{8,})')
+    wanted = {r["doc_id"]: [m.group(m.lastindex) for m in secret.finditer(r["text"] or "")] for r in docs.collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    found = {r["doc_id"]: r for r in pii.find_personal_data(docs).collect()}
+    holders = [d for d, values in wanted.items() if values]
+    caught = 0
+    for d in holders:
+        spans = [s.split(":") for s in found[d]["spans"].split(",") if s.startswith("secret")]
+        caught += set(wanted[d]) <= {texts[d][int(a) : int(b)] for _, a, b in spans}
+    assert len(holders) > 100 and caught >= 0.95 * len(holders)
+    clean = [d for d, values in wanted.items() if not values]
+    assert sum(found[d]["n_added"] > 0 for d in clean) <= 0.002 * len(clean)
+
+
+def test_personal_data_with_a_table_of_labels(spark):
+    rows = [(f"the badge [secret:BADGE-{n}x{n}y{n}] of guest {n}",) for n in range(1000, 1040)]
+    rows += [(f"room {n} has {n} seats since {n}",) for n in range(40)] + [(None,)]
+    weights = pii.train(spark.createDataFrame(rows, "marked string"))
+    table = spark.createDataFrame([(1, "badge BADGE-7777x1y2 in room 12")], "doc_id long, text string")
+    [row] = pii.find_personal_data(table, weights).collect()
+    assert (row["n_secret"], row["spans"]) == (1, "secret:6:20")
+
+
 def test_personal_data(spark):
     rows = [
         (1, "Ünï mail a.b@c.example.org, call +1 (212) 555-0147 or (415) 555-0199.", 1, 0, 0, 1),
