@@ -30,6 +30,67 @@ def ip_allowlist_filter(
     return df.filter(~admitted if rejected else admitted)
 
 
+def address_blocks(blocks: DataFrame, entry: str = "entry") -> DataFrame:
+    """``length, network, admits, valid_from, valid_to`` of a table of CIDR blocks and plain addresses.
+
+    ``admits``, ``valid_from`` and ``valid_to`` (exclusive) are taken from columns of these names; without them a block
+    admits and holds for ever. An entry that is neither a block nor an address fails the query.
+    """
+    parts = F.split(F.trim(entry), "/")
+    length = F.when(F.size(parts) == 1, 32).otherwise(F.when(parts[1].rlike(r"\A\d{1,2}\z"), parts[1].cast("int")))
+    number = F.when(F.size(parts) <= 2, addresses.ipv4_number(parts[0]))
+    wrong = F.raise_error(F.concat(F.lit("not an IPv4 block: "), F.coalesce(F.col(entry), F.lit("null")))).cast("int")
+    length = F.when(number.isNotNull() & length.between(0, 32), length).otherwise(wrong)
+
+    def given(name: str, kind: str, default: object) -> Column:
+        return F.coalesce(F.col(name) if name in blocks.columns else F.lit(None), F.lit(default)).cast(kind).alias(name)
+
+    return blocks.select(
+        length.alias("length"),
+        number.alias("number"),
+        given("admits", "boolean", True),
+        given("valid_from", "timestamp", None),
+        given("valid_to", "timestamp", None),
+    ).select("length", F.call_function("div", F.col("number"), _block_size(F.col("length"))).alias("network"), "admits", "valid_from", "valid_to")
+
+
+def _block_size(length: Column) -> Column:
+    return F.pow(F.lit(2), F.lit(32) - length).cast("bigint")
+
+
+def ip_table_filter(
+    df: DataFrame, ip_col: str, blocks: DataFrame, at: str | None = None, entry: str = "entry", rejected: bool = False
+) -> DataFrame:
+    """O15 with the list as a table of any length (see :func:`address_blocks`); ``rejected=True`` gives the other rows.
+
+    Of the blocks that hold an address and, with ``at``, are valid at the row's time, the longest decides; among equally
+    long ones a rejecting one does. Addresses that no block holds, and what is no address, are rejected.
+
+    Each distinct address probes the lengths that occur (33 at most) by an equi-join. What it finds, a few rules, is joined
+    back to its rows, so that rows are shuffled once and never multiplied.
+    """
+    table = address_blocks(blocks, entry)
+    # At most 33 numbers.
+    lengths = sorted(r["length"] for r in table.select("length").distinct().collect())
+    rows = df.select(F.struct("*").alias("row"), addresses.ipv4_number(F.col(ip_col)).alias("number"))
+    known = rows.filter(F.col("number").isNotNull()).select("number").distinct()
+    probes = known.select("number", F.explode(F.array(*(F.lit(n) for n in lengths))).alias("length") if lengths else F.lit(0).alias("length"))
+    probes = probes.withColumn("network", F.call_function("div", F.col("number"), _block_size(F.col("length"))))
+    rule = F.struct((-F.col("length")).alias("rank"), "admits", "valid_from", "valid_to")
+    rules = probes.join(table, ["length", "network"]).groupBy("number").agg(F.sort_array(F.collect_set(rule)).alias("rules"))
+    rules = rules.withColumnRenamed("number", "_number")
+    joined = rows.join(rules, F.col("number") == F.col("_number"), "left")
+    valid = F.col("rules")
+    if at is not None:
+        moment = F.col("row").getField(at)
+        valid = F.filter(
+            valid,
+            lambda r: (r["valid_from"].isNull() | (r["valid_from"] <= moment)) & (r["valid_to"].isNull() | (moment < r["valid_to"])),
+        )
+    admitted = F.coalesce(F.get(valid, F.lit(0))["admits"], F.lit(False))
+    return joined.filter(~admitted if rejected else admitted).select(*(F.col("row").getField(c).alias(c) for c in df.columns))
+
+
 def transfer_log(
     flows: DataFrame, host: Column | str, port: int, elapsed_ms: Column | str, size: Column | str, scheme: str = "tcp"
 ) -> DataFrame:

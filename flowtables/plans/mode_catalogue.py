@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowtables.functions import binary
 from flowtables.operators import attributes as attrs
 from flowtables.operators import datagrams as dg
-from flowtables.operators import framed, network
+from flowtables.operators import framed, network, outcomes
 from flowtables.plans import views
 from flowtables.plans.catalogue import FRAMES_SQL, flow_report, frame_report, query
 from flowtables.plans.views_sql import ARRIVALS, DATAGRAMS, EVENT_IP, FLOWS, FRAMES, SHORT_FLOWS, with_views
@@ -324,3 +325,66 @@ def ip_allowed_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older rule: blocks admit inner hosts only."""
     events = views.table(spark, sf_dir, "events").select("event_id", views.event_address().alias("ip"))
     return network.ip_allowlist_filter(events, "ip", views.ALLOWLIST, compat=True)
+
+
+# --- lists and checksums of any size -----------------------------------------------------------
+
+
+_LISTED = """WITH listed AS (
+         SELECT base // size AS network, size, 24 + k % 9 AS length, k % 5 <> 0 AS admits, vf, CASE WHEN k % 3 > 0 THEN vf + INTERVAL 10 DAY END AS vt
+         FROM (SELECT c_custkey AS k, 167772160 + (c_custkey % 4) * 65536 + (c_custkey % 256) * 256 + c_custkey * 7 % 256 AS base,
+                 CAST(2 ** (8 - c_custkey % 9) AS BIGINT) AS size,
+                 TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 30 AS INTEGER)) AS vf FROM customer)),
+       sent AS (SELECT event_id, ts, {ip} AS ip, 167772160 + (user_id % 4) * 65536 + (event_id % 256) * 256 + user_id % 256 AS num FROM events),
+       admitted AS (
+         SELECT event_id FROM sent JOIN listed ON num // size = network AND ts >= vf AND (vt IS NULL OR ts < vt)
+         GROUP BY event_id HAVING max(2 * length + CASE WHEN admits THEN 0 ELSE 1 END) % 2 = 0)
+       SELECT event_id, ip FROM sent WHERE event_id {which} (SELECT event_id FROM admitted)"""
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A block for each customer: some reject, some hold for ten days only."""
+    k = F.col("c_custkey")
+    begin = F.timestamp_seconds(F.unix_seconds(F.lit(views.EPOCH).cast("timestamp")) + k % 30 * 86_400)
+    return views.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("10."), k % 4, F.lit("."), k % 256, F.lit("."), k * 7 % 256, F.lit("/"), 24 + k % 9).alias("entry"),
+        (k % 5 != 0).alias("admits"),
+        begin.alias("valid_from"),
+        F.when(k % 3 > 0, begin + F.expr("INTERVAL 10 DAYS")).alias("valid_to"),
+    )
+
+
+def _by_table(spark: SparkSession, sf_dir: str, rejected: bool) -> DataFrame:
+    events = views.table(spark, sf_dir, "events").select("event_id", views.event_address().alias("ip"), F.col("ts").cast("timestamp").alias("ts"))
+    return network.ip_table_filter(events, "ip", _blocks(spark, sf_dir), at="ts", rejected=rejected).select("event_id", "ip")
+
+
+@query(_LISTED.format(ip=EVENT_IP, which="IN"))
+def ip_allowed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_table(spark, sf_dir, rejected=False)
+
+
+@query(_LISTED.format(ip=EVENT_IP, which="NOT IN"))
+def ip_rejected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_table(spark, sf_dir, rejected=True)
+
+
+@query(
+    """SELECT doc_id AS flow_id, CASE WHEN doc_id % 17 = 0 OR doc_id % 23 = 0 THEN 'error' ELSE 'match' END AS status
+       FROM documents"""
+)
+def verify_checksums_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows are received in parts of 700 bytes; the sender's checksums were made of whole flows."""
+    flows = views.flows(spark, sf_dir).select("flow_id", "content", F.lit(0).cast("bigint").alias("offset"))
+    tree = {"leaf_bytes": 256, "fan": 4, "levels": 6}
+    expected = outcomes.tree_checksums(flows, **tree)
+    altered = F.when(F.col("flow_id") % 17 == 0, F.concat("content", F.encode(F.lit("x"), "UTF-8")))
+    received = flows.filter(F.col("flow_id") % 23 != 0).withColumn("content", altered.otherwise(F.col("content")))
+    last = F.call_function("div", F.greatest(F.octet_length("content"), F.lit(1)) - 1, F.lit(700))
+    parts = received.select("flow_id", "content", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))).alias("part_no"))
+    parts = parts.select(
+        "flow_id",
+        (F.col("part_no") * 700).alias("offset"),
+        binary.slice_bytes(F.col("content"), F.col("part_no") * 700, F.lit(700)).alias("content"),
+    )
+    return outcomes.verify_checksums_parts(parts, expected, **tree).select("flow_id", "status")
