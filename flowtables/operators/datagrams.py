@@ -248,8 +248,8 @@ def reassemble(
     """O19. Put flows back together from pieces that may repeat, be lost or come in any order.
 
     ``output="blob"``: one row per announced flow with ``content``, ``size``, ``attributes``, ``outcome``,
-    ``reason`` and ``length_ok``. A flow of more than ``max_blob_bytes``, or with a piece whose counter times its
-    length is more, does not fit one cell and is reported as ``oversize``; such pieces are not gathered.
+    ``reason`` and ``length_ok``. A flow whose pieces have more than ``max_blob_bytes`` together does not fit one cell and
+    is reported as ``oversize``; what is beyond is not gathered.
 
     ``output="chunks"``: the pieces of every complete flow of any size, one row per (flow, counter), never
     concatenated. :func:`reassemble_parts` gives flows of any size with their outcomes.
@@ -263,11 +263,12 @@ def reassemble(
 
     pieces = dedupe_datagrams(_pieces(datagrams), key)
     announcement = F.when(F.col("counter") == 0, F.struct("n_datagrams", "payload_length", "header"))
-    # Pieces of one flow are about equally long, so this is about where a piece ends.
-    place = F.col("counter") * F.coalesce(F.octet_length("payload"), F.lit(0))
-    kept = (F.col("counter") < max_pieces) & (place <= max_blob_bytes)
+    # Where a piece ends if none before it is lost. Rows lie as the aggregation below wants them: one shuffle serves both.
+    in_order = Window.partitionBy(*key).orderBy("counter").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = (F.col("counter") < max_pieces) & (F.col("end") <= max_blob_bytes)
     flows = (
-        pieces.withColumn("a", announcement)
+        pieces.withColumn("end", F.sum(F.coalesce(F.octet_length("payload"), F.lit(0)).cast("bigint")).over(in_order))
+        .withColumn("a", announcement)
         .withColumn("place", F.when(kept, F.struct("counter", F.octet_length("payload").alias("len"))))
         .withColumn("left_out", F.when(~kept, F.col("counter")))
         .withColumn("payload", F.when(kept, F.col("payload")))

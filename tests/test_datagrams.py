@@ -306,3 +306,14 @@ def test_pacing(spark):
     assert sent == [0.0, 0.0, 20.0, 30.0, 40.0]
     with pytest.raises(ValueError):
         dg.pacing_schedule(df, 0)
+
+
+def test_uneven_pieces_of_a_small_flow_are_put_together(spark):
+    # One long piece at a high counter: its counter times its length is far above the limit, the flow is not.
+    pieces = [piece(1, c, 1000, payload=b"x" * 10) for c in range(1000) if c != 900] + [piece(1, 900, payload=b"y" * 6000)]
+    pieces += [piece(2, c, 20, payload=b"z" * 1000) for c in range(20)] + [piece(2, 40, payload=b"stray")]
+    pieces += [piece(3, c, 3, payload=b"q" * 9000) for c in range(3)]
+    rows = {r["flow_id"]: r for r in dg.reassemble(table(spark, pieces), max_blob_bytes=20_000).collect()}
+    assert rows[1]["content"] == b"x" * 9000 + b"y" * 6000 + b"x" * 990
+    assert rows[2]["content"] == b"z" * 20_000
+    assert (rows[3]["outcome"], rows[3]["reason"], rows[3]["content"]) == ("error", "oversize", None)
