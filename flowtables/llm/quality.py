@@ -4,9 +4,9 @@ Each line with a word is an item of its document's chain; the best labels come f
 A document is kept if it passes the base rule and at least ``CONTENT_SHARE`` of its characters are in content lines.
 
 The field is trained on labelled documents: lines of good documents (quality 1) count as content, lines of bad ones as
-boilerplate. The sample has at most ``SAMPLE_DOCS`` documents, those with the smallest hashes of their doc_id, and
-``SAMPLE_LINES`` lines of each; everything else covers all lines of all documents. Without labels of both kinds only the
-base rule decides.
+boilerplate. The sample has at most ``SAMPLE_DOCS`` documents, those with the smallest hashes of their doc_id, over their
+whole length: chains of ``CHAIN_LINES`` lines, of which at most ``SAMPLE_CHAINS`` are taken, those with the smallest hashes
+again. Everything else covers all lines of all documents. Without labels of both kinds only the base rule decides.
 
 Null and empty texts have no words: all counts are 0 and the base rule fails. Repeated rows are judged alike, extra
 columns are not looked at.
@@ -29,7 +29,9 @@ MAX_REPEATED_PERCENT = 30
 WINDOW = 8
 CONTENT_SHARE = 0.5
 SAMPLE_DOCS = 2000
-SAMPLE_LINES = 48
+#: Longer documents are several chains in training, and so many chains of the sample are used at most.
+CHAIN_LINES = 48
+SAMPLE_CHAINS = 20_000
 SYMBOLS = byte_table(b"#*$%&|<>")
 _UPPER = byte_table(range(65, 91))
 _LETTER = byte_table([*range(65, 91), *range(97, 123), *range(0x80, 0x100)])
@@ -122,7 +124,7 @@ def _first(doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS, lines: int = SAMPLE_LINES) -> dict | None:
+def train(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS, lines: int = CHAIN_LINES) -> dict | None:
     """The field's weights, or None without labels of both kinds."""
     rule = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # Half of the sample of each kind. The sample is bounded by its parameter, and so is its broadcast.
@@ -134,17 +136,23 @@ def train(documents: DataFrame, labels: DataFrame, docs: int = SAMPLE_DOCS, line
 
     def features(batch, data, borders, state):
         found = Lines(data, borders, state)
-        low, high = found.line_first[:-1], np.minimum(found.line_first[1:], found.line_first[:-1] + lines)
+        chains = -(-np.diff(found.line_first) // lines)
+        text = np.repeat(np.arange(batch.num_rows), chains)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(chains) - chains, chains)
+        low = found.line_first[text] + number * lines
+        high = np.minimum(low + lines, found.line_first[text + 1])
         return {
-            "doc_id": batch.column(0),
-            "quality": batch.column(1),
+            "doc_id": batch.column(0).take(pa.array(text)),
+            "quality": batch.column(1).take(pa.array(text)),
+            "chain": pa.array(number, pa.int64()),
             "n_lines": pa.array(high - low, pa.int64()),
             "features": pa.array([found.features[a:b].astype(np.uint8).tobytes() for a, b in zip(low, high)], pa.binary()),
         }
 
-    schema = "doc_id long, quality int, n_lines long, features binary"
+    schema = "doc_id long, quality int, chain long, n_lines long, features binary"
     joined = text.join(sample, "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
-    rows = mapped(joined, features, "text", schema).filter("n_lines > 0").orderBy("doc_id", "features").limit(2 * docs).collect()
+    chains = mapped(joined, features, "text", schema).orderBy(F.xxhash64("doc_id", "chain"), "doc_id", "chain", "features")
+    rows = sorted(chains.limit(SAMPLE_CHAINS).collect(), key=lambda r: (r["doc_id"], r["chain"], bytes(r["features"])))
     if len({r["quality"] for r in rows}) < 2:
         return None
     x = np.concatenate([np.frombuffer(r["features"], np.uint8).reshape(-1, N_FEATURES) for r in rows]).astype(float)

@@ -103,6 +103,23 @@ def test_quality_base_counts(docs, corpus):
     assert got == sorted(((r[0], *base_counts(r[1])) for r in corpus), key=repr)
 
 
+def test_quality_learns_from_whole_documents(spark):
+    """Bad documents begin like good ones for longer than a chain; what tells them comes after it."""
+    rng = random.Random(12)
+
+    def lines(n):
+        return [prose(rng, 12).capitalize() + "." for _ in range(n)]
+
+    rows = []
+    for i in range(80):
+        junk = ["CLICK | HERE !!! | 12 | 34 | >>>" for _ in range(140)]
+        rows.append((i, "\n".join(lines(50) + (lines(140) if i % 2 else junk)), i % 2))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    weights = quality.train(table, table.filter("doc_id < 40"))
+    share = {r["doc_id"]: r["content_share"] for r in quality.quality_rules(table, weights).collect()}
+    assert min(share[i] for i in range(41, 80, 2)) > 0.9 > 0.5 > max(share[i] for i in range(40, 80, 2))
+
+
 def test_quality_field_tells_boilerplate(spark):
     rng = random.Random(3)
     good = [(i, "\n".join(prose(rng, 12) + "." for _ in range(6)), 1) for i in range(60)]
