@@ -16,7 +16,7 @@ from flowtables.functions import binary, headers
 from flowtables.operators.attributes import encode_attributes
 from flowtables.operators.framecutter import FrameCutter, piece_batch
 from flowtables.operators.hot_connections import MAX_HEADER_BYTES, cut_blocks
-from flowtables.operators.ordered import counter_block, running
+from flowtables.operators.ordered import RANGE_BLOCK, counter_block, range_blocks, running
 from flowtables.schema import ERROR, FRAME_VERSIONS, MAX_BLOB_BYTES, SUCCESS, frame_prefix_bytes
 
 
@@ -58,18 +58,25 @@ def flows_to_segments(
     profile: str = "v2",
     mode: str = "flow_and_attributes",
     segment_bytes: int = 65536,
-    order_block: int = 1024,
+    order_block: int | None = 1024,
 ) -> DataFrame:
     """O2. Lay flows end to end on their connection in ``order`` (a number) and cut the bytes into segments.
 
-    Returns ``conn, seq, offset, bytes``. ``order_block`` is the stretch of order numbers placed in one task.
+    Returns ``conn, seq, offset, bytes``. ``order_block`` is the stretch of order numbers placed in one task. With None,
+    flows are placed in measured ranges (``range_blocks``, without contents): order numbers may then be hashes.
     """
     if segment_bytes <= 0:
         raise ValueError("segment_bytes must be positive")
     framed = frame_bytes(flows, profile, mode).select(conn, order, "frame", "frame_len")
-    placed = running(
-        framed, [conn], counter_block(order, order_block), [order], {"end": ("sum", F.col("frame_len"))}
-    ).withColumn("start", F.col("end") - F.col("frame_len"))
+    length = {"end": ("sum", F.col("frame_len"))}
+    if order_block is None:
+        # Only numbers and lengths are dealt by range; frames join what comes of them.
+        light = range_blocks(framed.select(conn, order, "frame_len"), [conn], [order])
+        ends = running(light, [conn], F.col(RANGE_BLOCK), [order], length).select(conn, order, "end")
+        placed = framed.join(ends, [conn, order])
+    else:
+        placed = running(framed, [conn], counter_block(order, order_block), [order], length)
+    placed = placed.withColumn("start", F.col("end") - F.col("frame_len"))
     first, last = (F.floor(c / F.lit(segment_bytes)).cast("bigint") for c in (F.col("start"), F.col("end") - 1))
     cut_from = F.greatest(F.col("start"), F.col("seq") * segment_bytes)
     cut_to = F.least(F.col("end"), (F.col("seq") + 1) * segment_bytes)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions import addresses
 from flowtables.functions.times import epoch_micros
-from flowtables.operators.ordered import running, time_block
+from flowtables.operators.ordered import RANGE_BLOCK, range_blocks, running, time_block
 from flowtables.schema import check_port
 
 
@@ -122,21 +122,21 @@ def assign_flow_ids(
     order: str,
     epoch: Column | None = None,
     tie_break: Sequence[str] = (),
-    block_seconds: int = 3600,
+    block_seconds: int | None = 3600,
     name: str = "flow_no",
 ) -> DataFrame:
     """O29. Number each sender's flows 1, 2, 3 ... by the timestamp ``order``, again from 1 in every ``epoch``.
 
-    ``block_seconds`` is the stretch of time numbered in one task; make it smaller for busier senders.
+    ``block_seconds`` is the stretch of time numbered in one task; make it smaller for busier senders. With None, blocks
+    are measured (``range_blocks``), which costs a written copy: a sender may then have any number of flows at one time.
     """
-    numbered = running(
-        flows.withColumn("_epoch", F.lit(0) if epoch is None else epoch),
-        [sender, "_epoch"],
-        time_block(flows, order, block_seconds),
-        [order, *tie_break],
-        {name: ("sum", F.lit(1))},
-    )
-    return numbered.drop("_epoch")
+    own = flows.withColumn("_epoch", F.lit(0) if epoch is None else epoch)
+    if block_seconds is None:
+        own, block = range_blocks(own, [sender, "_epoch"], [order, *tie_break]), F.col(RANGE_BLOCK)
+    else:
+        block = time_block(flows, order, block_seconds)
+    numbered = running(own, [sender, "_epoch"], block, [order, *tie_break], {name: ("sum", F.lit(1))})
+    return numbered.select(*flows.columns, name)
 
 
 def assign_connections(
@@ -146,17 +146,22 @@ def assign_connections(
     idle_seconds: float = 5.0,
     per_flow: bool = False,
     tie_break: Sequence[str] = (),
-    block_seconds: int = 3600,
+    block_seconds: int | None = 3600,
 ) -> DataFrame:
     """O30. Add ``conn_no``: the connection to ``dest`` that carries each flow.
 
     With ``per_flow`` every flow has its own. Otherwise one is reused until it has been idle for longer than
-    ``idle_seconds``. Like :func:`running`, windows cover a stretch of time, not a whole destination.
+    ``idle_seconds``. Like :func:`running`, windows cover a stretch of time, not a whole destination; ``block_seconds`` as in
+    :func:`assign_flow_ids`.
     """
     if per_flow:
         return assign_flow_ids(flows, dest, order, None, tie_break, block_seconds, "conn_no")
     idle = int(idle_seconds * 1_000_000)
-    blocked = flows.withColumn("_block", time_block(flows, order, block_seconds)).withColumn("_at", epoch_micros(flows, order))
+    if block_seconds is None:
+        blocked = range_blocks(flows, [dest], [order, *tie_break]).withColumnRenamed(RANGE_BLOCK, "_block")
+    else:
+        blocked = flows.withColumn("_block", time_block(flows, order, block_seconds))
+    blocked = blocked.withColumn("_at", epoch_micros(flows, order))
     cells = [dest, "_block"]
     within = Window.partitionBy(*cells).orderBy(order, *tie_break)
     opened = blocked.withColumn("_opens", (F.col("_at") - F.lag("_at").over(within) > idle).cast("int"))

@@ -4,6 +4,9 @@ A plain ``Window.partitionBy(group).orderBy(x)`` sends a whole group to one task
 is cut into blocks of neighbouring rows by a number that rises with the order. Rows are windowed
 within (group, block) only; what earlier blocks contribute is worked out on one row per block and
 joined back. The widest task then holds one block of rows, or one row per block.
+
+Blocks are stretches of counters or times. Where a stretch may hold any number of rows (all of a sender's flows in one
+second, hashed numbers), ``range_blocks`` measures them: Spark samples splitters of the order and deals rows by range.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions.times import epoch_micros
 from flowtables.schema import COUNTER_BLOCK
+from flowtables.sources.workdir import work_dir
 
 _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -33,6 +37,25 @@ def _block_of(number: Column, size: int) -> Column:
     return F.coalesce(F.call_function("div", number, F.lit(size).cast("bigint")), F.lit(0).cast("bigint"))
 
 
+#: The column ``range_blocks`` adds.
+RANGE_BLOCK = "_range"
+
+
+def range_blocks(df: DataFrame, group: Sequence[str], order: Sequence[str], blocks: int | None = None) -> DataFrame:
+    """``df`` written in ranges of group and order, with the number of its range: about equally many rows in each.
+
+    Rows alike in both are told apart by a hash of all columns, so that even they can lie in several ranges.
+    """
+    spark = df.sparkSession
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *group, *order, F.xxhash64(*hashed))
+    ranged = ranged.withColumn(RANGE_BLOCK, F.spark_partition_id().cast("bigint"))
+    path = work_dir(spark, "ranges")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
 def running(
     df: DataFrame,
     group: Sequence[str],

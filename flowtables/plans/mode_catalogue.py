@@ -327,6 +327,35 @@ def ip_allowed_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.ip_allowlist_filter(events, "ip", views.ALLOWLIST, compat=True)
 
 
+# --- any number of flows at one time --
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY md5(CAST(event_id AS VARCHAR))) AS flow_no FROM events")
+def flow_ids_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sender, all flows in one second, in the order of hashes."""
+    events = views.table(spark, sf_dir, "events").select(
+        "event_id", F.lit("10.0.0.1").alias("sender"), F.lit(views.EPOCH).cast("timestamp").alias("ts"),
+        F.md5(F.col("event_id").cast("string").cast("binary")).alias("tie"),
+    )
+    numbered = network.assign_flow_ids(events, "sender", "ts", tie_break=["tie"], block_seconds=None)
+    return numbered.select("event_id", "flow_no")
+
+
+@query(
+    """SELECT event_id, CAST(sum(opens) OVER (ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS conn_no
+       FROM (SELECT event_id, ms, CASE WHEN ms - lag(ms) OVER (ORDER BY ms, event_id) <= 300 THEN 0 ELSE 1 END AS opens
+             FROM (SELECT event_id, event_id * 7919 % 3600000 AS ms FROM events))"""
+)
+def connections_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One destination, all flows in one hour."""
+    ms = F.unix_millis(F.lit(views.EPOCH).cast("timestamp")) + F.col("event_id") * 7919 % 3_600_000
+    events = views.table(spark, sf_dir, "events").select(
+        "event_id", F.lit("10.0.0.1").alias("dest"), F.timestamp_millis(ms).alias("ts")
+    )
+    assigned = network.assign_connections(events, "dest", "ts", 0.3, tie_break=["event_id"], block_seconds=None)
+    return assigned.select("event_id", "conn_no")
+
+
 # --- lists and checksums of any size -----------------------------------------------------------
 
 

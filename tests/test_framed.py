@@ -2,6 +2,7 @@ import random
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowtables.operators import framed
 from flowtables.operators.framecutter import FrameCutter
@@ -233,3 +234,14 @@ def test_arguments_are_checked(spark):
         framed.segments_to_flows(df, output="rows")
     with pytest.raises(ValueError):
         framed.delimited_streams_to_flows(df, b"")
+
+
+def test_flows_with_hashed_numbers_are_laid_end_to_end(spark):
+    rng = random.Random(5)
+    rows = [(i % 3, rng.randrange(2**62), {"n": str(i)}, bytes([65 + i % 26]) * rng.randrange(40)) for i in range(60)]
+    flows = spark.createDataFrame(rows, "conn_id long, flow_id long, attributes map<string,string>, content binary")
+    flows = flows.withColumn("size", F.octet_length("content").cast("bigint"))
+    plain = framed.flows_to_segments(flows, segment_bytes=50, order_block=1 << 40)
+    measured = framed.flows_to_segments(flows, segment_bytes=50, order_block=None)
+    as_set = lambda df: sorted(tuple(r) for r in df.collect())
+    assert as_set(measured) == as_set(plain)

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtables.functions.addresses import ipv4_number
-from flowtables.operators import network, outcomes
+from flowtables.operators import network, ordered, outcomes
+
+START = datetime(2024, 1, 1)
 
 ADDRESSES = [
     "10.0.0.0", "10.0.0.1", "10.0.0.255", "10.0.1.0", "10.0.0.7", "192.168.1.1", "256.1.1.1", "1.2.3", "::1", None, "",
@@ -142,3 +144,22 @@ def test_checksums(spark):
 def test_outcome_counts(spark):
     df = spark.createDataFrame([("success",)] * 3 + [("error",)], "outcome string")
     assert {tuple(r) for r in outcomes.outcome_counts(df).collect()} == {("success", 3), ("error", 1)}
+
+
+def test_many_flows_of_one_sender_at_one_time_are_numbered_by_measured_blocks(spark):
+    rows = [(i, "s" if i % 10 else "t", START if i % 3 else START + timedelta(seconds=1), i * 7919 % 1009) for i in range(1000)]
+    flows = spark.createDataFrame(rows, "id long, sender string, ts timestamp, tie long")
+    plain = network.assign_flow_ids(flows, "sender", "ts", tie_break=["tie"])
+    measured = network.assign_flow_ids(flows, "sender", "ts", tie_break=["tie"], block_seconds=None)
+    assert measured.columns == plain.columns
+    assert sorted(map(tuple, measured.collect())) == sorted(map(tuple, plain.collect()))
+    widest = ordered.range_blocks(flows, ["sender"], ["ts"], blocks=8).groupBy(ordered.RANGE_BLOCK).count()
+    assert widest.agg(F.max("count")).first()[0] < 300
+
+
+def test_connections_by_measured_blocks(spark):
+    rows = [(i, "d", START + timedelta(milliseconds=i * 7919 % 60_000)) for i in range(800)]
+    flows = spark.createDataFrame(rows, "id long, dest string, ts timestamp")
+    plain = network.assign_connections(flows, "dest", "ts", 0.1, tie_break=["id"])
+    measured = network.assign_connections(flows, "dest", "ts", 0.1, tie_break=["id"], block_seconds=None)
+    assert sorted(map(tuple, measured.collect())) == sorted(map(tuple, plain.collect()))
