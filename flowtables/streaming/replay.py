@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowtables.sources.workdir import work_dir
 from flowtables.streaming.settings import prepare
@@ -35,7 +36,8 @@ def replay(
     else:
         max_files = _FILES_PER_BATCH
         rows.withColumn("_batch", batch.cast("int")).write.partitionBy("_batch").parquet(f"{base}/all")
-        landed = spark.read.schema(f"{rows._jdf.schema().toDDL()}, _batch int").parquet(f"{base}/all")
+        schema = T.StructType([*rows.schema.fields, T.StructField("_batch", T.IntegerType())])
+        landed = spark.read.schema(schema).parquet(f"{base}/all")
         numbers = sorted(r["_batch"] for r in landed.select("_batch").distinct().collect())
         for number in numbers:
             own = landed.filter(F.col("_batch") == number).select(*rows.columns)
