@@ -11,11 +11,11 @@ from pyspark.sql.streaming import StatefulProcessor
 from flowtables.functions import headers
 from flowtables.functions.times import epoch_millis
 from flowtables.operators.timeouts import FLUSH_PIECES, TIMEOUT
-from flowtables.schema import ERROR, FLOW_KEY, MAX_BLOB_BYTES, MAX_PACKET_BYTES, SUCCESS, datagram_profile
+from flowtables.schema import ERROR, FLOW_KEY, MAX_BLOB_BYTES, SUCCESS, datagram_profile
 
 _META = (
     "n long, payload_length long, header string, said_ms long, said_seq long, count long, "
-    "at long, usable long, left long, deadline long, closed boolean"
+    "at long, usable long, left long, deadline long, closed boolean, held long"
 )
 _PIECE = "first_ms long, last_ms long, last_seq long, payload binary"
 _LONG_AGO = -(1 << 62)
@@ -36,10 +36,10 @@ class FlowAssembler(StatefulProcessor):
     flow is complete as soon as all of it came in time, and late only when the watermark has passed its deadline.
     """
 
-    def __init__(self, key: Sequence[str], timeout_ms: int, keep_ms: int, max_pieces: int, flush_pieces: int, extra: int):
+    def __init__(self, key: Sequence[str], timeout_ms: int, keep_ms: int, max_bytes: int, flush_pieces: int, extra: int):
         self.result = Row(*key, "payload_length", "header", "content", "verdict")
         self.timeout_ms, self.keep_ms = timeout_ms, keep_ms
-        self.max_pieces, self.flush_pieces, self.extra = max_pieces, flush_pieces, extra
+        self.max_bytes, self.flush_pieces, self.extra = max_bytes, flush_pieces, extra
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -57,20 +57,21 @@ class FlowAssembler(StatefulProcessor):
             if row.header_type == 0:
                 self._announce(row)
             counter = int(row.counter)
-            if counter >= self.max_pieces:
-                continue
+            if self.held > self.max_bytes:
+                continue  # too much for a cell already
             known = fresh.get(counter)
             if known is None:
                 known = self._stored_piece(counter)
                 if known is None:
                     added.append(counter)
+                    self.held += len(row.payload)
             fresh[counter] = _merged(known, (row.arrival_ms, row.arrival_ms, row.arrival_seq, bytes(row.payload)))
         if self.n is not None and self.n != n_before:
             added = self._counters() | set(added)
             self.count = 0
         if self.n is not None:
             self.count += sum(c < self.n for c in added)
-            if self.n > self.max_pieces:
+            if max(self.held, self.payload_length) > self.max_bytes:
                 yield self._result(key, "oversize", {})
                 self._close(latest)
                 return
@@ -157,14 +158,14 @@ class FlowAssembler(StatefulProcessor):
 
     def _load(self) -> None:
         self.stored = self.meta.exists()
-        known = self.meta.get() if self.stored else (None, None, None, None, None, 0, 0, _LONG_AGO, 0, None, False)
+        known = self.meta.get() if self.stored else (None, None, None, None, None, 0, 0, _LONG_AGO, 0, None, False, 0)
         (self.n, self.payload_length, self.header, self.said_ms, self.said_seq, self.count, self.at, self.usable,
-         self.left, self.deadline, self.closed) = known
+         self.left, self.deadline, self.closed, self.held) = known
 
     def _save(self) -> None:
         self.meta.update(
             (self.n, self.payload_length, self.header, self.said_ms, self.said_seq, self.count, self.at, self.usable,
-             self.left, self.deadline, self.closed)
+             self.left, self.deadline, self.closed, self.held)
         )
 
     def _set_timer(self, at: int) -> None:
@@ -183,15 +184,14 @@ def stream_reassemble(
     profile: str = "v0",
     keep_ms: int = 600_000,
     max_blob_bytes: int = MAX_BLOB_BYTES,
-    max_payload_bytes: int = MAX_PACKET_BYTES,
     flush_pieces: int = FLUSH_PIECES,
 ) -> DataFrame:
     """O34. Flows as soon as their last piece is there, on a stream of datagrams.
 
     The rows are those of ``reassemble``. A flow whose writing stalls for longer than ``timeout_ms`` is an error
-    (``timeout``), one of too many pieces for a cell another (``oversize``, nothing is buffered for it; land its pieces
-    and read them with ``reassemble(output="chunks")``). The verdict depends on
-    the times of arrival only, not on the order of rows. State is kept per flow on disk; a finished flow is remembered for ``keep_ms`` so that late pieces
+    (``timeout``), one of more than ``max_blob_bytes``, announced or arrived, another (``oversize``, no more is buffered for
+    it; :func:`stream_reassemble_parts` has no such limit). The verdict depends on the times of arrival only, not on the
+    order of rows. State is kept per flow on disk; a finished flow is remembered for ``keep_ms`` so that late pieces
     are dropped, pieces without announcement are forgotten after ``timeout_ms``.
     """
     columns = set(datagrams.columns)
@@ -211,7 +211,7 @@ def stream_reassemble(
     )
     key_schema = ", ".join(f"`{c}` {datagrams.schema[c].dataType.simpleString()}" for c in key)
     extra = 0 if datagram_profile(profile).announces_first else 1
-    processor = FlowAssembler(key, timeout_ms, keep_ms, max(1, max_blob_bytes // max_payload_bytes), flush_pieces, extra)
+    processor = FlowAssembler(key, timeout_ms, keep_ms, max_blob_bytes, flush_pieces, extra)
     done = wanted.groupBy(*key).transformWithState(
         statefulProcessor=processor,
         outputStructType=f"{key_schema}, payload_length long, header string, content binary, verdict string",

@@ -66,10 +66,19 @@ def test_flows_over_several_batches(spark, run):
 
 def test_oversize_flow_is_not_buffered(spark, run):
     batches = [timed(spark, [piece(1, 9), piece(1, 1)]), timed(spark, [piece(1, 0, 20, at=3), piece(1, 2, at=4)])]
-    rows = run(batches, lambda s: stream_reassemble(s, max_blob_bytes=5, max_payload_bytes=1))
+    rows = run(batches, lambda s: stream_reassemble(s, max_blob_bytes=5))
     assert [(r["outcome"], r["reason"]) for r in rows] == [("error", "oversize")]
 
 
+def test_flows_are_bounded_by_bytes_and_not_by_pieces(spark, run):
+    many = [piece(1, c, 40, payload=b"x") for c in range(40)] + [piece(1, 10**12, payload=b"")]
+    # Announced as small, but more comes than fits; and as large, before most of it has come.
+    lying = [piece(2, c, 5, payload=b"y" * 20, length=9) for c in range(5)]
+    rows = run([timed(spark, lying[1:] + many[:20]), timed(spark, many[20:] + lying[:1])], lambda s: stream_reassemble(s, max_blob_bytes=50))
+    got = sorted((r["flow_id"], r["outcome"], r["reason"], r["content"]) for r in rows)
+    assert got == [(1, "success", None, b"x" * 40), (2, "error", "oversize", None)]
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_stream_agrees_with_batch(spark, run, parts):
     rng = random.Random(parts)
