@@ -1,17 +1,18 @@
 """Continuous decoding of framed connections.
 
-``stream_frame_parts`` chains two stateful operators in append mode. The cutter, keyed by connection, follows the frames
-and keeps no content; it closes a connection at its last segment, or when nothing has come for ``idle``. The assembler,
-keyed by connection, frame and part, keeps the bytes of one part until all are there. So what a key holds is bounded by a
-part, whatever the size of a flow or a connection, and nothing is left of either when it is over.
+``stream_frame_parts`` is one stateful operator in append mode, keyed by connection. It follows the frames, keeps the bytes
+of the one part that is open and gives a part out when all of it is there; it closes a connection at its last segment, or
+when nothing has come for ``idle``. So what a key holds is bounded by a part and by the segments that came too early,
+whatever the size of a flow or a connection, and nothing is left of it when it is over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -88,21 +89,22 @@ def stream_cut_frames(segments: DataFrame, conn: str = "conn_id", seq: str = "se
     )
 
 
-_CUT = (
-    "frame_no long, part_no long, at long, until long, bytes binary, size long, reason string, truncated boolean, "
-    "repeated long, lost long"
+_PARTS = (
+    "frame_no long, part_no long, content binary, size long, reason string, truncated boolean, repeated long, lost long"
 )
 _LIVE = f"next long, {FrameCutter.STATE_SCHEMA}, last_ms long, closed boolean, repeated long"
+#: Bytes that are cut, written to state or given out together.
+_TOGETHER = 4 << 20
 
 
 class FlowCutter(StatefulProcessor):
-    """Cuts a connection into bytes of parts, frame ends and, when it closes, what is left open.
+    """Cuts a connection into parts, frame ends and, when it closes, what is left open.
 
-    Of each part the assembler is told where it ends (``until``, from the part's first byte): with every piece of it by
-    the announced lengths, and once more if the connection closes earlier (-1: the part is not wanted).
+    A connection is cut in order, so only one part of it is open at a time: its bytes are kept, together with segments that
+    came too early. Those are kept in runs of neighbours, so that state is read and written by run and batch, not by segment.
     """
 
-    COLUMNS = [c.split()[0] for c in _CUT.split(", ")]
+    COLUMNS = [c.split()[0] for c in _PARTS.split(", ")]
 
     def __init__(self, conn: str, prefix: int, idle_ms: int, part_bytes: int):
         self.conn, self.prefix, self.idle_ms, self.part_bytes = conn, prefix, idle_ms, part_bytes
@@ -110,41 +112,80 @@ class FlowCutter(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.live = handle.getValueState("live", _LIVE)
-        self.early = handle.getMapState("early", "seq long", "bytes binary, closes boolean")
+        self.open = handle.getListState("open", "bytes binary")
+        self.early = handle.getMapState("early", "first long", "bytes binary, lengths binary, closes binary")
+        #: First numbers of the early runs, ascending, and their counts.
+        self.runs = handle.getValueState("runs", "firsts binary, counts binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known, ended = self.live.get() if self.live.exists() else None, []
+        known = self.live.get() if self.live.exists() else None
         for timer in list(self.handle.listTimers()) if known else ():
             self.handle.deleteTimer(timer)
         if known and known[7] + self.idle_ms <= timerValues.getCurrentWatermarkInMs():
             # It has been idle for too long by now: these are the first segments of another one.
-            ended, known = self._expire(known), None
+            yield self._frame(key, self._expire(known))
+            known = None
         expected, frames, last_ms, closed, repeated = (
             (known[0], (*known[1:5], bytes(known[5]), known[6]), *known[7:10]) if known else (0, None, 0, False, 0)
         )
-        cutter, out, waiting = FrameCutter(self.prefix, frames), [], {}
+        cutter, waiting = FrameCutter(self.prefix, frames), {}
+        firsts, counts = self._early_runs(known)
+        n_runs = len(firsts)
         for batch in rows:
-            for seq, data, closes, ms in zip(batch["seq"], batch["bytes"], batch["closes"], batch["ms"]):
-                last_ms = max(last_ms, int(ms))
-                if closed or seq < expected or seq in waiting or (known and self.early.containsKey((int(seq),))):
+            numbers = batch["seq"].to_numpy("int64")
+            last_ms = max(last_ms, int(batch["ms"].max()))
+            run = np.searchsorted(firsts, numbers, "right") - 1
+            old = (numbers < expected) | closed
+            if n_runs:
+                old |= (run >= 0) & (numbers < (firsts + counts)[run])
+            for seq, data, closes, is_old in zip(numbers.tolist(), batch["bytes"], batch["closes"], old.tolist()):
+                if is_old or seq in waiting:
                     repeated += 1
                 else:
-                    waiting[int(seq)] = (bytes(data or b""), bool(closes))
-        while not closed and (expected in waiting or (known and self.early.containsKey((expected,)))):
-            segment = waiting.pop(expected, None)
-            if segment is None:
-                segment = self.early.getValue((expected,))
+                    waiting[seq] = (bytes(data or b""), bool(closes))
+        self._begin_part(stored=known is not None)
+        out, together, size, given, behind = [], [], 0, 0, 0
+        following = {int(f): int(n) for f, n in zip(firsts, counts)}
+        while not closed and (expected in waiting or expected in following):
+            if expected in waiting:
+                segments = [waiting.pop(expected)]
+            else:
+                segments = self._early_segments(expected)
                 self.early.removeKey((expected,))
-            out += self._cut(cutter, bytes(segment[0]))
-            expected, closed = expected + 1, segment[1]
-        if closed:
-            out += self._close(cutter, repeated, len(waiting) + self._forget_early(known))
-            waiting, repeated = {}, 0
-        for seq, segment in waiting.items():
-            self.early.updateValue((seq,), segment)
+                del following[expected]
+            for i, (data, closes) in enumerate(segments, 1):
+                together.append(data)
+                size += len(data)
+                expected, closed = expected + 1, closes
+                if size >= _TOGETHER or closed:
+                    out += self._cut(cutter, b"".join(together))
+                    given += size
+                    together, size = [], 0
+                if closed:
+                    behind = len(segments) - i
+                    break
+            if given >= _TOGETHER and out:
+                yield self._frame(key, out)
+                out, given = [], 0
+        if together:
+            out += self._cut(cutter, b"".join(together))
+        if closed and known and known[8]:  # only repeated segments have come since
+            out += [self._loss(repeated, 0)] if repeated else []
+            repeated = 0
+        elif closed:
+            out += self._close(cutter, repeated, behind + len(waiting) + sum(following.values()))
+            repeated = 0
+            if n_runs:
+                self.early.clear()
+                self.runs.clear()
+        elif waiting or len(following) < n_runs:
+            following |= self._keep_early(waiting)
+            order = sorted(following)
+            self.runs.update((np.array(order, np.int64).tobytes(), np.array([following[f] for f in order], np.int64).tobytes()))
+        self._end_batch()
         self.live.update((expected, *cutter.state(), last_ms, closed, repeated))
         self.handle.registerTimer(last_ms + self.idle_ms)
-        yield self._frame(key, ended + out)
+        yield self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield self._frame(key, self._expire(self.live.get()))
@@ -157,15 +198,65 @@ class FlowCutter(StatefulProcessor):
             out = [self._loss(known[9], 0)] if known[9] else []
         else:
             cutter = FrameCutter(self.prefix, (*known[1:5], bytes(known[5]), known[6]))
-            out = list(self._close(cutter, known[9], self._forget_early(known)))
+            self._begin_part(stored=True)
+            out = list(self._close(cutter, known[9], int(self._early_runs(known)[1].sum())))
+            self.open.clear()
+            self.early.clear()
+            self.runs.clear()
         self.live.clear()
         return out
 
-    def _forget_early(self, known) -> int:
-        left = [seq for (seq,) in self.early.keys()] if known else []
-        for seq in left:
-            self.early.removeKey((seq,))
-        return len(left)
+    # --- segments that came too early
+
+    def _early_runs(self, known) -> tuple[np.ndarray, np.ndarray]:
+        if not known or not self.runs.exists():
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        firsts, counts = (np.frombuffer(bytes(b), np.int64) for b in self.runs.get())
+        return firsts, counts
+
+    def _early_segments(self, first: int) -> list[tuple[bytes, bool]]:
+        data, lengths, closes = map(bytes, self.early.getValue((first,)))
+        ends = np.cumsum(np.frombuffer(lengths, np.int64)).tolist()
+        return [(data[begin:end], bool(c)) for begin, end, c in zip([0, *ends], ends, closes)]
+
+    def _keep_early(self, waiting: dict[int, tuple[bytes, bool]]) -> dict[int, int]:
+        kept, run, size = {}, [], 0
+        for seq in sorted(waiting):
+            if run and (seq != run[-1] + 1 or size >= _TOGETHER):
+                kept[run[0]] = self._keep_run(run, waiting)
+                run, size = [], 0
+            run.append(seq)
+            size += len(waiting[seq][0])
+        if run:
+            kept[run[0]] = self._keep_run(run, waiting)
+        return kept
+
+    def _keep_run(self, run: list[int], waiting: dict[int, tuple[bytes, bool]]) -> int:
+        segments = [waiting[seq] for seq in run]
+        lengths = np.array([len(data) for data, _ in segments], np.int64).tobytes()
+        self.early.updateValue((run[0],), (b"".join(d for d, _ in segments), lengths, bytes(c for _, c in segments)))
+        return len(run)
+
+    # --- the part that is open
+
+    def _begin_part(self, stored: bool) -> None:
+        self._stored, self._fresh = stored, []
+
+    def _end_batch(self) -> None:
+        if self._fresh:
+            self.open.appendValue((b"".join(self._fresh),))
+
+    def _open_bytes(self) -> bytes:
+        """The bytes of the open part, which is over."""
+        before = []
+        if self._stored:
+            before = [bytes(b) for (b,) in self.open.get()]
+            if before:
+                self.open.clear()
+            self._stored = False
+        content = b"".join(before + self._fresh)
+        self._fresh = []
+        return content
 
     def _cut(self, cutter: FrameCutter, data: bytes) -> list[tuple]:
         out = []
@@ -175,34 +266,34 @@ class FlowCutter(StatefulProcessor):
             elif part == "F" and payload_len is not None and header_len + payload_len == 0:
                 out.append(self._end(frame_no, 0, None, False))
             elif part == "D":
-                out += self._pieces(frame_no, at, header_len, payload_len, piece)
+                self._pieces(out, frame_no, at, header_len, payload_len, piece)
                 if at + len(piece) == header_len + payload_len:
                     out.append(self._end(frame_no, payload_len, None, False))
         return out
 
-    def _pieces(self, frame_no: int, at: int, header_len: int, payload_len: int, piece: bytes) -> Iterator[tuple]:
+    def _pieces(self, out: list[tuple], frame_no: int, at: int, header_len: int, payload_len: int, piece: bytes) -> None:
         """Bytes from place ``at`` of header and payload on, cut where parts begin."""
-        while piece:
+        used = 0
+        while used < len(piece):
             if at < header_len:
-                part_no, begin, until = HEADER_PART, 0, header_len
+                part_no, until = HEADER_PART, header_len
             else:
                 part_no = (at - header_len) // self.part_bytes
-                begin = header_len + part_no * self.part_bytes
-                until = min(self.part_bytes, header_len + payload_len - begin)
-            own = piece[: begin + until - at]
-            yield (frame_no, part_no, at - begin, until, own, None, None, None, None, None)
-            at, piece = at + len(own), piece[len(own) :]
+                until = min(header_len + (part_no + 1) * self.part_bytes, header_len + payload_len)
+            own = piece[used : used + until - at]
+            at, used = at + len(own), used + len(own)
+            self._fresh.append(own)
+            if at == until:
+                out.append(self._part(frame_no, part_no, self._open_bytes()))
 
     def _close(self, cutter: FrameCutter, repeated: int, lost: int) -> Iterator[tuple]:
         """What a closing connection leaves open: its first frame always, a later one once payload has come."""
         frame_no, header_len, payload_len, left, _, phase = cutter.state()
+        content = self._open_bytes()
         if phase == "body":
-            got = header_len + payload_len - left
-            size = max(got - header_len, 0)
-            if got < header_len:
-                yield self._ends_at(frame_no, HEADER_PART, -1)
+            size = max(payload_len - left, 0)
             if size % self.part_bytes:
-                yield self._ends_at(frame_no, size // self.part_bytes, size % self.part_bytes)
+                yield self._part(frame_no, size // self.part_bytes, content)
             if size or not frame_no:
                 yield self._end(frame_no, size, None, True)
         elif phase != "dead" and not frame_no:
@@ -210,14 +301,16 @@ class FlowCutter(StatefulProcessor):
         if repeated or lost:
             yield self._loss(repeated, lost)
 
-    def _ends_at(self, frame_no: int, part_no: int, until: int) -> tuple:
-        return (frame_no, part_no, 0, until, None, None, None, None, None, None)
+    # --- rows
+
+    def _part(self, frame_no: int, part_no: int, content: bytes) -> tuple:
+        return (frame_no, part_no, content, len(content), None, None, None, None)
 
     def _end(self, frame_no: int, size: int, reason: str | None, truncated: bool) -> tuple:
-        return (frame_no, END_PART, 0, 0, None, size, reason, truncated, None, None)
+        return (frame_no, END_PART, None, size, reason, truncated, None, None)
 
     def _loss(self, repeated: int, lost: int) -> tuple:
-        return (-1, LOSS_PART, 0, 0, None, None, None, None, repeated, lost)
+        return (-1, LOSS_PART, None, None, None, None, repeated, lost)
 
     def _frame(self, key, rows: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=self.COLUMNS)
@@ -228,49 +321,6 @@ class FlowCutter(StatefulProcessor):
         return out
 
 
-class PartAssembler(StatefulProcessor):
-    """Holds the bytes of one part until it ends; frame ends and losses pass through."""
-
-    def __init__(self, conn: str):
-        self.result = Row(conn, "frame_no", "part_no", "content", "size", "reason", "truncated", "repeated", "lost")
-
-    def init(self, handle) -> None:
-        self.known = handle.getValueState("known", "got long, until long")
-        self.pieces = handle.getMapState("pieces", "at long", "bytes binary")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if key[2] <= END_PART:
-            for row in rows:
-                yield self.result(*key, None, row.size, row.reason, row.truncated, row.repeated, row.lost)
-            return
-        stored = self.known.exists()
-        got, until = self.known.get() if stored else (0, None)
-        fresh, closing = {}, None
-        for row in rows:
-            if row.bytes is None:
-                closing = row.until
-            else:
-                until = row.until
-                fresh[row.at] = bytes(row.bytes)
-                got += len(row.bytes)
-        until = until if closing is None else closing
-        if until == -1 or got == until:
-            if until != -1:
-                held = ({at: bytes(b) for (at,), (b,) in self.pieces.iterator()} if stored else {}) | fresh
-                content = b"".join(held[at] for at in sorted(held))
-                yield self.result(*key, content, len(content), None, None, None, None)
-            if stored:
-                self.pieces.clear()
-                self.known.clear()
-            return
-        for at, data in fresh.items():
-            self.pieces.updateValue((at,), (data,))
-        self.known.update((got, until))
-
-    def close(self) -> None:
-        pass
-
-
 def stream_frame_parts(
     segments: DataFrame,
     conn: str = "conn_id",
@@ -299,21 +349,12 @@ def stream_frame_parts(
         .withWatermark(at, watermark)
         .select(conn, F.col(seq).cast("bigint").alias("seq"), "bytes", "closes", "ms", at)
     )
-    cut = wanted.groupBy(conn).transformWithStateInPandas(
+    return wanted.groupBy(conn).transformWithStateInPandas(
         statefulProcessor=FlowCutter(conn, frame_prefix_bytes(profile), idle_ms, part_bytes),
-        outputStructType=f"`{conn}` {conn_type}, {_CUT}",
+        outputStructType=f"`{conn}` {conn_type}, {_PARTS}",
         outputMode="Append",
         timeMode="EventTime",
     )
-    return cut.groupBy(conn, "frame_no", "part_no").transformWithState(
-        statefulProcessor=PartAssembler(conn),
-        outputStructType=(
-            f"`{conn}` {conn_type}, frame_no long, part_no long, content binary, size long, reason string, truncated boolean, "
-            "repeated long, lost long"
-        ),
-        outputMode="Append",
-        timeMode="None",
-    )
 
 
 def flow_parts(parts: DataFrame, conn: str = "conn_id", on_truncated: str = SUCCESS) -> DataFrame:

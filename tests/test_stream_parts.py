@@ -156,3 +156,116 @@ def test_a_flow_above_any_count_of_pieces_comes_in_parts(spark, run):  # noqa: F
     assert [r["part_no"] for r in parts] == list(range(9)) and {r["size"] for r in parts} == {4 * n}
     assert b"".join(r["content"] for r in parts) == b"".join(struct.pack(">i", c) for c in range(n))
     assert parts[0]["attributes"] == {} and all(r["attributes"] is None for r in parts[1:])
+
+
+class CountedState:
+    """State of one key that counts how often it is asked."""
+
+    def __init__(self):
+        self.calls, self.states, self.timers = 0, {}, set()
+
+    def getValueState(self, name, *schema):
+        return CountedValues(self, name)
+
+    getListState = getMapState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+
+class CountedValues:
+    def __init__(self, owner, name):
+        self.owner, self.name = owner, name
+
+    def _kept(self):
+        self.owner.calls += 1
+        return self.owner.states.setdefault(self.name, {})
+
+    def exists(self):
+        return bool(self._kept())
+
+    def get(self):
+        kept = self._kept()
+        return kept.get("value") if self.name != "open" else iter(list(kept.values()))
+
+    def update(self, value):
+        self._kept()["value"] = value
+
+    def clear(self):
+        self._kept().clear()
+
+    def appendValue(self, value):
+        kept = self._kept()
+        kept[len(kept)] = value
+
+    def containsKey(self, key):
+        return key in self._kept()
+
+    def getValue(self, key):
+        return self._kept()[key]
+
+    def updateValue(self, key, value):
+        self._kept()[key] = value
+
+    def removeKey(self, key):
+        del self._kept()[key]
+
+    def keys(self):
+        return iter(list(self._kept()))
+
+
+def fed(cutter, batches):
+    """What a cutter gives for batches of (seq, bytes, closes): rows of all batches."""
+    import pandas as pd
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    rows = []
+    for batch in batches:
+        table = pd.DataFrame([(*r, 5) for r in batch], columns=["seq", "bytes", "closes", "ms"])
+        for out in cutter.handleInputRows((1,), iter([table]), Times()):
+            rows += list(out.itertuples(index=False))
+    return rows
+
+
+def test_state_is_asked_by_batch_and_run_not_by_segment():
+    from flowtables.streaming.framed import FlowCutter
+
+    data = b"".join(frame(payload=bytes([i % 256]) * 90) for i in range(400))
+    every = [(seq, p, closes) for _, seq, p, closes, _ in cut(1, data, 10)]
+    state, cutter = CountedState(), FlowCutter("conn_id", 12, 60_000, 50)
+    cutter.init(state)
+    # The first segment comes last: all others are early, in four runs.
+    n = len(every) // 4
+    rows = fed(cutter, [every[3 * n :], every[n : 2 * n], every[2 * n : 3 * n] + every[n : n + 5], every[:n]])
+    assert state.calls < 60
+    payload = {(r.frame_no, r.part_no): r.content for r in rows if r.part_no >= 0}
+    assert payload == {(i, k): bytes([i % 256]) * (50, 40)[k] for i in range(400) for k in (0, 1)}
+    assert [(r.repeated, r.lost) for r in rows if r.part_no == -3] == [(5, 0)]
+    assert not state.states["early"] and not state.states["open"]
+
+
+def test_a_connection_closes_once_whatever_comes_after():
+    from flowtables.streaming.framed import FlowCutter
+
+    every = [(seq, p, closes) for _, seq, p, closes, _ in cut(1, frame(payload=b"x" * 30)[:-5], 10)]
+    cutter = FlowCutter("conn_id", 12, 60_000, 8)
+    cutter.init(CountedState())
+    rows = fed(cutter, [every[:2], every[2:], every[-1:], every[:1]])
+    assert [(r.size, r.truncated) for r in rows if r.part_no == -2] == [(25, True)]
+    assert [r.repeated for r in rows if r.part_no == -3] == [1, 1]
+    assert [r.content for r in rows if r.part_no >= 0] == [b"x" * 8] * 3 + [b"x"]
+    # Closed inside a run of early segments, with a run right behind it: all behind the close is lost.
+    cutter = FlowCutter("conn_id", 12, 60_000, 8)
+    cutter.init(CountedState())
+    some = [(i, b"", i == 2) for i in range(9)]
+    rows = fed(cutter, [some[1:3], some[3:6], some[6:7], some[:1]])
+    assert [(r.repeated, r.lost) for r in rows if r.part_no == -3] == [(0, 4)]
