@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import pyarrow as pa
 
@@ -70,6 +71,18 @@ class FrameCutter:
         self.phase, self.left = ("dead", 0) if bad else ("body", self.header_len + self.payload_len)
 
 
+#: Bytes of a batch that are taken apart at once, but one row at least.
+_BATCH_BYTES = 4 << 20
+
+
+def few_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few bytes: what Python makes of a slice is let go before the next one."""
+    for batch in batches:
+        n = max(1, batch.num_rows * _BATCH_BYTES // max(batch.nbytes, 1))
+        for begin in range(0, batch.num_rows, n):
+            yield batch.slice(begin, n)
+
+
 def piece_batch(names: list, rows: list[tuple], conn: str, conn_type: pa.DataType) -> pa.RecordBatch:
     """Pieces of the named connections as one Arrow batch."""
     columns = list(zip(*rows)) if rows else [()] * len(FrameCutter.FIELDS)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions import binary, headers
 from flowtables.operators.attributes import encode_attributes
-from flowtables.operators.framecutter import FrameCutter, piece_batch
+from flowtables.operators.framecutter import FrameCutter, few_bytes, piece_batch
 from flowtables.operators.hot_connections import MAX_HEADER_BYTES, cut_blocks
 from flowtables.operators.ordered import RANGE_BLOCK, counter_block, range_blocks, running
 from flowtables.schema import ERROR, FRAME_VERSIONS, MAX_BLOB_BYTES, SUCCESS, frame_prefix_bytes
@@ -127,7 +127,7 @@ def _cut_in_turn(segments: DataFrame, conn: str, seq: str, profile: str) -> Data
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, cutter = None, None
-        for batch in batches:
+        for batch in few_bytes(batches):
             names, rows = [], []
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if cutter is None or name != current:
@@ -406,17 +406,24 @@ def _entered(blocks: DataFrame, delimiter: bytes, conn: str, block_bytes: int) -
         rest = F.element_at(_split(binary.slice_bytes(F.col("bytes"), F.lit(taken), F.octet_length("bytes")), delimiter), -1)
         return F.greatest(F.octet_length("bytes") - F.length(rest) - block_bytes, F.lit(0))
 
-    def follow(rows):
-        rows = rows.sort_values("block")
-        entries, entry = [], 0
-        for cases in rows["cases"]:
-            entries.append(entry)
-            entry = int(cases[entry])
-        return rows[[conn, "block"]].assign(entry=entries)
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, entry = None, None
+        for batch in batches:
+            entries = []
+            for name, case in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if entry is None or name != current:
+                    current, entry = name, 0
+                entries.append(entry)
+                entry = case[entry]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(entries, pa.int32())], names=[conn, "block", "entry"]
+            )
 
     cases = blocks.select(conn, "block", F.array(*(taken_of_next(r) for r in range(len(delimiter)))).alias("cases"))
     conn_type = blocks.schema[conn].dataType.simpleString()
-    entries = cases.groupBy(conn).applyInPandas(follow, f"`{conn}` {conn_type}, block long, entry int")
+    # Many short connections go through a task one after the other, without a call for each.
+    in_order = cases.repartition(conn).sortWithinPartitions(conn, "block")
+    entries = in_order.mapInArrow(follow, f"`{conn}` {conn_type}, block long, entry int")
     entry = F.col("entry")
     return blocks.join(entries, [conn, "block"]).select(
         conn,

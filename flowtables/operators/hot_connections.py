@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.operators.framecutter import LENGTHS, LENGTHS_BYTES, FrameCutter, piece_batch
+from flowtables.operators.framecutter import LENGTHS, LENGTHS_BYTES, FrameCutter, few_bytes, piece_batch
 
 # Plausible headers are shorter than this.
 MAX_HEADER_BYTES = 1 << 24
@@ -91,7 +91,7 @@ def cut_blocks(
     conn_type = blocks.schema[conn].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_bytes(batches):
             names, numbers, starts, data = (batch.column(i) for i in range(4))
             chains = [frame_chains(d.as_py(), s.as_py(), prefix) for s, d in zip(starts, data)]
             columns = [pa.array([c[i] for c in chains], pa.list_(pa.int64())) for i in range(4)]
@@ -121,7 +121,7 @@ def cut_blocks(
             )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_bytes(batches):
             for name, block, data, entry, frames, open_start, open_end in zip(*(c.to_pylist() for c in batch.columns)):
                 place = (block * block_bytes, entry, frames, open_start, open_end)
                 rows = _cut_block(data, place, prefix, block_bytes, max_blob_bytes)

@@ -245,3 +245,45 @@ def test_flows_with_hashed_numbers_are_laid_end_to_end(spark):
     measured = framed.flows_to_segments(flows, segment_bytes=50, order_block=None)
     as_set = lambda df: sorted(tuple(r) for r in df.collect())
     assert as_set(measured) == as_set(plain)
+
+
+def test_taking_blocks_apart_needs_memory_for_few_of_them():
+    import subprocess
+    import sys
+
+    # In a process of its own, whose peak is its own: 200 blocks of 1 MB in one batch.
+    code = """
+import resource, struct
+import pyarrow as pa
+from flowtables.operators import framed, framecutter
+
+class Table:  # keeps the function that tasks get
+    schema = {"conn_id": type("F", (), {"dataType": type("D", (), {"simpleString": lambda self: "bigint"})()})()}
+    def select(self, *a): return self
+    repartition = sortWithinPartitions = select
+    def mapInArrow(self, f, schema):
+        Table.f = staticmethod(f)
+        return self
+
+framed._cut_in_turn(Table(), "conn_id", "seq", "v2")
+one = struct.pack(">iq", 0, (1 << 20) - 12) + bytes((1 << 20) - 12)
+batch = pa.record_batch([pa.array([1] * 200, pa.int64()), pa.array([one] * 200, pa.binary())], names=["conn_id", "bytes"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n = sum(out.num_rows for out in Table.f(iter([batch])))
+print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=framed.__file__.split("/flowtables/")[0])
+    n, grown = map(int, out.stdout.split())
+    assert n == 401 and grown < 100
+
+
+def test_many_short_connections_are_followed_without_a_call_each(spark):
+    data = [b"", b"aa", b"aaa", b"baaab", b"aaaaaaaaa", b"xaaaay"]
+    rows = [(conn, 0, data[conn % 6]) for conn in range(600)]
+    df = spark.createDataFrame(rows, "conn_id long, seq long, bytes binary").repartition(3)
+    split = framed.delimited_streams_to_flows(df, b"aa", block_bytes=2)
+    got = sorted((r["conn_id"], r["msg_no"], r["content"]) for r in split.collect())
+    expected = [(conn, i, m) for conn, _, b in rows for i, m in enumerate(b.split(b"aa")[: None if b.split(b"aa")[-1] else -1])]
+    assert got == expected
+    plan = split._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "MapInArrow" in plan
