@@ -12,6 +12,7 @@ from flowtables.functions import headers
 from flowtables.functions.times import epoch_millis
 from flowtables.operators.timeouts import FLUSH_PIECES, TIMEOUT
 from flowtables.schema import ERROR, FLOW_KEY, MAX_BLOB_BYTES, SUCCESS, datagram_profile
+from flowtables.streaming.together import BUCKETS, Together, bucket_of
 
 _META = (
     "n long, payload_length long, header string, said_ms long, said_seq long, count long, "
@@ -185,13 +186,14 @@ def stream_reassemble(
     keep_ms: int = 600_000,
     max_blob_bytes: int = MAX_BLOB_BYTES,
     flush_pieces: int = FLUSH_PIECES,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """O34. Flows as soon as their last piece is there, on a stream of datagrams.
 
     The rows are those of ``reassemble``. A flow whose writing stalls for longer than ``timeout_ms`` is an error
     (``timeout``), one of more than ``max_blob_bytes``, announced or arrived, another (``oversize``, no more is buffered for
     it; :func:`stream_reassemble_parts` has no such limit). The verdict depends on the times of arrival only, not on the
-    order of rows. State is kept per flow on disk; a finished flow is remembered for ``keep_ms`` so that late pieces
+    order of rows. State is on disk, in buckets of flows (see ``together``); a finished flow is remembered for ``keep_ms`` so that late pieces
     are dropped, pieces without announcement are forgotten after ``timeout_ms``.
     """
     columns = set(datagrams.columns)
@@ -212,8 +214,8 @@ def stream_reassemble(
     key_schema = ", ".join(f"`{c}` {datagrams.schema[c].dataType.simpleString()}" for c in key)
     extra = 0 if datagram_profile(profile).announces_first else 1
     processor = FlowAssembler(key, timeout_ms, keep_ms, max_blob_bytes, flush_pieces, extra)
-    done = wanted.groupBy(*key).transformWithState(
-        statefulProcessor=processor,
+    done = wanted.withColumn("_bucket", bucket_of(key, buckets)).groupBy("_bucket").transformWithState(
+        statefulProcessor=Together(processor, key),
         outputStructType=f"{key_schema}, payload_length long, header string, content binary, verdict string",
         outputMode="Append",
         timeMode="EventTime",

@@ -269,3 +269,40 @@ def test_a_connection_closes_once_whatever_comes_after():
     some = [(i, b"", i == 2) for i in range(9)]
     rows = fed(cutter, [some[1:3], some[3:6], some[6:7], some[:1]])
     assert [(r.repeated, r.lost) for r in rows if r.part_no == -3] == [(0, 4)]
+
+
+def test_state_is_asked_by_bucket_not_by_flow():
+    from pyspark.sql import Row
+
+    from flowtables.streaming.reassembly import FlowAssembler
+    from flowtables.streaming.together import Together
+
+    class Times:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    def arrived(flow, counter, at):
+        return Row(
+            source="s", flow_id=flow, header_type=min(counter, 1), counter=counter, n_datagrams=1, payload_length=2, header="{}",
+            payload=bytes([65 + counter]), arrival_ms=at, arrival_seq=0,
+        )
+
+    state, key = CountedState(), ["source", "flow_id"]
+    both = Together(FlowAssembler(key, 100, 1000, 1 << 20, 1001, 1), key)
+    both.init(state)
+    # 500 flows come whole; of one the second piece comes a batch later, of another never.
+    whole = [arrived(f, c, 10 + c) for f in range(500) for c in (0, 1)]
+    out = list(both.handleInputRows((3,), iter([*whole, arrived(500, 0, 10), arrived(501, 0, 10)]), Times(0)))
+    assert state.calls < 20 and sorted(r.flow_id for r in out) == list(range(500))
+    out = list(both.handleInputRows((3,), iter([arrived(500, 1, 60), arrived(7, 1, 61)]), Times(20)))
+    assert [(r.flow_id, r.verdict, r.content) for r in out] == [(500, "success", b"AB")]
+    assert state.timers == {110}
+    out = list(both.handleExpiredTimer((3,), Times(200), None))
+    assert [(r.flow_id, r.verdict) for r in out] == [(501, "timeout")]
+    assert state.calls < 60 and not state.states["cells"]
+    # Finished flows are forgotten in time, and then nothing is left.
+    assert list(both.handleExpiredTimer((3,), Times(5000), None)) == []
+    assert not state.states["index"]
