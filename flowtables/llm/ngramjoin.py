@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from flowtables.llm.components import components
 from flowtables.llm.scratch import stored
-from flowtables.llm.textkernel import LOWER, WORD, Hasher, mapped, mixed, owners, runs, sliced, texts, windows
+from flowtables.llm.textkernel import LOWER, SMALL_SLICE_BYTES, WORD, Hasher, mapped, mixed, owners, runs, sliced, texts, windows
 
 SHINGLE = 4
 PERCENT = 85
@@ -68,10 +68,10 @@ def shingle_counts(documents: DataFrame, size: int = SHINGLE) -> np.ndarray:
         hasher, counts, waiting, n_waiting = Hasher(), np.zeros(COUNTERS, np.uint32), [], 0
 
         def settle() -> None:
-            counts[:] += np.bincount(np.concatenate(waiting), minlength=COUNTERS).astype(np.uint32)
+            np.add(counts, np.bincount(np.concatenate(waiting), minlength=COUNTERS), out=counts, casting="unsafe")
             waiting.clear()
 
-        for _, data, borders in sliced(batches, "text"):
+        for _, data, borders in sliced(batches, "text", SMALL_SLICE_BYTES):
             keys, _ = shingle_sets(data, borders, hasher, size)
             waiting.append((keys & np.uint64(COUNTERS - 1)).astype(np.int32))
             n_waiting += len(keys)
@@ -137,7 +137,7 @@ def prefix_rows(documents: DataFrame, counts, percent: int, size: int) -> DataFr
             "at": pa.array(at[chosen], pa.int64()),
         }
 
-    return mapped(documents.select("text"), run, "text", "shingle long, class long, n long, at long")
+    return mapped(documents.select("text"), run, "text", "shingle long, class long, n long, at long", SMALL_SLICE_BYTES)
 
 
 def set_hashes(keys: np.ndarray, first: np.ndarray, hasher: Hasher) -> np.ndarray:
@@ -157,7 +157,7 @@ def class_members(documents: DataFrame, size: int) -> DataFrame:
             "class": pa.array(set_hashes(keys, first, state["hasher"]).view(np.int64), mask=n == 0),
         }
 
-    return mapped(documents.select(F.col("doc_id").cast("long"), "text"), run, "text", "doc_id long, n long, class long")
+    return mapped(documents.select(F.col("doc_id").cast("long"), "text"), run, "text", "doc_id long, n long, class long", SMALL_SLICE_BYTES)
 
 
 def verified(pairs: DataFrame, class_texts: DataFrame, percent: int, size: int) -> DataFrame:
@@ -167,7 +167,7 @@ def verified(pairs: DataFrame, class_texts: DataFrame, percent: int, size: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for batch, data, borders in sliced(batches, "text_a"):
+        for batch, data, borders in sliced(batches, "text_a", SMALL_SLICE_BYTES):
             other, other_borders = texts(batch.column(3))
             x, x_first = shingle_sets(data, borders, hasher, size)
             y, y_first = shingle_sets(other, other_borders, hasher, size)
@@ -285,7 +285,7 @@ def _own_texts(sources: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for batch, data, borders in sliced(batches, "text"):
+        for batch, data, borders in sliced(batches, "text", SMALL_SLICE_BYTES):
             keys, first = shingle_sets(data, borders, hasher, size)
             yield batch.filter(pa.array(set_hashes(keys, first, hasher).view(np.int64) == np.asarray(batch.column(0))))
 

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 21
+#: Of functions that make several 64-bit numbers of every byte: as fast, with a fraction of the memory.
+SMALL_SLICE_BYTES = 1 << 19
 
 
 def byte_table(members: bytes | range, inverted: bool = False) -> np.ndarray:
@@ -47,13 +49,15 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[borders[0] : borders[-1]], borders - borders[0]
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def sliced(
+    batches: Iterator[pa.RecordBatch], column: str, slice_bytes: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with the bytes and borders of one text column."""
     for batch in batches:
         data, borders = texts(batch.column(batch.schema.get_field_index(column)))
         begin = 0
         while begin < batch.num_rows:
-            end = int(np.searchsorted(borders, borders[begin] + SLICE_BYTES, side="right")) - 1
+            end = int(np.searchsorted(borders, borders[begin] + slice_bytes, side="right")) - 1
             end = min(max(end, begin + 1), batch.num_rows)
             yield (
                 batch.slice(begin, end - begin),
@@ -159,12 +163,12 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def mapped(df, function, column: str, schema: str):
+def mapped(df, function, column: str, schema: str, slice_bytes: int = SLICE_BYTES):
     """``function(slice, data, borders)`` on slices of a table; it returns a dict of columns or None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {"hasher": Hasher()}
-        for batch, data, borders in sliced(batches, column):
+        for batch, data, borders in sliced(batches, column, slice_bytes):
             out = function(batch, data, borders, state)
             if out is not None:
                 yield pa.RecordBatch.from_pydict(out)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtables.llm.scratch import stored
-from flowtables.llm.textkernel import LOWER, byte_table, mapped, mixed, owners, runs
+from flowtables.llm.textkernel import LOWER, SMALL_SLICE_BYTES, byte_table, mapped, mixed, owners, runs
 
 SAMPLE_DOCS = 4000
 #: Terms the models see, and how many of the best they are chosen from: terms found in the same texts count once.
@@ -203,7 +203,7 @@ def _judged(rows: DataFrame, model: dict | None) -> DataFrame:
         }
 
     added = [T.StructField(n, T.DoubleType()) for n in names] + [T.StructField("is_toxic", T.BooleanType())]
-    return mapped(rows, judge, "text", T.StructType([rows.schema["row"], rows.schema["text"], *added]))
+    return mapped(rows, judge, "text", T.StructType([rows.schema["row"], rows.schema["text"], *added]), SMALL_SLICE_BYTES)
 
 
 def toxicity(documents: DataFrame, model: dict | None) -> DataFrame:

@@ -691,3 +691,19 @@ def test_text_kernel():
     assert np.diff(first).tolist() == [len(words(t)) for t in texts]
     hashes = textkernel.Hasher().of_bytes(data, starts, ends)
     assert len(set(hashes.tolist())) == len(set(got))
+
+
+def test_hashing_texts_needs_memory_for_a_small_slice():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from flowtables.llm import textkernel, toxicity
+
+    batch = pa.record_batch([pa.array(["some words of a text " * 50] * 4000)], names=["text"])
+    state = {"hasher": textkernel.Hasher()}
+    tracemalloc.start()
+    for _, data, borders in textkernel.sliced(iter([batch]), "text", textkernel.SMALL_SLICE_BYTES):
+        toxicity._terms(data, borders, state)
+    assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    tracemalloc.stop()
