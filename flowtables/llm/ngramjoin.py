@@ -37,6 +37,9 @@ _CHUNK = 1 << 16
 #: So many classes a task remembers as given; beyond it forgets them all, and some are given twice.
 GIVEN_CLASSES = 1 << 17
 STAR_ROUNDS = 2
+#: Classes of a block when the links of a component are counted, and shingles compared at once.
+LINK_BLOCK = 256
+_LINK_COLUMNS = 4096
 #: Parts the suffix filter compares: those of the hashes' first four bits.
 _PIVOTS = 16
 
@@ -220,8 +223,11 @@ def _candidate_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFra
     )
 
 
-def similarity_classes(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` (links between different sets that were made) per document."""
+def similarity_classes(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE, count_links: bool = True) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` and ``n_links`` per document: with how many other sets its own set is linked.
+
+    Components need few of the links; without ``count_links`` only those made for them are counted.
+    """
     spark = documents.sparkSession
     own = documents.select(F.col("doc_id").cast("long"), "text")
     members = stored(class_members(own, size), "class-members")
@@ -235,7 +241,7 @@ def similarity_classes(documents: DataFrame, percent: int = PERCENT, size: int =
     meeting = members.join(shared.select("class").distinct(), "class", "left_semi")
     chosen = meeting.groupBy("class").agg(F.min("doc_id").alias("_doc_id"))
     sources = own.join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc_id"))).select("class", "text")
-    class_texts = stored(_own_texts(sources, size), "class-texts")
+    class_texts = all_texts = stored(_own_texts(sources, size), "class-texts")
 
     links, seen, labels = None, None, None
     for turn in range(STAR_ROUNDS + 1):
@@ -273,7 +279,64 @@ def similarity_classes(documents: DataFrame, percent: int = PERCENT, size: int =
         labels = components(links)
         if last:
             break
-    return _members_named(members, links, labels)
+    both = links.select(F.col("a").alias("class")).unionByName(links.select(F.col("b").alias("class")))
+    n_links = both.groupBy("class").agg(F.count("*").alias("n_links"))
+    if count_links:
+        n_links = _all_links(links, labels, n_links, all_texts, percent, size)
+    return _members_named(members, n_links, labels)
+
+
+def _all_links(links: DataFrame, labels: DataFrame, made: DataFrame, class_texts: DataFrame, percent: int, size: int) -> DataFrame:
+    """``class, n_links``: all links of every class. They lie within components.
+
+    A component whose pairs are all linked already is done. The others are dealt into blocks of about ``LINK_BLOCK``
+    classes, and every two blocks are compared as matrices: pairs are counted where they are found and never become rows.
+    """
+    of = labels.select(F.col("node").alias("class"), "component")
+    sizes = of.groupBy("component").agg(F.count("*").alias("m"))
+    known = of.join(made, "class").groupBy("component").agg(F.sum("n_links").alias("known"))
+    unsure = sizes.join(known, "component").filter("known < m * (m - 1)").select("component", F.ceil(F.col("m") / LINK_BLOCK).alias("blocks"))
+    rows = of.join(unsure, "component").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    # A class has several texts if rows share a doc_id; their sets are the same.
+    rows = rows.join(class_texts.dropDuplicates(["class"]), "class")
+    pairs = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")).select(
+        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "block", "text"
+    )
+
+    def count(table: pa.Table) -> pa.Table:
+        hasher, block = Hasher(), np.asarray(table.column("block"))
+        keys, n = [], np.zeros(len(block), np.int64)
+        at = 0
+        for batch, data, borders in sliced(iter(table.combine_chunks().to_batches()), "text", SMALL_SLICE_BYTES):
+            own, first = shingle_sets(data, borders, hasher, size)
+            keys.append(own)
+            n[at : at + batch.num_rows] = np.diff(first)
+            at += batch.num_rows
+        # Only shingles of several classes are shared; each is a column.
+        _, column, found = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(n)), n)
+        several = found[column] > 1
+        row, column = row[several], (np.cumsum(found > 1) - 1)[column[several]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        shared = np.zeros((len(n), len(n)), np.float32)
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, _LINK_COLUMNS):
+            begin, end = np.searchsorted(column, (low, low + _LINK_COLUMNS))
+            holds = np.zeros((len(n), _LINK_COLUMNS), np.float32)
+            holds[row[begin:end], column[begin:end] - low] = 1
+            shared += holds @ holds.T
+        shared = shared.astype(np.int64)
+        linked = (100 * shared >= percent * (n[:, None] + n[None, :] - shared)) & (shared > 0)
+        if len(set(block.tolist())) > 1:
+            linked &= block[:, None] != block[None, :]
+        elif table.column("low")[0] != table.column("high")[0]:  # the other block is empty
+            linked[:] = False
+        np.fill_diagonal(linked, False)
+        return pa.table({"class": table.column("class"), "n_links": pa.array(linked.sum(1).astype(np.int64))})
+
+    counted = pairs.groupBy("component", "low", "high").applyInArrow(count, "class long, n_links long")
+    counted = counted.groupBy("class").agg(F.sum("n_links").alias("all_links"))
+    return made.join(counted, "class", "left").select("class", F.coalesce("all_links", "n_links").alias("n_links"))
 
 
 def _not_in(pairs: DataFrame, seen: DataFrame | None) -> DataFrame:
@@ -334,10 +397,9 @@ def _cross_pairs(known: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _members_named(members: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+def _members_named(members: DataFrame, n_links: DataFrame, labels: DataFrame) -> DataFrame:
     """Components by their smallest doc_id."""
-    both = links.select(F.col("a").alias("_class")).unionByName(links.select(F.col("b").alias("_class")))
-    n_links = both.groupBy("_class").agg(F.count("*").alias("n_links"))
+    n_links = n_links.withColumnRenamed("class", "_class")
     classes = members.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
     grouped = classes.join(labels, F.col("class") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -361,7 +423,7 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT, size: int = SHINGL
 
     Rows equal in doc_id and text stay once; rows that share a doc_id but not a text stay or go together.
     """
-    classes = similarity_classes(documents, percent, size)
+    classes = similarity_classes(documents, percent, size, count_links=False)
     kept = classes.filter((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
     # Null doc_ids get a number and a mark, so that equal rows lie together for the join and for what follows it alike.
     doc_id = [F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("no_id")]

@@ -707,3 +707,21 @@ def test_hashing_texts_needs_memory_for_a_small_slice():
         toxicity._terms(data, borders, state)
     assert tracemalloc.get_traced_memory()[1] < 64 << 20
     tracemalloc.stop()
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_all_links_of_a_near_copy_group_are_counted(spark, monkeypatch, block):
+    from flowtables.llm import ngramjoin
+
+    monkeypatch.setattr(ngramjoin, "LINK_BLOCK", block)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base[: 40 + 2 * i])) for i in range(10)] + [(20, " ".join(base)), (21, None), (22, " ".join(base[:40])), (23, "a b c")]
+    sets = {}
+    for i, text in rows:
+        words = (text or "").split()
+        sets[i] = frozenset(tuple(words[k : k + 4]) for k in range(len(words) - 3)) or frozenset([tuple(words)] if words else [])
+    different = set(sets.values()) - {frozenset()}
+    expected = {i: sum(100 * len(s & o) >= 85 * len(s | o) for o in different if o != s) if s else 0 for i, s in sets.items()}
+    found = ngramjoin.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_links"] for r in found} == expected
+    assert max(expected.values()) > 3
