@@ -3,6 +3,7 @@
 import math
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from oracle import duckdb_rows, spark_rows
 
@@ -63,3 +64,25 @@ def test_stages_keep_columns_of_any_name(spark):
         assert out.columns == marked.columns, name
         rows = out.select(*names).distinct().collect()
         assert [tuple(r) for r in rows] == [tuple(f"own {c}" for c in names)], name
+
+
+@pytest.mark.parametrize("own", [None, "2500"])
+def test_stages_give_python_small_batches_unless_the_session_sets_its_own(spark, own):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = {k: spark.conf.get(k) for k in corpus_pipeline.BATCHES}
+    for k in before:
+        spark.conf.unset(k)
+    try:
+        if own:
+            spark.conf.set(name, own)
+        docs = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text", "'en' AS lang", "'a' AS source", "1L AS n_chars")
+        dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF_DIR)
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        assert max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect()) == int(own or 1000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
