@@ -1,11 +1,12 @@
 """Phrase collocations by set-oriented mining of sorted relations (SETM, Houtsma and Swami 1995).
 
-* The occurrences of words are a written relation of piece, position, language and word. Frequent words get numbers, and
-  the relation R1 of their occurrences is written sorted by piece and position, in buckets by piece.
+* Words are counted slice by slice of the texts and added up. Frequent words get numbers, and the relation R1 of their
+  occurrences is made in a second pass over the texts and written sorted by piece and position, in buckets by piece.
 * Rk lists occurrences of frequent phrases of k words: piece, position of the word that comes next, number of the phrase.
-  It is merged with R1 by piece and adjacent position, groups of phrase and word are counted, and those found often enough
-  get numbers. A second merge, semi-joined with them, is R(k+1), written sorted in the same buckets. So relations are never
-  shuffled to be extended, only counts are, after they have been added up in each task.
+  It is merged with R1 by piece and adjacent position (R1 with itself: each row with the next one, by a window), groups of
+  phrase and word are counted, and those found often enough get numbers. A second merge, semi-joined with them, is R(k+1),
+  written sorted in the same buckets. So relations are never shuffled to be extended, only counts are, after they have been
+  added up in each task.
 * Frequent phrases are found through their frequent beginnings, hence exactly. Their numbers stand for whole phrases: no
   hashes. Tables of frequent phrases are broadcast while they have at most ``BROADCAST_ROWS`` rows, and shuffled beyond.
 
@@ -38,11 +39,60 @@ MAX_WORDS = 5
 FIRST = 2000
 #: More frequent words or phrases than this are joined by shuffling.
 BROADCAST_ROWS = 500_000
+#: A task adds up its counts of words until it has so many.
+COUNTED_WORDS = 1 << 18
 
 _ENDS = byte_table(b".,;:!?\n\v\f\r")
 _WORD = byte_table(b" \t.,;:!?\n\v\f\r", inverted=True)
 
 
+def _words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words of a slice, given its bytes and where they lie."""
+    offsets = np.concatenate(([0], np.cumsum(ends - starts)))
+    letters = data[_WORD[data]]
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters))
+    return words.cast(pa.string())
+
+
+def _of_words(column: pa.Array, first: np.ndarray) -> pa.Array:
+    """Each text's value for each of its words."""
+    return column.take(pa.array(np.repeat(np.arange(len(column)), np.diff(first))))
+
+
+def _langs(documents: DataFrame) -> DataFrame:
+    return documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+
+
+def word_counts(documents: DataFrame) -> DataFrame:
+    """``lang, word, a`` of all words."""
+
+    def added(tables: list[pa.Table]) -> pa.Table:
+        counts = pa.concat_tables(tables).group_by(["lang", "word"], use_threads=False).aggregate([("a", "sum")])
+        return counts.select(["lang", "word", "a_sum"]).rename_columns(["lang", "word", "a"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n_waiting, least = [], 0, 0
+        for batch, data, borders in sliced(batches, "text"):
+            data = LOWER[data]
+            starts, ends, first = runs(data, borders, _WORD)
+            lang, word = _of_words(batch.column(0), first), _words(data, starts, ends)
+            own = added([pa.table({"lang": lang, "word": word, "a": pa.array(np.ones(len(starts), np.int64))})])
+            waiting.append(own)
+            n_waiting += own.num_rows
+            # Counts of words seen again shrink; tables that hardly do are given away.
+            if n_waiting > COUNTED_WORDS + least:
+                waiting = [added(waiting)]
+                n_waiting = least = waiting[0].num_rows
+                if n_waiting > COUNTED_WORDS:
+                    yield from waiting.pop().to_batches()
+                    n_waiting = least = 0
+        if waiting:
+            yield from added(waiting).to_batches()
+
+    counts = _langs(documents).mapInArrow(run, "lang string, word string, a long")
+    return counts.groupBy("lang", "word").agg(F.sum("a").alias("a"))
+
+
 def occurrences(documents: DataFrame) -> DataFrame:
     """``piece, pos, lang, word`` for every word. Numbers of pieces are unique, so write this before using it twice."""
 
@@ -60,22 +110,17 @@ def occurrences(documents: DataFrame) -> DataFrame:
             opens[first[:-1][np.diff(first) > 0]] = True
             piece = np.cumsum(opens) - 1
             begin = np.flatnonzero(opens)
-            sizes = np.diff(first)
-            offsets = np.concatenate(([0], np.cumsum(ends - starts)))
-            letters = data[_WORD[data]]
-            words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters))
             yield pa.RecordBatch.from_pydict(
                 {
                     "piece": pa.array(piece_base + piece),
                     "pos": pa.array((np.arange(len(starts)) - begin[piece]).astype(np.int32)),
-                    "lang": batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), sizes))),
-                    "word": words.cast(pa.string()),
+                    "lang": _of_words(batch.column(0), first),
+                    "word": _words(data, starts, ends),
                 }
             )
             piece_base += int(piece[-1]) + 1
 
-    own = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    return own.mapInArrow(run, "piece long, pos int, lang string, word string")
+    return _langs(documents).mapInArrow(run, "piece long, pos int, lang string, word string")
 
 
 @contextlib.contextmanager
@@ -115,23 +160,26 @@ def _numbered(counts: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame]:
 def frequent_phrases(documents: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, words, a`` of all phrases found ``min_count`` times, single words included, and ``lang, n``."""
     spark = documents.sparkSession
-    found = stored(occurrences(documents), "word-occurrences")
-    counts = stored(found.groupBy("lang", "word").agg(F.count("*").alias("a")), "word-counts")
+    counts = stored(word_counts(documents), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("a").alias("n"))
     words, words_near = _numbered(counts, min_count)
-    first = found.join(words_near.select("lang", "word", "id"), ["lang", "word"]).select("piece", "pos", F.col("id").alias("word_id"))
+    # Used once, so it need not be written: a table of all words is the largest of all.
+    first = occurrences(documents).join(words_near.select("lang", "word", "id"), ["lang", "word"])
+    first = first.select("piece", "pos", F.col("id").alias("word_id"))
     phrases = [words.select("id", "lang", F.col("word").alias("phrase"), F.array("word").alias("words"), "a")]
     named = words.select(F.col("id").alias("word_id"), "word")
     with _merging_in_place(spark):
         single = _sorted_relation(first, "pos", shuffled=True)
-        # Occurrences of phrases of k words: at is the position of the next word.
-        own = single.select("piece", (F.col("pos") + 1).alias("at"), F.col("word_id").alias("phrase_id"))
+        # Occurrences of phrases of k words: at is the position of the next word. Of one word, the next row is it.
+        place = Window.partitionBy("piece").orderBy("pos")
+        following = [F.lead(c).over(place).alias(to) for c, to in (("pos", "at"), ("word_id", "word_id"))]
+        longer = single.select("piece", "pos", F.col("word_id").alias("phrase_id"), *following)
+        longer = longer.filter("at = pos + 1").select("piece", "at", "phrase_id", "word_id")
+        right = single.withColumnRenamed("piece", "_piece")
         for k in range(2, max_words + 1):
-            if k == 2:
-                own = _sorted_relation(own, "at", shuffled=False)
-            right = single.withColumnRenamed("piece", "_piece")
-            longer = own.join(right, (F.col("piece") == F.col("_piece")) & (F.col("at") == F.col("pos")))
-            longer = longer.select("piece", "at", "phrase_id", "word_id")
+            if k > 2:
+                longer = own.join(right, (F.col("piece") == F.col("_piece")) & (F.col("at") == F.col("pos")))
+                longer = longer.select("piece", "at", "phrase_id", "word_id")
             groups, near = _numbered(longer.groupBy("phrase_id", "word_id").agg(F.count("*").alias("a")), min_count)
             begun = phrases[-1].select(F.col("id").alias("phrase_id"), "lang", "words")
             grown = groups.join(begun, "phrase_id").join(named, "word_id").withColumn("words", F.concat("words", F.array("word")))

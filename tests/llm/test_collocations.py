@@ -95,3 +95,17 @@ def test_query_agrees_with_sql(spark):
     columns, got = spark_rows(queries.QUERIES["op12_collocations"](spark, SF_DIR))
     expected_columns, expected = duckdb_rows(queries.ORACLES["op12_collocations"], SF_DIR)
     assert columns == expected_columns and got and got == expected
+
+
+@pytest.mark.parametrize("counted", [collocations.COUNTED_WORDS, 5])
+def test_words_are_counted_without_a_table_of_all_words(spark, rows, monkeypatch, counted):
+    written, stored = [], collocations.stored
+    monkeypatch.setattr(collocations, "COUNTED_WORDS", counted)
+    monkeypatch.setattr(collocations, "stored", lambda df, name: written.append(name) or stored(df, name))
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    expected = Counter()
+    for lang, text in rows:
+        expected.update((lang or "und", w) for w in re.findall(r"[^\x20\x09.,;:!?\x0A-\x0D]+", (text or "").translate(LOWER)))
+    assert {(r["lang"], r["word"]): r["a"] for r in collocations.word_counts(df).collect()} == expected
+    collocations.frequent_phrases(df, 20)
+    assert "word-counts" in written and "word-occurrences" not in written
