@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtables.llm.components import components
@@ -36,6 +36,9 @@ COUNTERS = 1 << 22
 _CHUNK = 1 << 16
 #: So many classes a task remembers as given; beyond it forgets them all, and some are given twice.
 GIVEN_CLASSES = 1 << 17
+#: Shingles counted more often are dealt into so many parts. All their rows stay, lone or not.
+COMMON_COUNT = 1 << 14
+COMMON_PARTS = 1 << 10
 STAR_ROUNDS = 2
 #: Classes of a block when the links of a component are counted, and shingles compared at once.
 LINK_BLOCK = 256
@@ -114,13 +117,14 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def prefix_rows(documents: DataFrame, counts, percent: int, size: int) -> DataFrame:
-    """``shingle, class, n, at``: each set's prefix in rare-first order."""
+    """``shingle, class, n, at``: each set's prefix in rare-first order; ``part`` is above 0 for common shingles."""
 
     def run(batch, data, borders, state):
         keys, first = shingle_sets(data, borders, state["hasher"], size)
         n = np.diff(first)
         doc = owners(first)
-        order = np.lexsort((keys, counts.value[(keys & np.uint64(COUNTERS - 1)).astype(np.int64)], doc))
+        found = counts.value[(keys & np.uint64(COUNTERS - 1)).astype(np.int64)]
+        order = np.lexsort((keys, found, doc))
         at = np.arange(len(keys)) - first[:-1][doc]
         # Copies add nothing: a task gives each of its sets once.
         classes = set_hashes(keys, first, state["hasher"]).view(np.int64)
@@ -133,14 +137,18 @@ def prefix_rows(documents: DataFrame, counts, percent: int, size: int) -> DataFr
                 given.add(c)
                 new[i] = True
         chosen = (at < prefix_length(n, percent)[doc]) & new[doc]
+        own = classes[doc[chosen]]
+        common = found[order][chosen] > COMMON_COUNT
         return {
             "shingle": pa.array(keys[order][chosen].view(np.int64)),
-            "class": pa.array(classes[doc[chosen]]),
+            "class": pa.array(own),
             "n": pa.array(n[doc[chosen]], pa.int64()),
             "at": pa.array(at[chosen], pa.int64()),
+            "part": pa.array(np.where(common, 1 + own % COMMON_PARTS, 0).astype(np.int32)),
         }
 
-    return mapped(documents.select("text"), run, "text", "shingle long, class long, n long, at long", SMALL_SLICE_BYTES)
+    schema = "shingle long, class long, n long, at long, part int"
+    return mapped(documents.select("text"), run, "text", schema, SMALL_SLICE_BYTES)
 
 
 def set_hashes(keys: np.ndarray, first: np.ndarray, hasher: Hasher) -> np.ndarray:
@@ -232,11 +240,11 @@ def similarity_classes(documents: DataFrame, percent: int = PERCENT, size: int =
     own = documents.select(F.col("doc_id").cast("long"), "text")
     members = stored(class_members(own, size), "class-members")
     counts = spark.sparkContext.broadcast(shingle_counts(own, size))
-    # Made twice from the texts rather than written: they are large, and all but a few go at once.
-    prefixes = prefix_rows(own, counts, percent, size)
-    # A shingle of one class links nothing. One found twice may still be of one class, given by two tasks.
-    met = prefixes.groupBy("shingle").agg(F.count("*").alias("found")).filter("found > 1").select("shingle")
-    shared = stored(prefixes.join(met, "shingle"), "shared-prefixes")
+    # Prefixes are large and all but a few go at once, so they are made and shuffled once and never written. A shingle of
+    # one class links nothing. One found twice may still be of one class, given by two tasks.
+    found = F.count("*").over(Window.partitionBy("shingle", "part"))
+    shared = prefix_rows(own, counts, percent, size).withColumn("found", found).filter("found > 1 OR part > 0")
+    shared = stored(shared.select("shingle", "class", "n", "at"), "shared-prefixes")
     # One text of each class that meets another.
     meeting = members.join(shared.select("class").distinct(), "class", "left_semi")
     chosen = meeting.groupBy("class").agg(F.min("doc_id").alias("_doc_id"))
@@ -297,8 +305,9 @@ def _all_links(links: DataFrame, labels: DataFrame, made: DataFrame, class_texts
     known = of.join(made, "class").groupBy("component").agg(F.sum("n_links").alias("known"))
     unsure = sizes.join(known, "component").filter("known < m * (m - 1)").select("component", F.ceil(F.col("m") / LINK_BLOCK).alias("blocks"))
     rows = of.join(unsure, "component").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    # A class has several texts if rows share a doc_id; their sets are the same.
-    rows = rows.join(class_texts.dropDuplicates(["class"]), "class")
+    # Few texts are needed. A class has several texts if rows share a doc_id; their sets are the same.
+    needed = class_texts.join(rows.select("class"), "class", "left_semi")
+    rows = rows.join(needed.dropDuplicates(["class"]), "class")
     pairs = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")).select(
         "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "block", "text"
     )

@@ -725,3 +725,20 @@ def test_all_links_of_a_near_copy_group_are_counted(spark, monkeypatch, block):
     found = ngramjoin.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["n_links"] for r in found} == expected
     assert max(expected.values()) > 3
+
+
+@pytest.mark.parametrize("common", [ngramjoin.COMMON_COUNT, 2])
+def test_prefixes_are_made_once_and_common_shingles_are_dealt(docs, corpus, monkeypatch, common):
+    passes, stored = [], ngramjoin.stored
+
+    def seen(df, name):
+        if name == "shared-prefixes":
+            passes.append(df._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        return stored(df, name)
+
+    monkeypatch.setattr(ngramjoin, "stored", seen)
+    monkeypatch.setattr(ngramjoin, "COMMON_COUNT", common)
+    monkeypatch.setattr(ngramjoin, "COMMON_PARTS", 3)
+    out = ngramjoin.similarity_classes(docs, 80, 5)
+    assert result(out, "doc_id", "n_shingles", "component_id") == brute_classes(corpus, 80, 5)
+    assert passes == [1]
