@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ from flowtables.llm.textkernel import sliced
 
 CAPACITY = 4096
 END = 1
-#: Words kept by a Python worker with their ids; beyond it forgets them all.
-CACHED_WORDS = 1_000_000
+#: Parts of words kept by a Python worker with their ids; beyond it forgets them all.
+CACHED_PARTS = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -42,76 +43,153 @@ def _public_path() -> str:
 
 #: Parts of words that are given to the tokenizer as one text.
 _TOGETHER = 256
-#: The pre-tokenizer's own pattern (a fixed value of the vocabulary file).
+#: Texts whose words are looked up together.
+_SLICE_BYTES = 1 << 22
+#: How the vocabulary's file prepares a text. Words are cut here only by a file that says just this.
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _PARTS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: Words of these alone are cut here.
+_LATIN = r"\A[\x21-\x7e\x{a1}-\x{ff}]*\z"
+_LETTER, _NUMBER, _SIGN = range(3)
+#: The kind of each code point up to U+00FF.
+_KINDS = np.array([_LETTER if c.isalpha() else _NUMBER if c.isnumeric() else _SIGN for c in map(chr, range(256))], np.uint8)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if it is printed, else one from 256 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in printed)
+    return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)} | {0x20: " "}
+
+
+def parts_of_words(words: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The words as the pre-tokenizer cuts them, one after the other, and where the parts of each begin in these.
+
+    Latin words are lower-cased and cut, since their parts recur more often than they do; others are one part, unchanged.
+    """
+    latin = pc.match_substring_regex(words, _LATIN)
+    words = pc.if_else(latin, pc.utf8_lower(words), words)
+    _, borders, data = words.buffers()
+    borders = np.frombuffer(borders, np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = np.frombuffer(data, np.uint8)[: borders[-1]] if data is not None else np.zeros(0, np.uint8)
+    kinds = _KINDS[raw]
+    lead = np.flatnonzero(raw >= 0xC0)
+    # U+0080 to U+00FF are two bytes, the first of them C2 or C3.
+    kinds[lead] = kinds[lead + 1] = _KINDS[((raw[lead] & 3) << 6) | (raw[lead + 1] & 0x3F)]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _NUMBER)
+    cut[lead + 1] = False
+    cut[borders] = True
+    # 's, 't, 'm, 'd, 're, 've and 'll are parts where a sign could begin, whatever follows.
+    quotes = np.flatnonzero((raw == ord("'")) & cut[:-1])
+    after = np.zeros(len(raw) + 2, np.uint8)
+    after[: len(raw)] = raw
+    first, second = after[quotes + 1], after[quotes + 2]
+    room = borders[np.searchsorted(borders, quotes, side="right")] - quotes
+    for size, found in (
+        (2, np.isin(first, list(b"stmd"))),
+        (3, ((first == ord("l")) & (second == ord("l"))) | (((first == ord("r")) | (first == ord("v"))) & (second == ord("e")))),
+    ):
+        at = quotes[found & (room >= size)]
+        cut[at + 1] = False
+        cut[at + size] = True
+    if pc.all(latin).as_py() is False:
+        cut[:-1] &= np.repeat(latin.to_numpy(zero_copy_only=False), np.diff(borders))
+        cut[borders] = True
+    starts = np.flatnonzero(cut)
+    parts = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int64)), data)
+    return parts, np.searchsorted(starts, borders)
+
+
+def _joined(values: pa.LargeBinaryArray, groups: np.ndarray) -> pa.LargeBinaryArray:
+    """Neighbouring values made one: those from each group's border to the next."""
+    _, borders, data = values.buffers()
+    borders = np.frombuffer(borders, np.int64)[values.offset : values.offset + len(values) + 1][groups]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(groups) - 1, [None, pa.py_buffer(borders.copy()), data])
 
 
 class WordIds:
-    """The ids of single words by a tokenizer that never joins over white space, as little-endian uint32 bytes."""
+    """The ids of words by a tokenizer that never joins over white space, as little-endian uint32 bytes."""
 
     def __init__(self, path: str) -> None:
-        import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parts = regex.compile(_PARTS).findall
-        # Words are cut here only if the file given cuts them so.
+        # What is cut, lower-cased and in byte letters needs the tokenizer's model only.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
-            self.cuts = _PARTS in json.dumps(json.load(file)["pre_tokenizer"]).replace("\\\\", "\\")
-        self.simple = regex.compile(r"[\x21-\x7e\xa1-\xff]+").fullmatch
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces.clear()
-        # Latin words are cut here as the tokenizer would cut them, since their parts recur more often than they do.
-        cut, whole = {}, set()
-        for word in words:
-            text = word.decode()
-            if not self.cuts or not (text.isascii() and text.isprintable() or self.simple(text)):
-                cut[word] = (text,)
-                whole.add(text)
-            elif text.isalpha():
-                cut[word] = (text.lower(),)
-            elif text[:-1].isalpha():  # a word and one sign
-                cut[word] = (text[:-1].lower(), text[-1])
-            else:
-                cut[word] = self.parts(text.lower())
-        parts = list(set().union(*cut.values()) - self.pieces.keys() - whole)
-        for low in range(0, len(parts), _TOGETHER):
-            self._learn_parts(parts[low : low + _TOGETHER])
-        self._learn_each(list(whole - self.pieces.keys()))
-        for word, parts in cut.items():
-            self.words[word] = b"".join([self.pieces[p] for p in parts])
+            given = json.load(file)
+        self.cuts = given.get("normalizer") == _NORMALIZER and given.get("pre_tokenizer") == _PRE_TOKENIZER
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _learn(self, new: list[str]) -> None:
+        latin = [False] * len(new)
+        if self.cuts:
+            latin = pc.match_substring_regex(pa.array(new, pa.large_string()), _LATIN).to_pylist()
+        ours = [part for part, is_latin in zip(new, latin) if is_latin]
+        for low in range(0, len(ours), _TOGETHER):
+            self._learn_parts(ours[low : low + _TOGETHER])
+        others = [part for part, is_latin in zip(new, latin) if not is_latin]
+        if others:
+            self._learn_each(others)
 
     def _learn_each(self, new: list[str]) -> None:
-        for piece, ids in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.pieces[piece] = array("I", ids.ids).tobytes()
+        for part, ids in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            self.parts[part] = array("I", ids.ids).tobytes()
 
     def _learn_parts(self, new: list[str]) -> None:
-        """Parts that the tokenizer would not cut any further, as one text: half the work of one by one."""
-        encoded = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+        """Parts that the tokenizer would not cut any further, as one text and by its model alone."""
+        text = " ".join(new)
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.letters)
+        encoded = self.model.encode(text, add_special_tokens=False)
         ids = array("I", encoded.ids).tobytes()
         borders = [0, *(4 * (np.flatnonzero(np.diff(np.array(encoded.word_ids))) + 1)).tolist(), len(ids)]
         if len(borders) == len(new) + 1:
-            self.pieces.update(zip(new, (ids[a:b] for a, b in zip(borders, borders[1:]))))
+            self.parts.update(zip(new, (ids[a:b] for a, b in zip(borders, borders[1:]))))
         else:
             self._learn_each(new)
 
-    def of_texts(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text; words that are new to the worker are learnt together."""
-        split = [t.split() for t in texts]
-        known = self.words
-        own = set().union(*split)
-        new = own - known.keys()
+    def _of_parts(self, parts: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The ids of each of these different parts; those that are new to the worker are learnt together."""
+        if len(self.parts) > CACHED_PARTS:
+            self.parts = {"": b""}
+        asked = parts.to_numpy(zero_copy_only=False).tolist()
+        new = [part for part in asked if part not in self.parts]
         if new:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-                new = own
             self._learn(new)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        return pa.array([self.parts[part] for part in asked], pa.large_binary())
+
+    def of_texts(self, data: np.ndarray, borders: np.ndarray) -> pa.LargeBinaryArray:
+        """The ids of each text of UTF-8 bytes; different words and different parts are looked up once."""
+        texts = pa.LargeStringArray.from_buffers(len(borders) - 1, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(data))
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        if self.cuts:
+            parts, first = parts_of_words(words.dictionary)
+            parts = parts.dictionary_encode()
+            ids = _joined(self._of_parts(parts.dictionary).take(parts.indices), first)
+        else:
+            ids = self._of_parts(words.dictionary)
+        return _joined(ids.take(words.indices), split.offsets.to_numpy())
 
 
 def _tokenizer(path: str) -> WordIds:
@@ -134,11 +212,11 @@ def token_pieces(documents: DataFrame, path: str | None = None, capacity: int =
         ids = _tokenizer(path)
         end = np.array([END], dtype="<u4").tobytes()
         width = 4 * capacity
-        for batch, data, borders in sliced(batches, "text"):
+        for batch, data, borders in sliced(batches, "text", _SLICE_BYTES):
             rows = []
-            own = ids.of_texts([data[a:b].tobytes() for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())])
-            for doc, tokens in zip(batch.column(0).to_pylist(), own):
-                tokens += end
+            own = ids.of_texts(data, borders)
+            for i, doc in enumerate(batch.column(0).to_pylist()):
+                tokens = own[i].as_py() + end
                 for k, at in enumerate(range(0, len(tokens), width)):
                     piece = tokens[at : at + width]
                     rows.append((doc, k, at // 4, len(piece) // 4, zlib.crc32(piece)))

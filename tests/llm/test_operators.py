@@ -1,6 +1,7 @@
 """The dealt operators against brute force, and their defined cases: nulls, empty texts, repeats, clashing columns."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -213,6 +214,65 @@ def test_packing_pieces_and_places(docs, corpus):
     assert packing.packed_documents(docs.limit(0)).count() == 0
 
 
+def _ids_of(word_ids, texts):
+    """The ids of texts by ``packing.WordIds``, as lists of numbers."""
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    borders = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    return [np.frombuffer(i, "<u4").tolist() for i in word_ids.of_texts(data, borders).to_pylist()]
+
+
+def test_packing_cuts_words_as_the_tokenizer_does():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing._public_path())
+    t.encode_special_tokens = True
+    rng = np.random.default_rng(5)
+    letters = [*map(chr, range(0x21, 0x100)), *"stmdrvleSLD 12 ..\n\t", *["'", " "] * 20]
+    letters += ["\u0301", "\u212a", "\u4e2d", "\U0001f600", "\u2003", "<|endoftext|>"]
+    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(3000)]
+    texts += ["", " ", "\n", "'", "'s", "''s", "a's'sam'LL've're'", "1234 a1b2"]
+    texts += ["\xaa\xba\xb5\xb2\xbc\xd7\xf7\xad\xdf\xff\xc9\x85\xa0 \x1c\x7f"]
+    word_ids = packing.WordIds(packing._public_path())
+    for group in (texts, texts[::-1], [""], ["", ""], [" \n"], ["\u4e2d"]):
+        assert _ids_of(word_ids, group) == [e.ids for e in t.encode_batch(group, add_special_tokens=False)]
+
+
+def test_packing_gives_the_tokenizer_each_latin_part_once_and_to_its_model_only():
+    word_ids = packing.WordIds(packing._public_path())
+    word_ids.tokenizer = None
+    texts = ["The caf\xe9's Caf\xe9, the caf\xe9; 42***", "the CAF\xc9. 'Ll"] * 50
+    model, asked = word_ids.model, []
+
+    class Model:
+        def encode(self, text, **how):
+            asked.extend(text.split(" "))
+            return model.encode(text, **how)
+
+    word_ids.model = Model()
+    first = _ids_of(word_ids, texts)
+    assert len(asked) == len(set(asked)) == 10
+    assert _ids_of(word_ids, texts) == first and len(asked) == 10
+
+
+@pytest.mark.parametrize("key", ["normalizer", "pre_tokenizer"])
+def test_packing_by_a_vocabulary_that_cuts_otherwise(key, tmp_path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    with open(packing._public_path(), encoding="utf-8") as file:
+        given = json.load(file)
+    given[key][key.replace("_", "") + "s"].pop(0)
+    if key == "pre_tokenizer":
+        given[key]["pretokenizers"].insert(0, {"type": "WhitespaceSplit"})
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(given, file)
+    monkeypatch.setattr(packing, "CACHED_PARTS", 3)
+    texts = ["It's A caf\xe9, cafe\u0301!", "", "Twice  twice\n1234 \u4e2d\u6587"]
+    t, word_ids = Tokenizer.from_file(path), packing.WordIds(path)
+    for _ in range(2):
+        assert _ids_of(word_ids, texts) == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_packing_plan_is_as_good_as_the_best():
     def fewest(items, capacity):
         best = len(items)
