@@ -166,7 +166,13 @@ class Index:
     def __init__(self, rows: DataFrame) -> None:
         n, norm = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
         self.n, self.norm = n, norm or 0.0
-        chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
+        order = ["_hash", "vec_id", "_of_v"]
+        keyed = rows.withColumns({"_hash": F.xxhash64("vec_id"), "_of_v": F.xxhash64("v")})
+        if n > SAMPLE:
+            # Each task would send the driver as many vectors as the sample has. Their keys alone tell the tasks the last one's.
+            last = keyed.select(*order).orderBy(*order).limit(SAMPLE).agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+            keyed = keyed.filter(F.struct(*order) <= F.struct(*(F.lit(x).cast("long") for x in last)))
+        chosen = keyed.orderBy(*order).limit(SAMPLE).select("v").collect()
         x = self.lifted(np.array([r["v"] for r in chosen])) if chosen else np.zeros((0, 1))
         self.centroids = balanced_centroids(x, max(1, min(MAX_LISTS, n // LIST_SIZE))) if len(x) else x
         self.links = neighbour_graph(self.centroids) if len(x) else np.zeros((0, 1), np.int32)
@@ -241,7 +247,9 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     kept = stored(thinned(rows, k), "candidates")
     stored_lists = stored(assigned(kept, index, queries=False), "posting-lists")
     asked = stored(assigned(rows.filter(F.col("vec_id") % every == 0), index, queries=True), "visited-lists")
-    blocks = blocked(stored_lists, BLOCK).join(
+    # Merged, never broadcast: a query's vector lies in the file once for each list it visits, and so takes hardly any room there;
+    # by the file's size Spark would send all visits to the driver.
+    blocks = blocked(stored_lists, BLOCK).hint("merge").join(
         blocked(asked, BLOCK // 2).withColumnsRenamed({"ids": "query_ids", "vs": "query_vs"}), "list_id"
     )
 

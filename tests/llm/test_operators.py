@@ -526,6 +526,25 @@ def test_nearest_neighbours(spark):
     assert ann.search(table.filter("vec_id in (0, 20, 21)")).count() == 4
 
 
+def test_visited_lists_are_not_broadcast(spark):
+    rng = np.random.default_rng(4)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 8)))], "vec_id long, embedding array<double>")
+    plan = ann.search(table)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [list_id" in plan  # whatever the size that Spark reads off the files
+
+
+def test_the_sample_of_the_index_has_the_smallest_hashes(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4))
+    ids = [i % 290 for i in range(300)]  # some ids come twice, with other vectors
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id long, v array<double>").repartition(5)
+    hashed = table.select(F.xxhash64("vec_id").alias("h"), "vec_id", F.xxhash64("v").alias("g"), "v").collect()
+    monkeypatch.setattr(ann, "SAMPLE", 40)
+    index = ann.Index(table)
+    expected = [r["v"] for r in sorted(hashed, key=lambda r: (r["h"], r["vec_id"], r["g"]))[:40]]
+    assert index.n == 300 and np.array_equal(index.centroids, ann.balanced_centroids(index.lifted(np.array(expected)), 300 // ann.LIST_SIZE))
+
+
 # 9
 
 
