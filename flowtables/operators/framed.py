@@ -112,16 +112,21 @@ def cut_frames(
     else:
         sizes = segments.groupBy(conn).agg(F.sum(F.octet_length("bytes").cast("bigint")).alias("size"))
         hot = sizes.filter(F.col("size") > hot_bytes).select(conn)
-    # At most one connection per hot_bytes of input: the list is short whatever the input.
+    # At most one connection per hot_bytes of input: the list is short whatever the input, so no bytes are shuffled for it.
+    hot = F.broadcast(hot)
     blocks = byte_blocks(
         segments.join(hot, conn, "left_semi"), conn, seq, block_bytes, after=frame_prefix_bytes(profile) - 1
     )
     side_by_side, unresolved = cut_blocks(blocks, conn, frame_prefix_bytes(profile), block_bytes, max_blob_bytes)
-    in_turn = segments.join(hot, conn, "left_anti").unionByName(segments.join(unresolved, conn, "left_semi"))
-    return _cut_in_turn(in_turn, conn, seq, profile).unionByName(side_by_side)
+    in_turn = segments.join(hot, conn, "left_anti").unionByName(segments.join(F.broadcast(unresolved), conn, "left_semi"))
+    # By a hash of the connection: a repartition by the connection itself is left out by Spark where a join below has dealt the
+    # rows so, and when that join turns into a broadcast, each task reads what one task wrote, of many connections a part.
+    dealt = in_turn.select(conn, "bytes", seq).repartition(F.xxhash64(conn))
+    return _cut_in_turn(dealt, conn, seq, profile).unionByName(side_by_side)
 
 
 def _cut_in_turn(segments: DataFrame, conn: str, seq: str, profile: str) -> DataFrame:
+    """The pieces of segments of which each connection's lie in one partition."""
     prefix = frame_prefix_bytes(profile)
     conn_type = segments.schema[conn].dataType.simpleString()
 
@@ -137,7 +142,7 @@ def _cut_in_turn(segments: DataFrame, conn: str, seq: str, profile: str) -> Data
                 rows += pieces
             yield piece_batch(names, rows, conn, batch.schema.field(0).type)
 
-    ordered = segments.select(conn, "bytes", seq).repartition(conn).sortWithinPartitions(conn, seq)
+    ordered = segments.select(conn, "bytes", seq).sortWithinPartitions(conn, seq)
     return ordered.select(conn, "bytes").mapInArrow(cut, f"`{conn}` {conn_type}, {FrameCutter.SCHEMA}")
 
 

@@ -101,7 +101,7 @@ def truncated_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     limit = F.when(F.col("conn_id") % 10 == 3, F.floor(F.col("total") * 9 / 10)).otherwise(F.col("total"))
     left = F.least(limit - F.col("offset"), F.octet_length("bytes"))
     return (
-        segments.join(totals, "conn_id")
+        segments.join(F.broadcast(totals), "conn_id")
         .filter(left > 0)
         .withColumn("bytes", F.substring("bytes", F.lit(1), left.cast("int")))
         .drop("total")

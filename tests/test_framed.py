@@ -136,6 +136,28 @@ def test_random_streams_read_both_ways_alike(spark):
         assert plain(decode(spark, streams, 50, hot_bytes=0, block_bytes=block)) == in_turn
 
 
+def test_a_connection_is_read_in_turn_behind_a_join_that_turns_into_a_broadcast(spark):
+    streams = {conn: b"".join(frame(payload=b"%d-%d " % (conn, i) * (i % 40)) for i in range(60)) for conn in range(12)}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        cut = segments(spark, streams, 50).repartition(8).groupBy("conn_id", "seq").agg(F.max("bytes").alias("bytes"))
+        cut = cut.withColumn("offset", F.col("seq") * 50)
+        # Merged by the sizes that Spark expects, broadcast by those it finds: the bytes are then read where they were written.
+        totals = cut.groupBy("conn_id").agg(F.max("offset").alias("last"))
+        joined = cut.join(totals, "conn_id").filter(F.col("offset") <= F.col("last")).drop("last")
+        rows = framed.segments_to_flows(joined).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 720
+    assert {(r["conn_id"], r["frame_no"]): r["content"] for r in rows} == {
+        (conn, i): b"%d-%d " % (conn, i) * (i % 40) for conn in streams for i in range(60)
+    }
+
+
 def test_long_connections_are_resolved_by_blocks(spark):
     stream = b"".join(frame(payload=b"t%d" % i * (i % 50)) for i in range(400))
     df = segments(spark, {1: stream}, 100)
